@@ -6,26 +6,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import contamination, keyed, packing, paragraphs, quality, simhash, tokenfiles
 from .common import prepare, table
 
 
-def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .simhash import simhash_classes
+def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document in a window of ten words of a benchmark item."""
+    return contamination.contamination_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 ids."""
+    return packing.packed(spark, table(spark, sf_dir, "documents"))
+
 
-    prepare(spark)
-    return simhash_classes(spark, table(spark, sf_dir, "documents"))
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes by 64-bit fingerprints."""
+    return simhash.simhash_classes(spark, table(spark, sf_dir, "documents"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality import quality_scores
+    """Quality score of each document by a byte-level network."""
+    return quality.quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents by a separator scan of flat files."""
+    return tokenfiles.token_counts(spark, table(spark, sf_dir, "documents"))
+
+
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that repeat an earlier one, with the one that stays."""
+    found = paragraphs.removals(spark, table(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "keeper_id": "keeper_doc_id"})
+
+
+def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written to shards and read back by key."""
+    return keyed.stored_texts(spark, table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op2_contamination, op3_packing, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
+
+
+def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
 
-    prepare(spark)
-    return quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash": op6_simhash, "op7_quality": op7_quality}
+    return {q.__name__: _prepared(q) for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_contamination": contamination.REPORT_SQL}
