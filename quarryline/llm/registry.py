@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, keyed, packing, paragraphs, quality, simhash, tokenfiles
+from . import brown, contamination, impact, keyed, packing, paragraphs, quality, simhash, tokenfiles
 from .common import prepare, table
 
 
+def op1_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer products of every 20th vector."""
+    return impact.nearest(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document in a window of ten words of a benchmark item."""
     return contamination.contamination_report(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -20,6 +25,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-bigram and base log10 probabilities of every text."""
+    return brown.scored_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes by 64-bit fingerprints."""
     return simhash.simhash_classes(spark, table(spark, sf_dir, "documents"))
@@ -46,7 +56,7 @@ def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.stored_texts(spark, table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op2_contamination, op3_packing, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
+_QUERIES = (op1_impact, op2_contamination, op3_packing, op5_brown, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -62,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_contamination": contamination.REPORT_SQL}
+    return {"op1_impact": impact.NEAREST_SQL, "op2_contamination": contamination.REPORT_SQL}
