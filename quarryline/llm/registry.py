@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown, contamination, impact, keyed, packing, paragraphs, quality, simhash, tokenfiles
+from . import brown, chat, contamination, impact, keyed, packing, paragraphs, quality, simhash, tokenfiles
 from .common import prepare, table
 
 
@@ -25,6 +25,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark, table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with repaired roles, rendered piece by piece."""
+    return chat.formatted(spark, table(spark, sf_dir, "conversations"))
+
+
 def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class-bigram and base log10 probabilities of every text."""
     return brown.scored_documents(spark, table(spark, sf_dir, "documents"))
@@ -56,7 +61,7 @@ def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.stored_texts(spark, table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_impact, op2_contamination, op3_packing, op5_brown, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
+_QUERIES = (op1_impact, op2_contamination, op3_packing, op4_chat, op5_brown, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
