@@ -7,6 +7,7 @@ import sys
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +16,14 @@ from pyspark.sql.window import Window
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held several times over.
+BATCH_ROWS = 2048
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started."""
+    """Let Python workers import this package wherever the driver was started, and get small batches."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in have:
@@ -128,6 +135,65 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def plain(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by position, so that none can clash, and its names."""
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), names
+
+
+#: Bits of an id filter: 8 MB whatever the table's size.
+FILTER_BITS = 1 << 26
+_PLACE = "_quarryline_place"
+
+
+class IdFilter:
+    """A bitmap of hashed ids of fixed size, to send few wide rows through a join.
+
+    Rows whose id is not in it are certainly not among the ids; the others may
+    be, and an exact join decides. The more ids, the more rows take the join.
+    """
+
+    def __init__(self, ids: DataFrame, column: str):
+        self.spark = ids.sparkSession
+        prepare(self.spark)
+        words = ids.select(self._place(F.col(column)).alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, CAST(p & 63 AS INT)) AS b")
+        # one row per word of the bitmap: at most FILTER_BITS / 64
+        found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+        bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+        bitmap[found["w"].to_numpy()] = found["b"].to_numpy()
+        self.bitmap = self.spark.sparkContext.broadcast(bitmap)
+
+    @staticmethod
+    def _place(id: F.Column) -> F.Column:
+        return F.pmod(F.xxhash64(id), F.lit(FILTER_BITS)).cast("long")
+
+    def split(self, rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+        """(rows that may have one of the ids, rows that have none)."""
+        import pyarrow as pa
+
+        bitmap = self.bitmap
+        dealt = rows.withColumn(_PLACE, self._place(F.col(column)))
+
+        def part(maybe: bool) -> DataFrame:
+            def run(batches):
+                bits = bitmap.value
+                for b in batches:
+                    at = b.column(b.num_columns - 1).to_numpy()
+                    there = (bits[at >> 6] >> (at & 63)) & 1 == 1
+                    yield b.select(range(b.num_columns - 1)).filter(pa.array(there if maybe else ~there))
+
+            return dealt.mapInArrow(run, rows.schema)
+
+        return part(True), part(False)
+
+
+def sliced(batches, rows: int = 1024):
+    """Arrow batches in slices of a bounded number of rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as a Python worker process."""
     return sys.__dict__.setdefault("_quarryline_worker_cache", {})
@@ -135,3 +201,8 @@ def worker_cache() -> dict:
 
 def long_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
+
+
+def release() -> None:
+    """Drop what operators that ran in this worker before have kept, such as tokenizers' caches."""
+    worker_cache().clear()
