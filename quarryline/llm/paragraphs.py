@@ -6,10 +6,13 @@ shingles, cut into bands that :func:`tune` chooses for high recall. Paragraphs
 that share a band meet in bounded groups, where the exact Jaccard similarity of
 their shingle sets decides; links are clustered into components. Of each
 component the first paragraph (smallest document id, then place) stays and the
-others are removals, given as spans of the original text.
+others repeat it. Repeats that follow each other in a text are a run, and runs
+of at least ``min_run`` words are removals, given as spans of the original
+text: a passage over several lines goes as a whole, while a single short line
+that many texts share, such as a greeting, is no repeated passage.
 
-Edge cases: paragraphs of fewer than ``min_words`` words are never removed;
-null and empty texts have none; rows with a null id are left as they are; of
+Edge cases: paragraphs of fewer than ``min_words`` words are never removed and
+neither break nor lengthen a run; null and empty texts have none; rows with a null id are left as they are; of
 rows that occur twice (same id and text) the paragraphs count once and are
 removed or kept in both; an empty table has no removals; other columns are
 carried through whatever their names.
@@ -22,13 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import components, materialize, pick, prepare
+from .common import IdFilter, components, materialize, pick, plain, prepare, release, sliced
 from .neighbours import forest_links, shared_keys
 
 SHINGLE = 5
 SIMILARITY = 0.8
 MIN_WORDS = 8
+MIN_RUN = 30
 PERMUTATIONS = 48
 
 
@@ -86,7 +91,7 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def paragraph_rows(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataFrame:
-    """(id, place, start, stop, key, bands) of every paragraph."""
+    """(id, place, turn, words, start, stop, key, bands) of every paragraph; ``turn`` numbers a text's paragraphs."""
     import pyarrow as pa
 
     prepare(docs.sparkSession)
@@ -94,23 +99,22 @@ def paragraph_rows(docs: DataFrame, id: str, text: str, bands: int, rows: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                out, sets = [], []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    for place, start, stop, words in split(t):
-                        out.append((i, place, start, stop, xxh3_128_digest(b" ".join(words))))
-                        sets.append(shingles(words))
-                if not out:
-                    continue
-                keys = band_keys(sets, bands, rows).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
-                ids, places, starts, stops, names = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(places, pa.int32()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(names, pa.binary()), lists], names=["id", "place", "start", "stop", "key", "bands"])
+        release()
+        for b in sliced(batches):
+            out, sets = [], []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for turn, (place, start, stop, words) in enumerate(split(t)):
+                    out.append((i, place, turn, len(words), start, stop, xxh3_128_digest(b" ".join(words))))
+                    sets.append(shingles(words))
+            if not out:
+                continue
+            keys = band_keys(sets, bands, rows).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
+            ids, *numbers, names = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), *(pa.array(n, pa.int32()) for n in numbers), pa.array(names, pa.binary()), lists], names=["id", "place", "turn", "words", "start", "stop", "key", "bands"])
 
     source = pick(docs, id=id, text=text).where("id is not null")
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, place int, start int, stop int, key binary, bands array<long>")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, place int, turn int, words int, start int, stop int, key binary, bands array<long>")
 
 
 def wanted_shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
@@ -120,21 +124,22 @@ def wanted_shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                out = []
-                for t, places, keys in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
-                    asked = set(zip(places, keys, strict=True))
-                    for place, _, _, words in split(t):
-                        key = xxh3_128_digest(b" ".join(words))
-                        if (place, key) in asked:
-                            out.append((key, shingles(words).tobytes()))
-                if out:
-                    keys, sets = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["member", "payload"])
-
-    source = pick(docs, id=id, text=text).join(wanted, "id").select("text", "places", "keys")
+        for b in sliced(batches):
+            out = []
+            for t, places, keys in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                asked = set(zip(places, keys, strict=True))
+                for place, _, _, words in split(t):
+                    key = xxh3_128_digest(b" ".join(words))
+                    if (place, key) in asked:
+                        out.append((key, shingles(words).tobytes()))
+            if out:
+                keys, sets = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["member", "payload"])
+
+    wanted = materialize(wanted, "wanted")
+    # only texts that may be asked for are shuffled
+    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
+    source = some.join(wanted, "id").select("text", "places", "keys")
     return source.mapInArrow(run, "member binary, payload binary")
 
 
@@ -159,7 +164,7 @@ def jaccard(similarity: float):
     return relate
 
 
-def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, min_run: int = MIN_RUN) -> DataFrame:
     """(id, place, start, stop, keeper_id, keeper_place) of every paragraph to remove."""
     prepare(spark)
     bands, rows = tune(similarity=similarity)
@@ -175,8 +180,11 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     roots = linked.groupBy("component").agg(F.min("first").alias("root"))
     copied = distinct.where("copies > 1").join(groups, distinct.key == groups.node, "left_anti").select("key", F.col("first").alias("root"))
     classes = linked.join(roots, "component").select("key", "root").unionByName(copied)
-    out = found.select("id", "place", "start", "stop", "key").distinct().join(classes, "key")
-    return out.where(node != F.col("root")).select("id", "place", "start", "stop", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
+    repeats = found.drop("bands").distinct().join(classes, "key").where(node != F.col("root"))
+    # repeats without a gap in their turns are a run
+    run = F.col("turn") - F.row_number().over(Window.partitionBy("id").orderBy("turn"))
+    runs = repeats.withColumn("run", run).withColumn("length", F.sum("words").over(Window.partitionBy("id", "run")))
+    return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
@@ -184,10 +192,15 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
 
     A column named ``chars`` is brought up to date with the text's length.
     """
-    gone = removals(spark, docs, id, text).groupBy("id").agg(F.collect_set("place").alias("_places")).withColumnRenamed("id", "_gone")
-    both = docs.join(gone, docs[id] == gone["_gone"], "left")
-    left = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda line, place: ~F.array_contains("_places", place)), "\n")
-    cut = {text: F.when(F.col("_places").isNull(), F.col(text)).otherwise(left)}
-    if chars in docs.columns:
-        cut[chars] = F.when(F.col("_places").isNull(), F.col(chars)).otherwise(F.length(left).cast(docs.schema[chars].dataType))
-    return both.select(*[cut[c].alias(c) if c in cut else F.col(c) for c in docs.columns])
+    rows, names = plain(docs)
+    own, body = f"c{names.index(id)}", f"c{names.index(text)}"
+    gone = materialize(removals(spark, rows, own, body).groupBy(F.col("id").alias("gone")).agg(F.collect_set("place").alias("places")), "cuts")
+    # texts that stay whole for certain are not shuffled
+    maybe, sure = IdFilter(gone, "gone").split(rows, own)
+    both = maybe.join(gone, maybe[own] == gone["gone"], "left")
+    left = F.array_join(F.filter(F.split(F.col(body), "\n", -1), lambda line, place: ~F.array_contains("places", place)), "\n")
+    cut = {body: F.when(F.col("places").isNull(), F.col(body)).otherwise(left)}
+    if chars in names:
+        count = f"c{names.index(chars)}"
+        cut[count] = F.when(F.col("places").isNull(), F.col(count)).otherwise(F.length(left).cast(rows.schema[count].dataType))
+    return sure.unionByName(both.select(*[cut.get(c, F.col(c)).alias(c) for c in rows.columns])).toDF(*names)
