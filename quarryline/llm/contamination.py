@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, prepare
+from .common import pick, plain, prepare, release, sliced
 
 WINDOW = 10
 SHARD_WORDS = 200_000
@@ -123,8 +123,9 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id: st
     item_kind = items.schema[item].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held = Matcher(shards[0].value, window) if len(shards) == 1 else None
-        for b in batches:
+        for b in batches if held is None else sliced(batches):
             texts = b.column(1).to_pylist()
             n_words, found, owners = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
             for shard in shards:
@@ -169,8 +170,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, te
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held = Matcher(shards[0].value) if len(shards) == 1 else None
-        for b in batches:
+        for b in batches if held is None else sliced(batches):
             clean = np.ones(b.num_rows, bool)
             for shard in shards:
                 m = held or Matcher(shard.value)
@@ -179,7 +181,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, te
                         clean[i] = False
             yield b.filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows, names = plain(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*names)
 
 
 #: DuckDB: the same digest by window joins.

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, prepare
+from .common import pick, plain, prepare, release, sliced
 
 STEP = 4
 WIDTH = 2 * STEP
@@ -203,7 +203,8 @@ def score(docs: DataFrame, network: Network, id: str = "doc_id", text: str = "te
     prepare(docs.sparkSession)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release()
+        for b in sliced(batches):
             texts = [t.encode() if t else b"" for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(network.score(texts), pa.float64())], names=["id", "score"])
 
@@ -220,11 +221,13 @@ def keep_good(docs: DataFrame, network: Network, threshold: float = 0.3, text: s
     at = docs.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release()
+        for b in sliced(batches):
             texts = [t.encode() if t else b"" for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(network.score(texts) >= threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    rows, names = plain(docs)
+    return rows.mapInArrow(kept, rows.schema).toDF(*names)
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held_out: int = 0) -> DataFrame:
