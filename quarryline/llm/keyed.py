@@ -32,16 +32,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import exclusive_prefix, fresh_path, materialize, pick, prepare
+from .common import exclusive_prefix, fresh_path, materialize, pick, prepare, sliced
 from .tokens import encoder, vocabulary
 
 #: Text bytes of a shard, about.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
 #: Keys of an index bucket, about.
 BUCKET_KEYS = 1 << 15
 LEVELS = 24
 
 
+def text_bytes(docs: DataFrame, text: str) -> int:
+    """About how long all texts are: twice the files' size as the planner knows it, else their sum."""
+    known = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < 1 << 50:
+        return 2 * known
+    return pick(docs, text=text).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end: int, width: int = 2, id: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
     """Write the shards: part files in ascending order of (id, text)."""
     import pyarrow as pa
@@ -51,7 +59,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, width)
         keys, sizes = [], []
-        for b in batches:
+        for b in sliced(batches):
             own = b.column(0).to_pylist()
             rows = list(encode.many(b.column(1).to_pylist()))
             keys += own
@@ -63,9 +71,9 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
             yield pa.RecordBatch.from_arrays([pa.array([footer], pa.binary())], names=["value"])
 
     rows = pick(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    total = text_bytes(docs, text)
     # equal ids may be many: what follows the id keeps them from meeting in one shard
-    dealt = rows.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(int(total // shard_bytes) + 1, "id", "_at").sortWithinPartitions("id", "_at")
+    dealt = rows.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(total // shard_bytes + 1, "id", "_at").sortWithinPartitions("id", "_at")
     separator = np.array([end], {2: "<u2", 4: "<u4"}[width]).tobytes().decode()
     encoded = dealt.select("id", "text").mapInArrow(run, "value binary")
     encoded.select(F.col("value").cast("string").alias("value")).write.option("lineSep", separator).text(path)

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, prepare
+from .common import pick, prepare, sliced
 from .tokens import encoder, vocabulary
 
 CAPACITY = 2048
@@ -131,7 +131,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int, id: str
         rows: list = []
         loose: list = []
         held = 0
-        for b in batches:
+        for b in sliced(batches):
             kind = b.schema.field(0).type
             for i, ids in zip(b.column(0).to_pylist(), encode.many(b.column(1).to_pylist()), strict=True):
                 ids += last

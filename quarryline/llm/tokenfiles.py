@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import exclusive_prefix, fresh_path, pick, prepare
+from .common import exclusive_prefix, fresh_path, pick, prepare, sliced
 from .tokens import encoder, vocabulary
 
 #: Ids of a file.
@@ -89,7 +89,7 @@ def write_flat(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
                 number += 1
             held, size = [whole[stop:]], len(whole) - stop
 
-        for b in batches:
+        for b in sliced(batches):
             for key, ids in zip(b.column(0).to_pylist(), encode.many(b.column(1).to_pylist()), strict=True):
                 held += [np.array(key_digits(key, end), encode.dtype).tobytes(), ids, last]
                 size += (HEAD + 1) * width + len(ids)

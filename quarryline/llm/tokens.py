@@ -16,14 +16,18 @@ from collections.abc import Iterator
 
 from .common import worker_cache
 
-#: Two white-space characters in a row, or one at an end: then the text is encoded whole.
-_UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: White space before a place where texts are cut: then the text is encoded whole.
+_UNSAFE = re.compile(r"\s[ \n]")
+#: A run of Latin letters, and marks after it (no apostrophe, which may join with letters): separate pre-tokens.
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Byte-level vocabularies write each byte as a printable character: itself, or the next one from 256 on.
 _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
 _SYMBOLS = {b: chr(256 + i) for i, b in enumerate(_UNPRINTABLE)}
-#: Entries of the cache before it is emptied.
-_CACHE_ENTRIES = 1_500_000
+#: Entries of the younger half of the cache before it becomes the older half.
+_CACHE_ENTRIES = 800_000
+#: From so many entries on a stretch is kept only when it is met again.
+_FREE_ENTRIES = 300_000
+_MET = 1 << 22
 
 
 def vocabulary(name: str) -> str:
@@ -32,6 +36,17 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _uncuttable(text: str) -> bool:
+    """Whether white space stands before a space or line feed in ``text``."""
+    if not ("  " in text or "\n " in text or " \n" in text or "\n\n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text or "\x85" in text or "\xa0" in text):
+        try:
+            text.encode("latin-1")  # it has no other white space
+            return False
+        except UnicodeEncodeError:
+            pass
+    return _UNSAFE.search(text) is not None
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes, ``width`` 2 or 4 bytes an id.
 
@@ -55,6 +70,10 @@ class Encoder:
         bare = [i for x in ("a", "b") for i in self._ids([x])[0]]
         self.spaced = self._ids(["a b"])[0] != bare
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.met = bytearray(_MET)
+        self.line_feed = self._bytes(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -62,58 +81,102 @@ class Encoder:
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, ids).tobytes() for ids in self._ids(texts)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode stretches not seen before.
+    def _keep(self, learnt: dict[str, bytes]) -> None:
+        """Take stretches into the cache: all while it is small, then those met before."""
+        if len(self.known) < _FREE_ENTRIES:
+            self.known.update(learnt)
+            return
+        met, older = self.met, self.older
+        for p, ids in learnt.items():
+            at = hash(p) & (_MET - 1)
+            if met[at] or p in older:
+                self.known[p] = ids
+            else:
+                met[at] = 1
+        if len(self.known) > _CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+            self.met = bytearray(_MET)
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Encode stretches that the cache lacks.
 
-        A run of letters is one pre-token and a closing mark another. Runs of
-        Latin letters, which normalisation changes by case at most, go straight
-        to the library's BPE model; all else through its whole pipeline.
+        Letters and marks after them are separate pre-tokens. Runs of Latin
+        letters, which normalisation changes by case at most, go straight to
+        the library's BPE model; all else through its whole pipeline.
         """
-        known = self.known
-        marked = {p for p in pieces if p[-1:] in (".", ",") and p[:-1].isalpha()}
-        plain = [p for p in (pieces - marked) | {p[:-1] for p in marked} if p not in known]
-        latin = [p for p in plain if _LATIN.fullmatch(p)]
-        rest = list(set(plain).difference(latin))
-        lead = " " if self.spaced else ""
-        tokenize, code, symbols = self.tokenizer.model.tokenize, self.code, _SYMBOLS
-        for p in latin:
-            seen = lead + p if self.spaced else p.lower()
-            known[p] = array(code, [t.id for t in tokenize(seen.encode().decode("latin-1").translate(symbols))]).tobytes()
-        known.update(zip(rest, self._bytes([p if p[:1] == "\n" else lead + p for p in rest]), strict=True))
-        if marked:
-            ends = dict(zip(".,", self._bytes([".", ","]), strict=True))
-            known.update({p: known[p[:-1]] + ends[p[-1]] for p in marked})
+        known, older, marks = {}, self.older, self.marks
+        tokenize, code, symbols, spaced = self.tokenizer.model.tokenize, self.code, _SYMBOLS, self.spaced
+        word = _WORD.fullmatch
+        rest = []
+        for p in pieces:
+            ids = older.get(p)
+            if ids is not None:
+                known[p] = ids
+                continue
+            before, space, core = b"", "", p
+            if spaced:
+                if p[:1] == "\n":
+                    before, core = self.line_feed, p[1:]
+                elif p[:1] == " ":
+                    core = p[1:]
+                else:
+                    space = symbols[32]
+            m = word(core)
+            if m is None:
+                rest.append(p)
+                continue
+            run, mark = m.groups()
+            ids = (known.get(run) or self.known.get(run)) if mark and (space or not spaced) else None
+            if ids is None:
+                seen = run if spaced else run.lower()
+                if not seen.isascii():
+                    seen = seen.encode().decode("latin-1").translate(symbols)
+                ids = array(code, [t.id for t in tokenize(space + seen)]).tobytes()
+            if mark:
+                if mark not in marks:
+                    if len(marks) > 10_000:
+                        marks.clear()
+                    marks[mark] = self._bytes([mark])[0]
+                ids += marks[mark]
+            known[p] = before + ids
+        lead = " " if spaced else ""
+        known.update(zip(rest, self._bytes([p if p[:1] == "\n" else p[1:] if p[:1] == " " else lead + p for p in rest]), strict=True))
+        return known
 
     def many(self, texts: list[str | None], group: int = 256) -> Iterator[bytes]:
         """The id bytes of each text in turn; null and empty texts have none."""
         for at in range(0, len(texts), group):
             some = [x or "" for x in texts[at : at + group]]
             if self.spaced:
-                whole = [i for i, x in enumerate(some) if _UNSAFE.search(x)]
+                whole = [i for i, x in enumerate(some) if _uncuttable(x)]
+                # a stretch is white space and what follows; the first has a key of its own
                 cut = [x.replace("\n", " \n").split(" ") for x in some]
+                for pieces in cut:
+                    pieces[0] = " " + pieces[0]
             else:
                 whole = []
                 cut = [x.replace("\n", " ").split(" ") for x in some]
             skip = set(whole)
-            new = set()
+            get = self.known.get
+            found: list[list | None] = []
+            holes: list[list[int]] = []
+            new: set[str] = set()
             for i, pieces in enumerate(cut):
-                if i not in skip:
-                    new.update(set(pieces[1:] if self.spaced else pieces).difference(self.known))
+                # one look-up a stretch; what is not known is learnt for the group at once
+                got = list(map(get, pieces)) if i not in skip else []
+                gaps = [k for k, ids in enumerate(got) if ids is None]
+                new.update([pieces[k] for k in gaps])
+                found.append(got)
+                holes.append(gaps)
             if new:
-                if len(self.known) + len(new) > _CACHE_ENTRIES:
-                    self.known.clear()
-                    new = set().union(*(p[1:] if self.spaced else p for i, p in enumerate(cut) if i not in skip))
-                self._learn(new)
+                learnt = self._learn(new)
+                for got, gaps, pieces in zip(found, holes, cut, strict=True):
+                    for k in gaps:
+                        got[k] = learnt[pieces[k]]
+                self._keep(learnt)
             out = dict(zip(whole, self._bytes([some[i] for i in whole]), strict=True)) if whole else {}
-            heads = self._bytes([p[0] for p in cut]) if self.spaced else None
-            get = self.known.__getitem__
-            for i, pieces in enumerate(cut):
-                if i in skip:
-                    yield out[i]
-                elif heads:
-                    yield heads[i] + b"".join(map(get, pieces[1:]))
-                else:
-                    yield b"".join(map(get, pieces))
+            for i, got in enumerate(found):
+                yield out[i] if i in skip else b"".join(got)
 
 
 def encoder(path: str, width: int = 4, ordinary: bool = False) -> Encoder:
@@ -123,3 +186,4 @@ def encoder(path: str, width: int = 4, ordinary: bool = False) -> Encoder:
     if key not in cache:
         cache[key] = Encoder(path, width, ordinary)
     return cache[key]
+

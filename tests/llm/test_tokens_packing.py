@@ -31,6 +31,7 @@ def test_encoder_cache_turnover(monkeypatch):
     from quarryline.llm import tokens
 
     monkeypatch.setattr(tokens, "_CACHE_ENTRIES", 50)
+    monkeypatch.setattr(tokens, "_FREE_ENTRIES", 20)
     e = Encoder(vocabulary("byte_bpe_50k.json"), 2)
     texts = [prose(i, 200) + ". Été!!\nNew" for i in range(30)]
     for text, ids in zip(texts, e.many(texts, group=3), strict=True):
