@@ -25,6 +25,9 @@ def prepare(spark: SparkSession) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
+    # workers hand freed memory back instead of keeping it in pools
+    env.setdefault("MALLOC_ARENA_MAX", "2")
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, have)])
