@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, pick, prepare
 
-FREQUENT = 768
-FORMS = 256
+FREQUENT = 1024
+FORMS = 256  # a form's number is one byte
 CLASSES = 64
 CHUNK_BYTES = 12 << 20
 WEIGHT = 0.97
@@ -76,8 +76,16 @@ def item_places(words: list[bytes], items: dict[bytes, int]) -> np.ndarray:
     return np.array([form(w, n) if (i := get(w)) is None else i for w in words], np.int64)
 
 
+def listed_places(words, forms: np.ndarray, items) -> np.ndarray:
+    """Items of a chunk's words (an Arrow array) from their forms' numbers and the frequent words."""
+    import pyarrow.compute as pc
+
+    found = pc.fill_null(pc.index_in(words, value_set=items), -1).to_numpy(zero_copy_only=False)
+    return np.where(found >= 0, found, len(items) + 1 + forms.astype(np.int64))
+
+
 def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row per chunk: ids, held flags, word numbers per text, local words and training counts."""
+    """One row per chunk: ids, held flags, word numbers per text, and the local words with training counts and forms."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,8 +103,9 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
                     pa.array([flat.astype("<i4").tobytes()], pa.binary()), pa.array([list(local)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
+                    pa.array([bytes([zlib.crc32(w[-4:]) % FORMS for w in local])], pa.binary()),
                 ],
-                names=["chunk", "ids", "held", "sizes", "codes", "words", "counts"],
+                names=["chunk", "ids", "held", "sizes", "codes", "words", "counts", "forms"],
             )
 
         for b in batches:
@@ -120,7 +129,7 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
     rows = pick(docs, id=id, text=text)
     kind = rows.schema["id"].dataType.simpleString()
     out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(folds)) == held, F.lit(False))
-    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, words array<binary>, counts array<long>")
+    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, words array<binary>, counts array<long>, forms binary")
 
 
 def padded(codes: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,10 +151,11 @@ def pair_counts(chunks: DataFrame, items: dict[bytes, int]) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
+        frequent = pa.array(list(items), pa.binary())
         for b in batches:
-            for held, sizes, codes, words in zip(*(b.column(c) for c in range(4)), strict=True):
+            for held, sizes, codes, words, forms in zip(*(b.column(c) for c in range(5)), strict=True):
                 sizes, train = np.array(sizes.as_py(), np.int64), ~np.array(held.as_py(), bool)
-                places = item_places(words.as_py(), items)
+                places = listed_places(words.values, np.frombuffer(forms.as_py(), np.uint8), frequent)
                 flat = places[np.frombuffer(codes.as_py(), "<i4")] if len(places) else np.zeros(0, np.int64)
                 seq, firsts = padded(flat, sizes, end)
                 before = np.concatenate([[end], seq[:-1]])
@@ -157,7 +167,7 @@ def pair_counts(chunks: DataFrame, items: dict[bytes, int]) -> np.ndarray:
             part = found[at : at + 65536]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["pair", "n"])
 
-    rows = chunks.select("held", "sizes", "codes", "words").mapInArrow(run, "pair long, n long")
+    rows = chunks.select("held", "sizes", "codes", "words", "forms").mapInArrow(run, "pair long, n long")
     # at most size * size rows: the item set is fixed
     table = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size, np.int64)
@@ -283,13 +293,16 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
         row = left.to_pylist()[0] if left.num_rows else None
         if row is None:
             return pa.Table.from_arrays([pa.array([], k) for k in kinds], names=names)
-        words = row["words"]
-        known = np.zeros(len(words) + 1, np.int64)
-        known[right["place"].to_numpy()] = right["c"].to_numpy()
+        forms = np.frombuffer(row["forms"], np.uint8).astype(np.int64)
+        known = np.zeros(len(forms) + 1, np.int64)
+        places = np.append(model.end + 1 + forms, model.end)
+        at, item = right["place"].to_numpy(), right["item"].to_numpy()
+        known[at] = right["c"].to_numpy()
         known[-1] = model.end_count
-        own = np.append(model.classes[item_places(words, model.items)], model.classes[model.end])
+        places[at[item >= 0]] = item[item >= 0]
+        own = model.classes[places]
         sizes = np.array(row["sizes"], np.int64)
-        seq, firsts = padded(np.frombuffer(row["codes"], "<i4").astype(np.int64), sizes, len(words))
+        seq, firsts = padded(np.frombuffer(row["codes"], "<i4").astype(np.int64), sizes, len(forms))
         count, kind_of = known[seq], own[seq]
         before = np.concatenate([[0], kind_of[:-1]])
         before[firsts] = own[-1]
@@ -303,8 +316,11 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
 
     id_kind = docs.schema[id].dataType.simpleString()
     kind = {"bigint": pa.int64(), "int": pa.int32()}.get(id_kind, pa.string())
-    found = local.join(counts, "word").select(F.col("chunk").alias("at"), "place", "c")
-    scored = chunks.select("chunk", "ids", "held", "sizes", "codes", "words").groupBy("chunk").cogroup(found.groupBy("at")).applyInArrow(run, f"id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    # the frequent words' items: a fixed number of rows
+    items = spark.createDataFrame([(bytearray(w), i) for w, i in model.items.items()], "word binary, item int")
+    counted = counts.join(F.broadcast(items), "word", "left").withColumn("item", F.coalesce("item", F.lit(-1)))
+    found = local.join(counted, "word").select(F.col("chunk").alias("at"), "place", "c", "item")
+    scored = chunks.select("chunk", "ids", "held", "sizes", "codes", "forms").groupBy("chunk").cogroup(found.groupBy("at")).applyInArrow(run, f"id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
