@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quarryline.llm import contamination, packing, paragraphs, quality, simhash
 from quarryline.llm.common import materialize, prepare, table
 
+CACHE_ENTRIES = 100_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network does not reject."""
@@ -40,7 +42,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 ids."""
     prepare(spark)
-    return packing.packed(spark, docs)
+    # executors that ran the stages before have grown; a small cache leaves them their memory
+    return packing.packed(spark, docs, CACHE_ENTRIES)
 
 
 STAGES = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import sys
 import tempfile
@@ -17,17 +19,17 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 #: Rows of an Arrow batch: texts are long, and a batch is held several times over.
-BATCH_ROWS = 2048
+BATCH_ROWS = 1024
 
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver was started, and get small batches."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
-    # workers hand freed memory back instead of keeping it in pools
-    env.setdefault("MALLOC_ARENA_MAX", "2")
-    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    # workers hand freed memory back: large blocks are mapped on their own, at a threshold that stays
+    for name, value in {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}.items():
+        env.setdefault(name, value)
     have = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in have:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, have)])
@@ -206,6 +208,10 @@ def long_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.LongType()) for n in names])
 
 
-def release() -> None:
-    """Drop what operators that ran in this worker before have kept, such as tokenizers' caches."""
-    worker_cache().clear()
+def release(*keep: tuple) -> None:
+    """At a task's start: drop what operators before have kept in this worker, but for some keys."""
+    cache = worker_cache()
+    for key in [k for k in cache if k not in keep]:
+        del cache[key]
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import exclusive_prefix, fresh_path, materialize, pick, prepare, sliced
-from .tokens import encoder, vocabulary
+from .tokens import ENTRIES, encoder, vocabulary
 
 #: Text bytes of a shard, about.
 SHARD_BYTES = 16 << 20
@@ -57,7 +57,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str
     prepare(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, width)
+        encode = encoder(tokenizer, width, entries=2 * ENTRIES)
         keys, sizes = [], []
         for b in sliced(batches):
             own = b.column(0).to_pylist()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pick, prepare, sliced
-from .tokens import encoder, vocabulary
+from .tokens import ENTRIES, encoder, vocabulary
 
 CAPACITY = 2048
 PIECE = 512
@@ -98,7 +98,7 @@ def pieces_of(length: int, capacity: int = CAPACITY, piece: int = PIECE) -> list
     return [(a, capacity) for a in range(0, whole, capacity)] + [(a, min(piece, length - a)) for a in range(whole, length, piece)]
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, piece: int = PIECE, pool: int = POOL, with_ids: bool = True) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, piece: int = PIECE, pool: int = POOL, with_ids: bool = True, entries: int = ENTRIES) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids) of every piece.
 
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit integers
@@ -113,7 +113,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int, id: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer, width)
+        encode = encoder(tokenizer, width, entries=entries)
         last = np.array([end], encode.dtype).tobytes()
         names = iter(range(TaskContext.get().partitionId() << 32, 1 << 62))
         kind = None
@@ -156,7 +156,10 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int, id: str
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
-def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Every document's pieces in sequences of 2048 ids of the lower-cased word vocabulary, end id 1."""
-    found = pack(spark, docs, vocabulary("word_bpe_49k.json"), 1, with_ids=False)
+def packed(spark: SparkSession, docs: DataFrame, entries: int = 2 * ENTRIES) -> DataFrame:
+    """Every document's pieces in sequences of 2048 ids of the lower-cased word vocabulary, end id 1.
+
+    ``entries`` bounds the tokenizer's cache: more is faster, less leaves memory to others.
+    """
+    found = pack(spark, docs, vocabulary("word_bpe_49k.json"), 1, with_ids=False, entries=entries)
     return found.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import exclusive_prefix, fresh_path, pick, prepare, sliced
-from .tokens import encoder, vocabulary
+from .tokens import ENTRIES, encoder, vocabulary
 
 #: Ids of a file.
 FILE_IDS = 2 << 20
@@ -74,7 +74,7 @@ def write_flat(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer, width, True)
+        encode = encoder(tokenizer, width, True, ENTRIES // 2)
         last = np.array([end], encode.dtype).tobytes()
         number = TaskContext.get().partitionId() << SPAN_BITS
         held, size = [], 0

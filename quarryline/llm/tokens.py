@@ -14,7 +14,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
-from .common import worker_cache
+from .common import release, worker_cache
 
 #: White space before a place where texts are cut: then the text is encoded whole.
 _UNSAFE = re.compile(r"\s[ \n]")
@@ -24,9 +24,7 @@ _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
 _SYMBOLS = {b: chr(256 + i) for i, b in enumerate(_UNPRINTABLE)}
 #: Entries of the younger half of the cache before it becomes the older half.
-_CACHE_ENTRIES = 800_000
-#: From so many entries on a stretch is kept only when it is met again.
-_FREE_ENTRIES = 300_000
+ENTRIES = 400_000
 _MET = 1 << 22
 
 
@@ -55,7 +53,7 @@ class Encoder:
     drop it (word-end symbols); which is found out once from two letters.
     """
 
-    def __init__(self, path: str, width: int = 4, ordinary: bool = False):
+    def __init__(self, path: str, width: int = 4, ordinary: bool = False, entries: int = ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -73,6 +71,7 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.met = bytearray(_MET)
+        self.entries = entries
         self.line_feed = self._bytes(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -82,8 +81,8 @@ class Encoder:
         return [array(self.code, ids).tobytes() for ids in self._ids(texts)]
 
     def _keep(self, learnt: dict[str, bytes]) -> None:
-        """Take stretches into the cache: all while it is small, then those met before."""
-        if len(self.known) < _FREE_ENTRIES:
+        """Take stretches into the cache: all until it is two fifths full, then those met before."""
+        if len(self.known) < 2 * self.entries // 5:
             self.known.update(learnt)
             return
         met, older = self.met, self.older
@@ -93,7 +92,7 @@ class Encoder:
                 self.known[p] = ids
             else:
                 met[at] = 1
-        if len(self.known) > _CACHE_ENTRIES:
+        if len(self.known) > self.entries:
             self.older, self.known = self.known, {}
             self.met = bytearray(_MET)
 
@@ -179,11 +178,11 @@ class Encoder:
                 yield out[i] if i in skip else b"".join(got)
 
 
-def encoder(path: str, width: int = 4, ordinary: bool = False) -> Encoder:
-    """One encoder per worker process and vocabulary."""
+def encoder(path: str, width: int = 4, ordinary: bool = False, entries: int = ENTRIES) -> Encoder:
+    """One encoder per worker process and vocabulary; to be asked for at a task's start."""
+    key = ("encoder", path, width, ordinary, entries)
+    release(key)
     cache = worker_cache()
-    key = ("encoder", path, width, ordinary)
     if key not in cache:
-        cache[key] = Encoder(path, width, ordinary)
+        cache[key] = Encoder(path, width, ordinary, entries)
     return cache[key]
-

@@ -27,12 +27,8 @@ def test_encoder_equals_library(encoder, texts):
         assert np.frombuffer(ids, encoder.dtype).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_encoder_cache_turnover(monkeypatch):
-    from quarryline.llm import tokens
-
-    monkeypatch.setattr(tokens, "_CACHE_ENTRIES", 50)
-    monkeypatch.setattr(tokens, "_FREE_ENTRIES", 20)
-    e = Encoder(vocabulary("byte_bpe_50k.json"), 2)
+def test_encoder_cache_turnover():
+    e = Encoder(vocabulary("byte_bpe_50k.json"), 2, entries=50)
     texts = [prose(i, 200) + ". Été!!\nNew" for i in range(30)]
     for text, ids in zip(texts, e.many(texts, group=3), strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
