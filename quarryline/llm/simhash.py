@@ -192,24 +192,40 @@ def exact_plan(sample: np.ndarray, total: int, tau: int, parts: tuple[int, ...]
     return make_plan(sample, total, tau, [correlated_groups(sample.astype(np.float64), m) for m in parts], min(tau, 2))
 
 
-def wide_plan(sample: np.ndarray, total: int, rounds: int = 3, spare: int = 6, seed: int = 5) -> Plan:
+def expected_recall(width: int, probes: int, bits: int = 1024, similarity: float = 0.8) -> float:
+    """The share of pairs of a Jaccard ``similarity`` that ``probes`` partitions of ``width`` bits meet.
+
+    Sets of equal size, the farthest case, differ in a share p = acos(2s / (1 + s)) / pi of the
+    bits; the mean is over the binomial spread of that distance, taken as normal.
+    """
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    z = np.linspace(-5, 5, 201)
+    weight = np.exp(-z * z / 2)
+    share = np.clip(p + z * np.sqrt(p * (1 - p) / bits), 0, 1)
+    return float(1 - ((1 - (1 - share) ** width) ** probes * weight).sum() / weight.sum())
+
+
+def wide_plan(sample: np.ndarray, total: int, spare: int = 6, seed: int = 5, recall: float = 0.99, similarity: float = 0.8) -> Plan:
     """A plan for long fingerprints and a large radius.
 
     Partitions have log2(total) + ``spare`` bits, so that unrelated rows
     seldom meet at any size of the table. The first round groups correlated
-    bits, further rounds group the same bits anew. m partitions in a round meet
-    every pair within m - 1 bits for certain; a pair that differs in a share
-    p of its bits is met with probability 1 - (1 - (1 - p)^width)^(rounds * m).
+    bits, further rounds group the same bits anew, as many as it takes to meet
+    pairs of ``similarity`` with a probability of ``recall``: wider partitions
+    are met more seldom, so rounds grow with the table.
     """
     bits = sample.shape[1]
     width = min(40, max(16, int(np.ceil(np.log2(max(total, 2)))) + spare))
     parts = bits // width
+    rounds = 1
+    while expected_recall(int(np.ceil(bits / parts)), rounds * parts, bits, similarity) < recall:
+        rounds += 1
     groups = correlated_groups(sample.astype(np.float64), parts)
     rng = np.random.default_rng(seed)
     for _ in range(rounds - 1):
         order = rng.permutation(bits)
         groups = groups + [sorted(order[i::parts].tolist()) for i in range(parts)]
-    return make_plan(sample, total, len(groups) - 1, [groups], 1)
+    return Plan(groups, [0] * len(groups))
 
 
 def _bits(column: list[bytes]) -> np.ndarray:

@@ -204,3 +204,13 @@ def test_tuning():
     bands, rows = paragraphs.tune()
     assert bands * rows <= paragraphs.PERMUTATIONS and 1 - (1 - 0.8**rows) ** bands >= 0.995
     assert paragraphs.tune(4, 0.2, 0.9999) == (4, 1)
+
+
+def test_wide_plan_keeps_its_recall_at_every_size():
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 2, (600, 1024)).astype(np.uint8)
+    p = np.arccos(1.6 / 1.8) / np.pi  # share of bits in which pairs of Jaccard 0.8 differ
+    other = one ^ (rng.random(one.shape) < p).astype(np.uint8)
+    for total in (10_000, 200_000, 12_000_000, 100_000_000):
+        plan = simhash.wide_plan(one, total)
+        assert (plan.keys(one) == plan.keys(other)).any(axis=1).mean() >= 0.98
