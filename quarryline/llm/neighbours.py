@@ -70,6 +70,8 @@ def forest_links(rows: DataFrame, relate: Callable[[list], Callable[[int], np.nd
         forest, a, b = Forest(len(names)), [], []
         linked = relate(payloads)
         for i in range(len(names) - 1):
+            if len(a) == len(names) - 1:  # all are linked
+                break
             for j in np.flatnonzero(linked(i)):
                 if forest.join(i, i + 1 + int(j)):
                     a.append(names[i])

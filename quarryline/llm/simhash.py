@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from .common import IdFilter, components, materialize, pick, plain, prepare, release, sliced
 from .neighbours import forest_links, shared_keys
+from .paragraphs import jaccard, shingles
 
 #: Odd multipliers for fingerprints of more than 64 bits come from this stream (splitmix64).
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -292,16 +293,92 @@ def simhash_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(spark, docs).select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").cast("long").alias("component_id"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, tau: int = 175, shingle: int = 5, bits: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
+def text_prints(docs: DataFrame, id: str, text: str, shingle: int, bits: int) -> DataFrame:
+    """(id, content, fp): a digest of each text's lower-cased words and the fingerprint of its distinct shingles."""
+    import pyarrow as pa
+
+    prepare(docs.sparkSession)
+    expanders = _expanders(bits // 64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        release()
+        for b in sliced(batches):
+            words = [t.encode().lower().split() if t else [] for t in b.column(1).to_pylist()]
+            contents = [xxh3_128_digest(b" ".join(w)) for w in words]
+            found = [fingerprint(shingles(w, shingle), expanders) for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(contents, pa.binary()), pa.array(found, pa.binary())], names=["id", "content", "fp"])
+
+    rows = pick(docs, id=id, text=text)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, content binary, fp binary")
+
+
+def text_shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
+    """(content, payload): shingle sets of the texts that ``wanted`` (id, contents) names."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        for b in sliced(batches):
+            out = []
+            for t, contents in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                words = t.encode().lower().split() if t else []
+                content = xxh3_128_digest(b" ".join(words))
+                if content in contents:
+                    out.append((content, shingles(words, shingle).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["content", "payload"])
+
+    wanted = materialize(wanted, "wanted")
+    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
+    return some.join(wanted, "id").select("text", "contents").mapInArrow(run, "content binary, payload binary").dropDuplicates(["content"])
+
+
+def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, radius: int, shingle: int, bits: int, id: str, text: str) -> DataFrame:
+    """(id, root) of every row with an id: ``root`` is the smallest id that links of exact similarity reach.
+
+    Fingerprints within ``radius`` bits that a probe meets only say which texts
+    are compared: texts of a component of such pairs are compared each with
+    each, in bounded blocks, by the exact Jaccard similarity of their shingle sets.
+    """
+    prints = materialize(text_prints(docs, id, text, shingle, bits).where("id is not null"), "prints")
+    distinct = materialize(prints.groupBy("content").agg(F.min("id").alias("rep"), F.first("fp").alias("fp")), "distinct")
+    total = distinct.count()
+    classed = distinct.select("content", F.col("rep").alias("root"))
+    if total > 1:
+        some = [bytes(r.fp) for r in distinct.select("fp").orderBy(F.xxhash64("content"), "content").limit(SAMPLE).collect()]
+        plan = wide_plan(_bits(some), total, similarity=similarity)
+        named = distinct.withColumn("member", F.xxhash64("content"))
+        met = shared_keys(key_rows(named.select("fp", F.col("member").alias("rep")), plan))
+        payload = named.select("member", F.col("fp").alias("payload"))
+        near = components(forest_links(met.join(payload, "member"), within(radius), "member", "payload"))
+        groups = materialize(named.join(near, named.member == near.node).select("content", "rep", F.col("component").alias("key")), "groups")
+        wanted = groups.groupBy(F.col("rep").alias("id")).agg(F.collect_list("content").alias("contents"))
+        sets = text_shingles(docs, wanted, id, text, shingle)
+        pairs = shared_keys(groups.select("key", F.col("content").alias("member")), block=256)
+        links = forest_links(pairs.join(sets, pairs.member == sets.content).drop("content"), jaccard(similarity), "member", "payload")
+        linked = groups.join(components(links), F.col("content") == F.col("node")).select("content", "component", "rep")
+        roots = linked.groupBy("component").agg(F.min("rep").alias("low"))
+        roots = linked.join(roots, "component").select("content", "low")
+        classed = classed.join(roots, "content", "left").select("content", F.coalesce("low", "root").alias("root"))
+    return prints.select("id", "content").join(classed, "content").select("id", "root")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = 0.8, radius: int = 242, shingle: int = 5, bits: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, without near copies: of a class the smallest id stays.
 
-    Five-word shingles; ``tau`` of 1024 bits admits nearly all pairs of a Jaccard
-    similarity of 0.8 (mean distance 155, deviation 12). Of rows with the same id one stays; null ids stay.
+    Links are pairs whose sets of five-word shingles have an exact Jaccard
+    similarity of ``similarity`` or more. Pairs of 0.8 have fingerprints 155
+    bits of 1024 apart on average (deviation 12), and at most 192 where texts
+    are a few shingles long; ``radius`` lies four deviations beyond. Of rows with the same id one stays; null ids stay.
     """
+    prepare(spark)
     rows, names = plain(docs)
     own, body = f"c{names.index(id)}", f"c{names.index(text)}"
-    found = near_duplicates(spark, rows, tau, shingle, bits, wide_plan, own, body)
-    gone = materialize(found.where("id <> component").select(F.col("id").alias("gone")).distinct(), "removed")
+    found = similar_texts(spark, rows, similarity, radius, shingle, bits, own, body)
+    gone = materialize(found.where("id <> root").select(F.col("id").alias("gone")).distinct(), "removed")
     twice = rows.where(F.col(own).isNotNull()).groupBy(F.col(own).alias("gone")).count().where("count > 1").select("gone")
     # texts of rows that stay for certain are not shuffled
     maybe, sure = IdFilter(gone.union(twice), "gone").split(rows, own)

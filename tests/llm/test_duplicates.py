@@ -214,3 +214,26 @@ def test_wide_plan_keeps_its_recall_at_every_size():
     for total in (10_000, 200_000, 12_000_000, 100_000_000):
         plan = simhash.wide_plan(one, total)
         assert (plan.keys(one) == plan.keys(other)).any(axis=1).mean() >= 0.98
+
+
+def test_links_are_exact_similarities(spark):
+    """Texts below a Jaccard similarity of 0.8 stay however near their fingerprints are, those above go."""
+    base = prose(60, 300, 5000).split()
+    rows = [(0, " ".join(base))]
+    for d in range(1, 13):
+        words, edits = list(base), 8 if d <= 8 else 4
+        for e in range(edits):
+            words[e * 36 + d] = f"new{d}"
+        rows.append((d, " ".join(words)))
+    rows.append((13, " ".join(["spam ham eggs"] * 200)))  # its shingles are most of the next one's
+    rows.append((14, " ".join(["spam ham eggs"] * 200) + " " + prose(61, 100, 5000)))
+    sets = {i: set(paragraphs.shingles(t.encode().split()).tolist()) for i, t in rows}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in range(i):
+                if jaccard(sets[i], sets[j]) >= 0.8:
+                    label[i] = label[j] = min(label[i], label[j])
+    kept = {r.doc_id for r in simhash.keep_one(spark, frame(spark, rows)).select("doc_id").collect()}
+    assert {*range(9), 13, 14} <= kept
+    assert kept == {i for i in label if label[i] == i}
