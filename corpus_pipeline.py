@@ -28,9 +28,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without paragraphs that repeat an earlier one."""
+    """All documents, without paragraphs and passages that repeat an earlier one."""
     prepare(spark)
-    return paragraphs.without_repeats(spark, docs)
+    return paragraphs.without_repeats(spark, docs, inside=True)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,14 @@ of at least ``min_run`` words are removals, given as spans of the original
 text: a passage over several lines goes as a whole, while a single short line
 that many texts share, such as a greeting, is no repeated passage.
 
+Passages of ``PASSAGE`` words or more that stand word for word inside longer
+lines, or that are laid out in other lines, are found over a text's words
+whatever its line ends: winnowing picks anchors (runs of ``ANCHOR`` words) so
+that equal passages have an anchor in common, and around anchors that occur
+twice all runs of ``PASSAGE`` words are counted. Every run that stands at an
+earlier place (smallest document id, then word) too is a repeat, joined with
+those it touches.
+
 Edge cases: paragraphs of fewer than ``min_words`` words are never removed and
 neither break nor lengthen a run; null and empty texts have none; rows with a null id are left as they are; of
 rows that occur twice (same id and text) the paragraphs count once and are
@@ -20,6 +28,7 @@ carried through whatever their names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +44,10 @@ SIMILARITY = 0.8
 MIN_WORDS = 8
 MIN_RUN = 30
 PERMUTATIONS = 48
+PASSAGE = 50
+ANCHOR = 25
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 def tune(permutations: int = PERMUTATIONS, similarity: float = SIMILARITY, recall: float = 0.995) -> tuple[int, int]:
@@ -187,20 +200,151 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
 
 
-def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
-    """``docs``, all rows and columns, with repeated paragraphs cut from the texts.
+def run_hashes(words: np.ndarray, size: int, base: int) -> np.ndarray:
+    """Polynomial hashes of all runs of ``size`` words, given the words' hashes."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    up = np.cumprod(np.full(len(words), base, np.uint64))
+    down = np.cumprod(np.full(len(words), pow(base, -1, 1 << 64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up)])
+    return _mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
+
+
+def anchors(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the least run of ``ANCHOR`` words in every ``PASSAGE`` words of one owner."""
+    if len(words) < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    runs = run_hashes(words, ANCHOR, _BASES[0])
+    windows = np.lib.stride_tricks.sliding_window_view(runs, PASSAGE - ANCHOR + 1)
+    own = np.flatnonzero(owner[: len(windows)] == owner[PASSAGE - 1 :])
+    least = np.unique(own + windows.argmin(axis=1)[own])
+    return least, runs[least]
+
+
+def anchor_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, at, anchor): anchors of every text with the number of their first word."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as digest
+
+        release()
+        for b in sliced(batches, 128):
+            texts = [t.encode().lower().split() if t else [] for t in b.column(1).to_pylist()]
+            sizes = np.array([len(t) for t in texts], np.int64)
+            words = np.array([digest(w) for t in texts for w in t], np.uint64)
+            owner = np.repeat(np.arange(len(texts)), sizes)
+            at, found = anchors(words, owner)
+            if len(at):
+                mine = owner[at]
+                first = (np.cumsum(sizes) - sizes)[mine]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(mine)), pa.array((at - first).astype(np.int32)), pa.array(found.view(np.int64))], names=["id", "at", "anchor"])
+
+    source = pick(docs, id=id, text=text).where("id is not null")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, at int, anchor long")
+
+
+def passage_rows(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words around the anchors that ``wanted`` (id, ats) names."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest as digest
+
+        for b in sliced(batches, 128):
+            for row, (t, ats) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
+                data = (t or "").encode()
+                spans = np.array([m.span() for m in _WORD.finditer(data)], np.int64).reshape(-1, 2)
+                runs = len(spans) - PASSAGE + 1
+                near = (np.array(ats)[:, None] - np.arange(PASSAGE - ANCHOR + 1)).ravel()
+                near = np.unique(near[(near >= 0) & (near < runs)])
+                if not len(near):
+                    continue
+                words = np.array([digest(w) for w in data.lower().split()], np.uint64)
+                raw = np.frombuffer(data, np.uint8)
+                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+                lines = np.concatenate([[0], np.cumsum(raw == 10)])
+                starts, stops = spans[near, 0], spans[near + PASSAGE - 1, 1]
+                columns = [near, lines[starts], chars[starts], chars[stops]]
+                keys = [pa.array(run_hashes(words, PASSAGE, base)[near].view(np.int64)) for base in _BASES]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.full(len(near), row))), *(pa.array(c.astype(np.int32)) for c in columns), *keys], names=["id", "at", "place", "start", "stop", "g", "h"])
+
+    wanted = materialize(wanted, "wanted-anchors")
+    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
+    source = some.join(wanted, "id").select("id", "text", "ats")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long")
+
+
+def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated passage; ``length`` in words.
+
+    Inside a text, a run that overlaps its own earlier place is no repeat.
+    """
+    prepare(spark)
+    found = materialize(anchor_rows(docs, id, text), "anchors")
+    twice = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    wanted = found.join(twice, "anchor").groupBy("id").agg(F.collect_set("at").alias("ats"))
+    rows = materialize(passage_rows(docs, wanted, id, text), "passages")
+    first = rows.groupBy("g", "h").agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    apart = (F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)
+    repeats = rows.join(first, ["g", "h"]).where(apart).select("id", "at", "place", "start", "stop", "first").distinct()
+    mine = Window.partitionBy("id", "first.id").orderBy("at")
+    gap = F.coalesce((F.col("at") - F.lag("at").over(mine) > PASSAGE).cast("int"), F.lit(0))
+    joined = repeats.withColumn("gap", gap).withColumn("island", F.sum("gap").over(mine))
+    spans = joined.groupBy("id", F.col("first.id").alias("keeper_id"), "island").agg(
+        F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("at") - F.min("at") + PASSAGE).alias("length"), F.min_by("first.place", "at").alias("keeper_place")
+    )
+    return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place")
+
+
+def cut(text: str, places: set[int], spans: list[tuple[int, int]]) -> str:
+    """``text`` without the lines of ``places`` and the characters of ``spans``; lines that spans leave blank go."""
+    gone = np.zeros(len(text) + 1, bool)
+    for start, stop in spans:
+        gone[start:stop] = True
+    left, at = [], 0
+    for place, line in enumerate(text.split("\n")):
+        mask = gone[at : at + len(line)]
+        at += len(line) + 1
+        if place in places:
+            continue
+        if mask.any():
+            line = "".join(c for c, out in zip(line, mask.tolist(), strict=True) if not out)
+            if not line.strip():
+                continue
+        left.append(line)
+    return "\n".join(left)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str = "n_chars", inside: bool = False) -> DataFrame:
+    """``docs``, all rows and columns, with repeated paragraphs (and passages ``inside`` lines) cut from the texts.
 
     A column named ``chars`` is brought up to date with the text's length.
     """
+    import pyarrow as pa
+
     rows, names = plain(docs)
     own, body = f"c{names.index(id)}", f"c{names.index(text)}"
-    gone = materialize(removals(spark, rows, own, body).groupBy(F.col("id").alias("gone")).agg(F.collect_set("place").alias("places")), "cuts")
+    found = removals(spark, rows, own, body).select("id", "place", F.lit(None).cast("struct<start:int,stop:int>").alias("span"))
+    if inside:
+        found = found.unionByName(passages(spark, rows, own, body).select("id", F.lit(None).cast("int").alias("place"), F.struct("start", "stop").alias("span")))
+    gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("place").alias("places"), F.collect_set("span").alias("spans"))
+    gone = materialize(gone, "cuts")
     # texts that stay whole for certain are not shuffled
     maybe, sure = IdFilter(gone, "gone").split(rows, own)
-    both = maybe.join(gone, maybe[own] == gone["gone"], "left")
-    left = F.array_join(F.filter(F.split(F.col(body), "\n", -1), lambda line, place: ~F.array_contains("places", place)), "\n")
-    cut = {body: F.when(F.col("places").isNull(), F.col(body)).otherwise(left)}
-    if chars in names:
-        count = f"c{names.index(chars)}"
-        cut[count] = F.when(F.col("places").isNull(), F.col(count)).otherwise(F.length(left).cast(rows.schema[count].dataType))
-    return sure.unionByName(both.select(*[cut.get(c, F.col(c)).alias(c) for c in rows.columns])).toDF(*names)
+    both = maybe.join(gone, maybe[own] == gone["gone"], "left").drop("gone")
+
+    count = f"c{names.index(chars)}" if chars in names else None
+    columns = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, 128):
+            new = {c: b.column(c).to_pylist() for c in (body, count) if c}
+            for i, (places, spans) in enumerate(zip(b.column("places").to_pylist(), b.column("spans").to_pylist(), strict=True)):
+                if new[body][i] is not None and (places or spans):
+                    new[body][i] = cut(new[body][i], set(places), [(x["start"], x["stop"]) for x in spans])
+                    if count:
+                        new[count][i] = len(new[body][i])
+            yield pa.RecordBatch.from_arrays([pa.array(new[c], b.schema.field(c).type) if c in new else b.column(c) for c in columns], names=columns)
+
+    return sure.unionByName(both.mapInArrow(run, rows.schema)).toDF(*names)

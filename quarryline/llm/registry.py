@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import brown, chat, contamination, impact, keyed, packing, paragraphs, quality, simhash, tokenfiles
 from .common import prepare, table
@@ -51,8 +52,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs that repeat an earlier one, with the one that stays."""
-    found = paragraphs.removals(spark, table(spark, sf_dir, "documents"))
+    """Paragraphs and passages that repeat an earlier one, with the one that stays."""
+    docs = table(spark, sf_dir, "documents")
+    lines = paragraphs.removals(spark, docs).withColumn("kind", F.lit("paragraph"))
+    inside = paragraphs.passages(spark, docs).drop("length").withColumn("kind", F.lit("passage"))
+    found = lines.unionByName(inside)
     return found.withColumnsRenamed({"id": "doc_id", "keeper_id": "keeper_doc_id"})
 
 

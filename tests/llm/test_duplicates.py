@@ -237,3 +237,41 @@ def test_links_are_exact_similarities(spark):
     kept = {r.doc_id for r in simhash.keep_one(spark, frame(spark, rows)).select("doc_id").collect()}
     assert {*range(9), 13, 14} <= kept
     assert kept == {i for i in label if label[i] == i}
+
+
+def brute_passages(rows):
+    """Words (id, number) of texts in a run of 50 words that stands earlier too and not over itself."""
+    first, gone = {}, set()
+    for i, t in sorted(rows):
+        words = t.lower().split()
+        for at in range(len(words) - 49):
+            run = tuple(words[at : at + 50])
+            doc, was = first.setdefault(run, (i, at))
+            if doc != i or at >= was + 50:
+                gone |= {(i, k) for k in range(at, at + 50)}
+    return gone
+
+
+def test_passages_inside_lines(spark):
+    shared = [prose(300 + i, n, 3000) for i, n in enumerate((49, 50, 53, 90, 64))]
+    rows = []
+    for d in range(24):
+        around = [prose(400 + 2 * d + i, 40 + d, 3000) for i in range(2)]
+        words = shared[d % 5].split()
+        whole = " ".join(words) if d % 2 else "\n".join(" ".join(words[k : k + 6]) for k in range(0, len(words), 6))  # lines of six words
+        rows.append((d, f"é  {around[0]} {whole} {around[1]}"))
+    rows.append((50, "la " * 80))
+    rows.append((51, "la " * 130))
+    rows.append((52, " ".join([shared[3].upper(), prose(9, 20), shared[3], "\n", shared[4], "日本"])))
+    found = paragraphs.passages(spark, frame(spark, rows)).collect()
+    texts, gone = dict(rows), set()
+    for r in found:
+        before, span = texts[r.id][: r.start].split(), texts[r.id][r.start : r.stop]
+        assert r.length == len(span.split()) >= 50 and r.keeper_id <= r.id and r.place == texts[r.id][: r.start].count("\n")
+        gone |= {(r.id, len(before) + k) for k in range(r.length)}
+    assert gone == brute_passages(rows) and len({i for i, _ in gone}) > 15
+    whole = paragraphs.without_repeats(spark, frame(spark, rows), inside=True)
+    left = {r.c0: r.c1 for r in whole.toDF(*[f"c{i}" for i in range(len(whole.columns))]).collect()}
+    for i, t in rows:
+        if i < 24:
+            assert left[i].split() == [w for k, w in enumerate(t.split()) if (i, k) not in gone]
