@@ -19,7 +19,8 @@ twice all runs of ``PASSAGE`` words are counted. Every run that stands at an
 earlier place (smallest document id, then word) too is a repeat, joined with
 those it touches.
 
-Edge cases: paragraphs of fewer than ``min_words`` words are never removed and
+Edge cases: lines of fewer than ``min_words`` words are joined to the short ones
+next to them; where these have too few words too, they are never removed and
 neither break nor lengthen a run; null and empty texts have none; rows with a null id are left as they are; of
 rows that occur twice (same id and text) the paragraphs count once and are
 removed or kept in both; an empty table has no removals; other columns are
@@ -60,12 +61,26 @@ def tune(permutations: int = PERMUTATIONS, similarity: float = SIMILARITY, recal
 
 
 def split(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(place, start, stop, words) of each paragraph that is long enough; offsets in characters."""
-    at = 0
-    for place, line in enumerate((text or "").split("\n")):
-        words = line.encode().lower().split()
-        if len(words) >= min_words:
+    """(place, start, stop, words) of each paragraph that is long enough; offsets in characters.
+
+    Short lines that follow each other, blank ones left aside, are one
+    paragraph, with the first one's place.
+    """
+    at, short = 0, []
+    for place, line in enumerate([*(text or "").split("\n"), None]):
+        words = line.encode().lower().split() if line is not None else []
+        long = len(words) >= min_words
+        if (long or line is None) and short:
+            joined = [w for *_, some in short for w in some]
+            if len(joined) >= min_words:
+                yield short[0][0], short[0][1], short[-1][2], joined
+            short = []
+        if line is None:
+            return
+        if long:
             yield place, at, at + len(line), words
+        elif words:
+            short.append((place, at, at + len(line), words))
         at += len(line) + 1
 
 
@@ -178,7 +193,7 @@ def jaccard(similarity: float):
 
 
 def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, min_run: int = MIN_RUN) -> DataFrame:
-    """(id, place, start, stop, keeper_id, keeper_place) of every paragraph to remove."""
+    """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated paragraph in a run of ``min_run`` words; ``length`` is its run's."""
     prepare(spark)
     bands, rows = tune(similarity=similarity)
     found = materialize(paragraph_rows(docs, id, text, bands, rows), "paragraphs")
@@ -197,7 +212,7 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     # repeats without a gap in their turns are a run
     run = F.col("turn") - F.row_number().over(Window.partitionBy("id").orderBy("turn"))
     runs = repeats.withColumn("run", run).withColumn("length", F.sum("words").over(Window.partitionBy("id", "run")))
-    return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
+    return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", "length", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
 
 
 def run_hashes(words: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -297,17 +312,15 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place")
 
 
-def cut(text: str, places: set[int], spans: list[tuple[int, int]]) -> str:
-    """``text`` without the lines of ``places`` and the characters of ``spans``; lines that spans leave blank go."""
+def cut(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the characters of ``spans``; lines that this leaves blank go."""
     gone = np.zeros(len(text) + 1, bool)
     for start, stop in spans:
         gone[start:stop] = True
     left, at = [], 0
-    for place, line in enumerate(text.split("\n")):
+    for line in text.split("\n"):
         mask = gone[at : at + len(line)]
         at += len(line) + 1
-        if place in places:
-            continue
         if mask.any():
             line = "".join(c for c, out in zip(line, mask.tolist(), strict=True) if not out)
             if not line.strip():
@@ -325,10 +338,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
 
     rows, names = plain(docs)
     own, body = f"c{names.index(id)}", f"c{names.index(text)}"
-    found = removals(spark, rows, own, body).select("id", "place", F.lit(None).cast("struct<start:int,stop:int>").alias("span"))
+    span = F.struct("start", "stop").alias("span")
+    found = removals(spark, rows, own, body).select("id", span)
     if inside:
-        found = found.unionByName(passages(spark, rows, own, body).select("id", F.lit(None).cast("int").alias("place"), F.struct("start", "stop").alias("span")))
-    gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("place").alias("places"), F.collect_set("span").alias("spans"))
+        found = found.unionByName(passages(spark, rows, own, body).select("id", span))
+    gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("span").alias("spans"))
     gone = materialize(gone, "cuts")
     # texts that stay whole for certain are not shuffled
     maybe, sure = IdFilter(gone, "gone").split(rows, own)
@@ -340,9 +354,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 128):
             new = {c: b.column(c).to_pylist() for c in (body, count) if c}
-            for i, (places, spans) in enumerate(zip(b.column("places").to_pylist(), b.column("spans").to_pylist(), strict=True)):
-                if new[body][i] is not None and (places or spans):
-                    new[body][i] = cut(new[body][i], set(places), [(x["start"], x["stop"]) for x in spans])
+            for i, spans in enumerate(b.column("spans").to_pylist()):
+                if new[body][i] is not None and spans:
+                    new[body][i] = cut(new[body][i], [(x["start"], x["stop"]) for x in spans])
                     if count:
                         new[count][i] = len(new[body][i])
             yield pa.RecordBatch.from_arrays([pa.array(new[c], b.schema.field(c).type) if c in new else b.column(c) for c in columns], names=columns)

@@ -52,10 +52,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs and passages that repeat an earlier one, with the one that stays."""
+    """All paragraphs and passages that repeat an earlier one, with their runs' words and the one that stays."""
     docs = table(spark, sf_dir, "documents")
-    lines = paragraphs.removals(spark, docs).withColumn("kind", F.lit("paragraph"))
-    inside = paragraphs.passages(spark, docs).drop("length").withColumn("kind", F.lit("passage"))
+    lines = paragraphs.removals(spark, docs, min_run=0).withColumn("kind", F.lit("paragraph"))
+    inside = paragraphs.passages(spark, docs).withColumn("kind", F.lit("passage"))
     found = lines.unionByName(inside)
     return found.withColumnsRenamed({"id": "doc_id", "keeper_id": "keeper_doc_id"})
 
