@@ -237,30 +237,42 @@ def anchors(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def anchor_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, at, anchor): anchors of every text with the number of their first word."""
+    """(id, content, place, start, stop, words, ats, anchors) of texts of ``PASSAGE`` words or more.
+
+    ``content`` is a digest of the words, ``start`` and ``stop`` are the first and last word's; ``ats`` number the anchors' first words.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as digest
+        from xxhash import xxh3_128_digest
 
         release()
         for b in sliced(batches, 128):
-            texts = [t.encode().lower().split() if t else [] for t in b.column(1).to_pylist()]
+            long = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                data = (t or "").encode()
+                words = data.lower().split()
+                if len(words) >= PASSAGE:
+                    start = len(data) - len(data.lstrip())
+                    long.append((i, xxh3_128_digest(b" ".join(words)), data[:start].count(b"\n"), start, len(t) - len(data) + len(data.rstrip()), words))
+            if not long:
+                continue
+            ids, contents, *numbers, texts = zip(*long, strict=True)
             sizes = np.array([len(t) for t in texts], np.int64)
-            words = np.array([digest(w) for t in texts for w in t], np.uint64)
             owner = np.repeat(np.arange(len(texts)), sizes)
-            at, found = anchors(words, owner)
-            if len(at):
-                mine = owner[at]
-                first = (np.cumsum(sizes) - sizes)[mine]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(mine)), pa.array((at - first).astype(np.int32)), pa.array(found.view(np.int64))], names=["id", "at", "anchor"])
+            at, found = anchors(np.array([digest(w) for t in texts for w in t], np.uint64), owner)
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[at], minlength=len(texts)))]).astype(np.int32))
+            at = at - (np.cumsum(sizes) - sizes)[owner[at]]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(at.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(contents, pa.binary()), *(pa.array(n, pa.int32()) for n in (*numbers, sizes)), *lists], names=["id", "content", "place", "start", "stop", "words", "ats", "anchors"])
 
     source = pick(docs, id=id, text=text).where("id is not null")
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, at int, anchor long")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, content binary, place int, start int, stop int, words int, ats array<int>, anchors array<long>")
 
 
 def passage_rows(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words around the anchors that ``wanted`` (id, ats) names."""
+    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words (by hashes of 64 and 32 bits) around the anchors that ``wanted`` (id, ats) names."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +293,7 @@ def passage_rows(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> Data
                 lines = np.concatenate([[0], np.cumsum(raw == 10)])
                 starts, stops = spans[near, 0], spans[near + PASSAGE - 1, 1]
                 columns = [near, lines[starts], chars[starts], chars[stops]]
-                keys = [pa.array(run_hashes(words, PASSAGE, base)[near].view(np.int64)) for base in _BASES]
+                keys = [pa.array((run_hashes(words, PASSAGE, base)[near] >> np.uint64(cut)).view(np.int64)) for base, cut in zip(_BASES, (0, 32), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.full(len(near), row))), *(pa.array(c.astype(np.int32)) for c in columns), *keys], names=["id", "at", "place", "start", "stop", "g", "h"])
 
     wanted = materialize(wanted, "wanted-anchors")
@@ -293,23 +305,29 @@ def passage_rows(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> Data
 def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated passage; ``length`` in words.
 
-    Inside a text, a run that overlaps its own earlier place is no repeat.
+    A text that has all its words in common with one of a smaller id is one
+    passage. Inside a text, a run that overlaps its own earlier place is no repeat.
     """
     prepare(spark)
     found = materialize(anchor_rows(docs, id, text), "anchors")
-    twice = found.groupBy("anchor").count().where("count > 1").select("anchor")
-    wanted = found.join(twice, "anchor").groupBy("id").agg(F.collect_set("at").alias("ats"))
-    rows = materialize(passage_rows(docs, wanted, id, text), "passages")
-    first = rows.groupBy("g", "h").agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    apart = (F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)
-    repeats = rows.join(first, ["g", "h"]).where(apart).select("id", "at", "place", "start", "stop", "first").distinct()
+    # texts of the same words are compared by one of them; an id of several texts is compared by all
+    texts = found.groupBy("content").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    several = found.groupBy("id").agg(F.min("content").alias("one"), F.max("content").alias("other")).where("one <> other").select("id")
+    copies = found.drop("ats", "anchors").distinct().join(texts, "content").where(F.col("id") != F.col("first.id")).join(several, "id", "left_anti")
+    copies = materialize(copies.select("id", "place", "start", "stop", F.col("words").alias("length"), F.col("first.id").alias("keeper_id"), F.col("first.place").alias("keeper_place")), "copies")
+    listed = found.join(copies.select("id"), "id", "left_anti").select("id", F.explode(F.arrays_zip("ats", "anchors")).alias("a")).select("id", "a.ats", "a.anchors")
+    twice = listed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchors"))).where("n > 1")
+    wanted = twice.groupBy("id").agg(F.collect_set("ats").alias("ats"))
+    same = Window.partitionBy("g", "h")
+    rows = passage_rows(docs, wanted, id, text).withColumn("first", F.min(F.struct("id", "at", "place")).over(same))
+    repeats = rows.where((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)).drop("g", "h")
     mine = Window.partitionBy("id", "first.id").orderBy("at")
     gap = F.coalesce((F.col("at") - F.lag("at").over(mine) > PASSAGE).cast("int"), F.lit(0))
     joined = repeats.withColumn("gap", gap).withColumn("island", F.sum("gap").over(mine))
     spans = joined.groupBy("id", F.col("first.id").alias("keeper_id"), "island").agg(
         F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("at") - F.min("at") + PASSAGE).alias("length"), F.min_by("first.place", "at").alias("keeper_place")
     )
-    return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place")
+    return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place").unionByName(copies)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
