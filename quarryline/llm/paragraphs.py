@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import IdFilter, components, materialize, pick, plain, prepare, release, sliced
+from .common import IdFilter, components, freed, materialize, pick, plain, prepare, release, sliced
 from .neighbours import forest_links, shared_keys
 
 SHINGLE = 5
@@ -359,6 +359,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     span = F.struct("start", "stop").alias("span")
     found = removals(spark, rows, own, body).select("id", span)
     if inside:
+        found = freed(found, "cut-lines")
         found = found.unionByName(passages(spark, rows, own, body).select("id", span))
     gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("span").alias("spans"))
     gone = materialize(gone, "cuts")
