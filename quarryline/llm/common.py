@@ -124,6 +124,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     Alternating large-star and small-star contraction; every round is joins
     and grouped minima only, so no node's neighbours are gathered in a task.
     ``component`` is the smallest node reachable. Nodes are any ordered type.
+    A graph that is not contracted after ``max_rounds`` is an error.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -146,6 +147,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components not contracted after {max_rounds} rounds")
     stars = spark.read.schema(schema).parquet(path)
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -291,3 +292,9 @@ def test_op9_reports_every_repeat_with_its_run(spark, tmp_path):
     assert found == {(2, 0): (9, 1, 1), (2, 2): (20, 1, 2), (2, 4): (25, 1, 4), (4, 1): (40, 3, 1)}
     cut = {r.c0: r.c1 for r in paragraphs.without_repeats(spark, frame(spark, rows)).toDF(*[f"c{i}" for i in range(11)]).collect()}
     assert cut[2] == rows[1][1] and cut[4] == prose(508, 70)  # only the pipeline's stage asks for runs of 30 words
+
+
+def test_unfinished_components_are_an_error(spark):
+    edges = spark.range(60).selectExpr("id AS a", "id + 1 AS b")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        common.components(edges, max_rounds=2)
