@@ -54,7 +54,7 @@ class Forest:
 
 
 def forest_links(rows: DataFrame, relate: Callable[[list], Callable[[int], np.ndarray]], member: str, payload: str, key: str = "key") -> DataFrame:
-    """(a, b): spanning links of every group of ``shared_keys``.
+    """(a, b): links that span the trees of verified links of every group of ``shared_keys``.
 
     ``relate(payloads)`` gives a function that says for a group's member i
     which of the members after it are linked to it. Groups are runs of a partition that is dealt by
@@ -66,16 +66,18 @@ def forest_links(rows: DataFrame, relate: Callable[[list], Callable[[int], np.nd
 
     def links(group: list) -> tuple[list, list]:
         found = {m: p for m, p in group}  # a member meets itself where lo = hi
-        names, payloads = list(found), list(found.values())
-        forest, a, b = Forest(len(names)), [], []
+        names = sorted(found)
+        payloads = [found[m] for m in names]
+        forest, joined = Forest(len(names)), 0
         linked = relate(payloads)
         for i in range(len(names) - 1):
-            if len(a) == len(names) - 1:  # all are linked
+            if joined == len(names) - 1:  # all are linked
                 break
             for j in np.flatnonzero(linked(i)):
-                if forest.join(i, i + 1 + int(j)):
-                    a.append(names[i])
-                    b.append(names[i + 1 + int(j)])
+                joined += forest.join(i, i + 1 + int(j))
+        # stars around a tree's least member: the links of many keys' groups coincide
+        tops = [forest.find(i) for i in range(len(names))]
+        a, b = ([names[t] for i, t in enumerate(tops) if t != i], [names[i] for i, t in enumerate(tops) if t != i])
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
