@@ -2,7 +2,8 @@
 
 Words are put into classes by exchange clustering: in turn, each item is moved
 to the class in which the class-bigram likelihood of the training text is
-highest, until a sweep moves nothing. Items are the most frequent words, each
+highest, until a sweep moves nothing or 12 sweeps are done, so the classes need
+not be a local optimum. Items are the most frequent words, each
 by itself, the end of a text, and a fixed number of word forms (by a word's
 last bytes) that share out all other words; so every word has a class, and the
 class map has a bounded size at any size of the corpus. Counts of words,
