@@ -10,23 +10,20 @@ import sys
 import tempfile
 import uuid
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-#: Rows of an Arrow batch: texts are long, and a batch is held several times over.
-BATCH_ROWS = 1024
+#: Bytes of an Arrow batch: texts are long, and a batch is held several times over.
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started, and get small batches."""
-    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Let Python workers import this package wherever the driver was started, and get batches of bounded bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     # workers hand freed memory back: large blocks are mapped on their own, at a threshold that stays
     for name, value in {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}.items():
@@ -39,11 +36,14 @@ def prepare(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a local temporary
-    folder is set as that folder.
+    Only where the session names none and all of Spark is one process (tests,
+    one machine) a local temporary folder is set as that folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = getattr(spark, "_quarryline_dir", None)
         if found is None:
             found = "file://" + tempfile.mkdtemp(prefix="quarryline-")
@@ -55,12 +55,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executors."""
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (a folder per value of ``by``) and read it back: cuts lineage, survives executors."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quarryline_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what :func:`materialize` wrote for frames that nothing reads any more."""
+    for df in frames:
+        delete_path(df.sparkSession, df._quarryline_path)
 
 
 def freed(df: DataFrame, label: str) -> DataFrame:
@@ -118,13 +127,26 @@ def exclusive_prefix(df: DataFrame, order: str, sums: dict[str, str], span: int
     return out.drop("_span", *[f"_b_{n}" for n in sums])
 
 
+def spread_join(rows: DataFrame, side: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with a ``side`` of one row a value of ``column``, also where a value has very many rows.
+
+    A side that was aggregated by ``column`` would lend the join its
+    partitioning, and a hot value's rows would all be one task's. A key of its
+    own makes both sides exchange for the join, whose skewed partitions Spark
+    then splits.
+    """
+    key = "_quarryline_key"
+    return rows.withColumn(key, F.struct(column)).join(side.withColumn(key, F.struct(column)).drop(column), key, how).drop(key)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge table: rows (node, component).
 
     Alternating large-star and small-star contraction; every round is joins
-    and grouped minima only, so no node's neighbours are gathered in a task.
-    ``component`` is the smallest node reachable. Nodes are any ordered type.
-    A graph that is not contracted after ``max_rounds`` is an error.
+    and grouped minima only, so no node's neighbours are gathered in a task,
+    and a root with very many leaves is split over tasks. ``component`` is the
+    smallest node reachable. Nodes are any ordered type. A graph that is not
+    contracted after ``max_rounds`` is an error.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -136,9 +158,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         current = spark.read.schema(schema).parquet(path)
         both = current.select(F.col("u").alias("x"), F.col("v").alias("y")).union(current.select(F.col("v").alias("x"), F.col("u").alias("y")))
         low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(low, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = spread_join(both, low, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
+        small = spread_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
         after = fresh_path(spark, "edges")
         small.write.parquet(after)
         delete_path(spark, path)
@@ -159,50 +181,52 @@ def plain(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     return docs.toDF(*[f"c{i}" for i in range(len(names))]), names
 
 
-#: Bits of an id filter: 8 MB whatever the table's size.
-FILTER_BITS = 1 << 26
-_PLACE = "_quarryline_place"
+#: Bits of an id filter, at most 2^19 rows of one word each whatever the table's size.
+FILTER_BITS = 1 << 25
 
 
 class IdFilter:
-    """A bitmap of hashed ids of fixed size, to send few wide rows through a join.
+    """A bitmap of hashed values of fixed size, to send few rows through a join.
 
-    Rows whose id is not in it are certainly not among the ids; the others may
-    be, and an exact join decides. The more ids, the more rows take the join.
+    Rows whose value is not in it are certainly not among the values; the
+    others may be, and an exact join decides. The more values, the more rows
+    take the join. The bitmap's words are a broadcast table of at most
+    ``FILTER_BITS / 64`` rows.
     """
 
-    def __init__(self, ids: DataFrame, column: str):
-        self.spark = ids.sparkSession
-        prepare(self.spark)
-        words = ids.select(self._place(F.col(column)).alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, CAST(p & 63 AS INT)) AS b")
-        # one row per word of the bitmap: at most FILTER_BITS / 64
-        found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-        bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-        bitmap[found["w"].to_numpy()] = found["b"].to_numpy()
-        self.bitmap = self.spark.sparkContext.broadcast(bitmap)
+    def __init__(self, values: DataFrame, column: str):
+        bit = F.expr("shiftleft(1L, CAST(p & 63 AS INT))")
+        words = values.select(self._place(F.col(column)).alias("p")).select(F.shiftright("p", 6).alias("_filter_word"), bit.alias("b"))
+        self.words = materialize(words.groupBy("_filter_word").agg(F.bit_or("b").alias("_filter_bits")), "filter")
 
     @staticmethod
-    def _place(id: F.Column) -> F.Column:
-        return F.pmod(F.xxhash64(id), F.lit(FILTER_BITS)).cast("long")
+    def _place(value: F.Column) -> F.Column:
+        return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS)).cast("long")
+
+    def _marked(self, rows: DataFrame, column: str) -> DataFrame:
+        # the bitmap has a fixed number of rows: a proven bound
+        placed = rows.withColumn("_filter_place", self._place(F.col(column))).withColumn("_filter_word", F.shiftright("_filter_place", 6))
+        met = F.expr("coalesce(shiftright(_filter_bits, CAST(_filter_place & 63 AS INT)) & 1 = 1, false)")
+        return placed.join(F.broadcast(self.words), "_filter_word", "left").withColumn("_filter_met", met)
+
+    def maybe(self, rows: DataFrame, column: str) -> DataFrame:
+        """Rows that may have one of the values."""
+        return self._marked(rows, column).where("_filter_met").select(rows.columns)
 
     def split(self, rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-        """(rows that may have one of the ids, rows that have none)."""
-        import pyarrow as pa
+        """(rows that may have one of the values, rows that have none)."""
+        return self.maybe(rows, column), self._marked(rows, column).where("NOT _filter_met").select(rows.columns)
 
-        bitmap = self.bitmap
-        dealt = rows.withColumn(_PLACE, self._place(F.col(column)))
 
-        def part(maybe: bool) -> DataFrame:
-            def run(batches):
-                bits = bitmap.value
-                for b in batches:
-                    at = b.column(b.num_columns - 1).to_numpy()
-                    there = (bits[at >> 6] >> (at & 63)) & 1 == 1
-                    yield b.select(range(b.num_columns - 1)).filter(pa.array(there if maybe else ~there))
+def only(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is among ``values`` (one column of that name, distinct), few of them shuffled."""
+    return IdFilter(values, column).maybe(rows, column).join(values, column, "left_semi")
 
-            return dealt.mapInArrow(run, rows.schema)
 
-        return part(True), part(False)
+def without(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is not among ``values``."""
+    maybe, sure = IdFilter(values, column).split(rows, column)
+    return sure.unionByName(maybe.join(values, column, "left_anti"))
 
 
 def sliced(batches, rows: int = 1024):
@@ -217,8 +241,11 @@ def worker_cache() -> dict:
     return sys.__dict__.setdefault("_quarryline_worker_cache", {})
 
 
-def long_schema(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.LongType()) for n in names])
+def arrow_kind(df: DataFrame, column: str):
+    """The Arrow type of a column, whatever it is."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(df.schema[column].dataType)
 
 
 def release(*keep: tuple) -> None:

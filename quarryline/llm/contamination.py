@@ -7,9 +7,10 @@ consecutive item words (an item of fewer words is one window) go into one
 Aho-Corasick automaton; it scans each text once, and since a character is a
 word, hits map back to the words' offsets in the original text.
 
-A benchmark of more than ``shard_words`` words is split by item into several
-automata of bounded size, taken in turn over each batch of texts, which is
-still read once; memory holds one of them.
+The benchmark's words are counted before anything is sent to the tasks. Beyond
+``shard_words`` words, what one automaton holds in a worker's memory, the items
+are split into several of that size, which are built in turn for every
+``SPAN_BYTES`` of texts; memory holds one of them and one span of texts.
 
 Edge cases: a null text or item has no words; empty texts are clean; items
 that occur twice count once per id, and items with a null id hit but are not
@@ -25,10 +26,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, plain, prepare, release, sliced
+from .common import arrow_kind, pick, plain, prepare, release
 
 WINDOW = 10
-SHARD_WORDS = 200_000
+SHARD_WORDS = 500_000
+#: Bytes of texts that automata of a split benchmark take their turns over.
+SPAN_BYTES = 32 << 20
 
 #: Bytes to bytes: A-Z lower-cased, bytes that are in no word to a space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -97,6 +100,41 @@ def covered(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, z) for a, z in out]
 
 
+def _spans(batches: Iterator, span_bytes: int) -> Iterator:
+    """Batches joined to at least ``span_bytes``."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= span_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+class _Automata:
+    """The shards' automata in turn; a single one is built once per task."""
+
+    def __init__(self, shards: list, window: int):
+        self.shards, self.window = shards, window
+        self.only = Matcher(shards[0].value, window) if len(shards) == 1 else None
+
+    def batches(self, batches: Iterator) -> Iterator:
+        return batches if self.only else _spans(batches, SPAN_BYTES)
+
+    def __iter__(self) -> Iterator[Matcher]:
+        if self.only:
+            yield self.only
+            return
+        for shard in self.shards:
+            matcher = Matcher(shard.value, self.window)
+            shard.__dict__.pop("_value", None)  # a worker keeps what it has read of a broadcast
+            yield matcher
+
+
 def _shards(items: DataFrame, shard_words: int) -> list[list[tuple[object, str | None]]]:
     """The items on the driver, in shards of about ``shard_words`` words; one shard where they fit.
 
@@ -124,12 +162,11 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held = Matcher(shards[0].value, window) if len(shards) == 1 else None
-        for b in batches if held is None else sliced(batches):
+        automata = _Automata(shards, window)
+        for b in automata.batches(batches):
             texts = b.column(1).to_pylist()
             n_words, found, owners = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
-            for shard in shards:
-                m = held or Matcher(shard.value, window)
+            for m in automata:
                 for i, t in enumerate(texts):
                     own = words(t)
                     n_words[i] = len(own)
@@ -148,7 +185,7 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id: st
             )
 
     rows = pick(docs, id=id, text=text)
-    kind = pa.int64() if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
+    kind = arrow_kind(items, item)
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, n_hit long, items array<{item_kind}>, spans array<struct<start:int,stop:int>>")
 
 
@@ -171,11 +208,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, items: DataFrame, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held = Matcher(shards[0].value) if len(shards) == 1 else None
-        for b in batches if held is None else sliced(batches):
+        automata = _Automata(shards, WINDOW)
+        for b in automata.batches(batches):
             clean = np.ones(b.num_rows, bool)
-            for shard in shards:
-                m = held or Matcher(shard.value)
+            for m in automata:
                 for i, t in enumerate(b.column(at).to_pylist()):
                     if clean[i] and next(m.hits(words(t)), None) is not None:
                         clean[i] = False

@@ -1,10 +1,17 @@
-"""Buckets of a key: pairs are verified inside bounded blocks, only links leave.
-
-Used by every operator that finds similar rows by shared keys. Members of a
-key are dealt into blocks of ``block`` rows and a task group holds two blocks
-of one key, so a key shared by a third of all rows becomes many small groups.
-A group emits a spanning forest of its verified links (fewer links than
-members), never its pairs.
+"""Rows that share a key: compared inside bounded groups, only links leave.
+
+Used by every operator that finds similar rows by shared keys. Rows are
+(key, part, member, payload...); a group is the rows of one (key, part), and a
+comparison turns groups into links between members. Small keys are one part.
+The rows of a hot key are dealt into parts of about ``block`` rows and linked
+there; then one representative of every component found so far is dealt anew,
+until a key's representatives fit one part or fall by less than half, when
+they are compared each with each, part by part. What is left are rows outside
+a key's largest component, which are compared with all rows of the key. So a key that a third of all rows share, most
+of which are alike, costs little more than its rows, and no link is lost.
+
+A group emits its close pairs where it is very small, and else a spanning
+forest of them (fewer links than members), never all its pairs.
 """
 
 from __future__ import annotations
@@ -14,22 +21,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from .common import prepare
 
+from .common import components, materialize, prepare
 
-def shared_keys(rows: DataFrame, key: str = "key", member: str = "member", block: int = 512) -> DataFrame:
-    """Rows of keys with two members or more, with ``lo`` and ``hi``: the pair of blocks they meet in.
+#: Rows of a part of a hot key.
+BLOCK = 512
+#: Groups of at most so many rows are compared as pairs at growing distance, all groups of a batch at once.
+FEW = 16
 
-    ``rows`` has distinct (key, member) pairs; further columns stay.
-    """
-    at = Window.partitionBy(key)
-    counted = rows.withColumns({"_n": F.count(F.lit(1)).over(at), "_r": F.row_number().over(at.orderBy(member))}).where("_n > 1")
-    mine = F.floor((F.col("_r") - 1) / block).cast("int")
-    last = F.floor((F.col("_n") - 1) / block).cast("int")
-    other = counted.withColumns({"_mine": mine, "_other": F.explode(F.sequence(F.lit(0), last))})
-    return other.withColumns({"lo": F.least("_mine", "_other"), "hi": F.greatest("_mine", "_other")}).drop("_n", "_r", "_mine", "_other")
+Relation = Callable[[list], Callable[[int], np.ndarray]]
+Comparison = Callable[[DataFrame], DataFrame]
 
 
 class Forest:
@@ -53,54 +54,178 @@ class Forest:
         return True
 
 
-def forest_links(rows: DataFrame, relate: Callable[[list], Callable[[int], np.ndarray]], member: str, payload: str, key: str = "key") -> DataFrame:
-    """(a, b): links that span the trees of verified links of every group of ``shared_keys``.
-
-    ``relate(payloads)`` gives a function that says for a group's member i
-    which of the members after it are linked to it. Groups are runs of a partition that is dealt by
-    (key, lo, hi) and sorted, read batch by batch, one group in memory at a time.
-    """
+def whole_groups(batches: Iterator) -> Iterator[tuple]:
+    """(table, starts): rows of whole groups, which a partition sorted by (key, part) holds as runs, and where they start."""
     import pyarrow as pa
 
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        key, part = table.column(0).to_numpy(), table.column(1).to_numpy()
+        change = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
+        if len(change):
+            yield table.slice(0, int(change[-1])), np.concatenate([[0], change[:-1]])
+            table = table.slice(int(change[-1]))
+        held = table.to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks(), np.zeros(1, np.int64)
+
+
+def forest(member: np.ndarray, leading: int, linked: Callable[[int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links from the least member of each tree that the ``leading`` members' links span."""
+    n = len(member)
+    trees, joined = Forest(n), 0
+    for i in range(min(leading, n - 1)):
+        if joined == n - 1:  # all are linked
+            break
+        for j in np.flatnonzero(linked(i)):
+            joined += trees.join(i, i + 1 + int(j))
+    tops = np.array([trees.find(i) for i in range(n)])
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, tops, member)
+    a = least[tops]
+    return a[a != member], member[a != member]
+
+
+def _led(member: np.ndarray, stray: np.ndarray) -> tuple[np.ndarray, int]:
+    """Positions of a group's distinct members, strays first, and how many are strays."""
+    order = np.lexsort((~stray, member))
+    order = order[np.concatenate([[True], member[order][1:] != member[order][:-1]])]
+    order = order[np.argsort(~stray[order], kind="stable")]
+    return order, int(stray[order].sum())
+
+
+def _dealt(rows: DataFrame, payload: list[str]) -> DataFrame:
     prepare(rows.sparkSession)
+    return rows.select("key", "part", "member", "stray", *payload).repartition("key", "part").sortWithinPartitions("key", "part")
 
-    def links(group: list) -> tuple[list, list]:
-        found = {m: p for m, p in group}  # a member meets itself where lo = hi
-        names = sorted(found)
-        payloads = [found[m] for m in names]
-        forest, joined = Forest(len(names)), 0
-        linked = relate(payloads)
-        for i in range(len(names) - 1):
-            if joined == len(names) - 1:  # all are linked
-                break
-            for j in np.flatnonzero(linked(i)):
-                joined += forest.join(i, i + 1 + int(j))
-        # stars around a tree's least member: the links of many keys' groups coincide
-        tops = [forest.find(i) for i in range(len(names))]
-        a, b = ([names[t] for i, t in enumerate(tops) if t != i], [names[i] for i, t in enumerate(tops) if t != i])
-        return a, b
+
+def sketch_comparison(words: list[str], radius: int) -> Comparison:
+    """Links between rows whose ``words`` (long columns, a fingerprint) differ in at most ``radius`` bits."""
+    import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, current, a, b, kind = [], None, [], [], None
-        for batch in batches:
-            kind = batch.schema.field(3).type
-            keys = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            for k, m, p in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if k != current:
-                    if len(group) > 1:
-                        x, y = links(group)
-                        a += x
-                        b += y
-                    group, current = [], k
-                group.append((m, p))
+        for table, starts in whole_groups(batches):
+            n = table.num_rows
+            member, stray = table.column(2).to_numpy(), table.column(3).to_numpy(zero_copy_only=False)
+            bits = np.column_stack([table.column(4 + i).to_numpy() for i in range(len(words))]).view(np.uint64)
+            sizes = np.diff(np.append(starts, n))
+            group = np.repeat(np.arange(len(starts)), sizes)
+            small = sizes <= FEW
+            left = np.flatnonzero(small[group])
+            a, b = [], []
+            for far in range(1, FEW):
+                left = left[left < n - far]
+                left = left[group[left] == group[left + far]]
+                if not len(left):
+                    break
+                near = (np.bitwise_count(bits[left] ^ bits[left + far]).sum(axis=1) <= radius) & (stray[left] | stray[left + far])
+                a.append(member[left[near]])
+                b.append(member[left[near] + far])
+            for g in np.flatnonzero(~small):
+                own = slice(starts[g], starts[g] + sizes[g])
+                order, leading = _led(member[own], stray[own])
+                mine = bits[own][order]
+                x, y = forest(member[own][order], leading, lambda i, mine=mine: np.bitwise_count(mine[i + 1 :] ^ mine[i]).sum(axis=1) <= radius)
+                a.append(x)
+                b.append(y)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
-                a, b = [], []
-        if len(group) > 1:
-            a, b = links(group)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return lambda rows: _dealt(rows, words).mapInArrow(run, "a long, b long").where("a <> b")
+
+
+def payload_comparison(relate: Relation) -> Comparison:
+    """Links between rows by their ``payload``: ``relate(payloads)`` says for number i which later ones are linked to it."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            member, stray, payload = table.column(2).to_numpy(), table.column(3).to_numpy(zero_copy_only=False), table.column(4)
+            a, b = [], []
+            for start, stop in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
+                if stop - start < 2:
+                    continue
+                order, leading = _led(member[start:stop], stray[start:stop])
+                x, y = forest(member[start:stop][order], leading, relate([payload[int(start + i)].as_buffer() for i in order]))
+                a.append(x)
+                b.append(y)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return lambda rows: _dealt(rows, ["payload"]).mapInArrow(run, "a long, b long").where("a <> b")
+
+
+def as_groups(rows: DataFrame) -> DataFrame:
+    """Rows of keys that are small enough to be one group each."""
+    return rows.withColumns({"part": F.lit(0).cast("long"), "stray": F.lit(True)})
+
+
+def _parted(rows: DataFrame, sizes: DataFrame, block: int, salt: int) -> DataFrame:
+    """Rows of the keys in ``sizes`` (key, n), dealt into parts by a hash."""
+    part = F.pmod(F.xxhash64("member", F.lit(salt)), F.ceil(F.col("n") / block))
+    return rows.join(sizes, "key").withColumns({"part": part, "stray": F.lit(True)}).drop("n")
+
+
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links).select(F.col("node").alias("member"), "component")
+    return rows.join(found, "member", "left").withColumn("label", F.coalesce("component", "member")).drop("component")
+
+
+def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:
+    """Parts in which every stray of a key meets every row of the key; ``rows`` have a flag ``stray``."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("all_parts"), F.ceil(F.count_if("stray") / block).alias("stray_parts")).where("stray_parts > 0")
+    sized = rows.join(sizes, "key")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    strays = sized.where("stray").withColumns({"i": upto("all_parts"), "j": F.pmod(F.xxhash64("member", F.lit(salt)), "stray_parts")})
+    others = sized.withColumns({"i": F.pmod(F.xxhash64("member", F.lit(salt + 1)), "all_parts"), "j": upto("stray_parts"), "stray": F.lit(False)})
+    return strays.unionByName(others).withColumn("part", F.col("j") * F.col("all_parts") + F.col("i"))
+
+
+def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) that connect what pairwise comparison of every key's rows (key, member, payload) connects."""
+    rows = materialize(rows.select("key", "member", *payload), "hot")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    links = materialize(compare(_parted(rows, sizes, block, 0)), "hot-links")
+    salt, before = 0, None
+    while True:
+        salt += 1
+        labels = materialize(_labelled(rows, links), "labels")
+        reps = labels.groupBy("key", "label").agg(F.min(F.struct("member", *payload)).alias("least")).select("key", "least.*")
+        sizes = materialize(reps.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+        most, left = sizes.agg(F.max("n"), F.sum("n")).first()
+        if most is None:  # every key is one component
+            return links
+        # while representatives fall by half, a part of them at a time; at last each with each
+        last = most <= block or (before is not None and left > before / 2)
+        parts = _crossed(reps.join(sizes.select("key"), "key").withColumn("stray", F.lit(True)), block, salt) if last and most > block else _parted(reps, sizes, block, salt)
+        links = links.unionByName(materialize(compare(parts), "hot-links"))
+        before = left
+        if last:
+            break
+    labels = materialize(_labelled(rows, links), "labels")
+    counts = labels.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("n")).where("main.c < n").select("key", "main.label")
+    main = materialize(main.withColumnRenamed("label", "main"), "main")
+    if main.isEmpty():
+        return links
+    apart = labels.join(main, "key").withColumn("stray", F.col("label") != F.col("main")).drop("label", "main")
+    return links.unionByName(compare(_crossed(apart, block, salt + 2)))
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """Distinct (key, member) rows of keys with two members or more, with ``n``, the key's number of members."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(sizes, "key")
+
+
+def key_links(rows: DataFrame, compare: Comparison, payloads: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links of ``rows`` (key, member, n), a table, whose payloads come by a join on ``member``."""
+    cold = compare(as_groups(rows.where(F.col("n") <= block).join(payloads, "member")))
+    hot = rows.where(F.col("n") > block)
+    if hot.isEmpty():
+        return cold
+    return cold.unionByName(hot_links(hot.join(payloads, "member"), ["payload"], compare, block))
 
-    kind = rows.schema[member].dataType.simpleString()
-    dealt = rows.select(key, "lo", "hi", member, payload).repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}")

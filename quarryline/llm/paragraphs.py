@@ -1,35 +1,40 @@
 """Substring dedup: paragraph MinHash banding with exact verification.
 
-A paragraph is a line of a text. Equal paragraphs (by their lower-cased words)
-collapse first; every distinct one gets a MinHash signature over its five-word
-shingles, cut into bands that :func:`tune` chooses for high recall. Paragraphs
-that share a band meet in bounded groups, where the exact Jaccard similarity of
+Paragraphs are of two kinds. A line of a text is one (short lines that follow
+each other are one together): it gets a MinHash signature over its five-word
+shingles, cut into bands that :func:`tune` chooses for high recall; lines that
+share a band meet in bounded groups, where the exact Jaccard similarity of
 their shingle sets decides; links are clustered into components. Of each
-component the first paragraph (smallest document id, then place) stays and the
+component the first line (smallest document id, then place) stays and the
 others repeat it. Repeats that follow each other in a text are a run, and runs
 of at least ``min_run`` words are removals, given as spans of the original
 text: a passage over several lines goes as a whole, while a single short line
 that many texts share, such as a greeting, is no repeated passage.
 
-Passages of ``PASSAGE`` words or more that stand word for word inside longer
-lines, or that are laid out in other lines, are found over a text's words
-whatever its line ends: winnowing picks anchors (runs of ``ANCHOR`` words) so
-that equal passages have an anchor in common, and around anchors that occur
-twice all runs of ``PASSAGE`` words are counted. Every run that stands at an
-earlier place (smallest document id, then word) too is a repeat, joined with
-those it touches.
+Every run of ``PASSAGE`` words of a text is a sliding paragraph too, whatever
+its line ends, so that passages inside longer lines are found. Its signature
+is one MinHash over its shingles of ``ANCHOR`` words, a band of one row, so
+equal runs collide for certain; neighbouring runs mostly share their minimum,
+which is stored once. Runs around a minimum that occurs twice are verified by
+128 bits of all their words. Every run that stands at an earlier place
+(smallest document id, then word) too is a repeat, and repeats of one keeper
+that touch are clustered to one span.
+
+Both kinds come from one scan of the texts. Texts of the same words as one of
+a smaller id are left out of the searches: their lines and passages are known
+from the first one.
 
 Edge cases: lines of fewer than ``min_words`` words are joined to the short ones
 next to them; where these have too few words too, they are never removed and
-neither break nor lengthen a run; null and empty texts have none; rows with a null id are left as they are; of
-rows that occur twice (same id and text) the paragraphs count once and are
-removed or kept in both; an empty table has no removals; other columns are
-carried through whatever their names.
+neither break nor lengthen a run; null and empty texts have none; rows with a
+null id are left as they are; of rows that occur twice (same id and text) the
+paragraphs count once and are removed or kept in both; an empty table has no
+removals; other columns are carried through whatever their names. Lines are
+named by 64 bits of hash in the search and by 128 where equality decides.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,18 +42,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import IdFilter, components, freed, materialize, pick, plain, prepare, release, sliced
-from .neighbours import forest_links, shared_keys
+from .common import IdFilter, components, discard, freed, materialize, only, pick, plain, prepare, release, sliced, spread_join, without
+from .neighbours import counted, key_links, payload_comparison
+from .words import Words, mix
 
 SHINGLE = 5
 SIMILARITY = 0.8
 MIN_WORDS = 8
 MIN_RUN = 30
-PERMUTATIONS = 48
+PERMUTATIONS = 27
 PASSAGE = 50
 ANCHOR = 25
-_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Texts of a slice of a batch.
+SLICE = 128
+LINE, TEXT = 0, 1
 
 
 def tune(permutations: int = PERMUTATIONS, similarity: float = SIMILARITY, recall: float = 0.995) -> tuple[int, int]:
@@ -60,131 +67,158 @@ def tune(permutations: int = PERMUTATIONS, similarity: float = SIMILARITY, recal
     return permutations, 1
 
 
-def split(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, list[bytes]]]:
-    """(place, start, stop, words) of each paragraph that is long enough; offsets in characters.
-
-    Short lines that follow each other, blank ones left aside, are one
-    paragraph, with the first one's place.
-    """
-    at, short = 0, []
-    for place, line in enumerate([*(text or "").split("\n"), None]):
-        words = line.encode().lower().split() if line is not None else []
-        long = len(words) >= min_words
-        if (long or line is None) and short:
-            joined = [w for *_, some in short for w in some]
-            if len(joined) >= min_words:
-                yield short[0][0], short[0][1], short[-1][2], joined
-            short = []
-        if line is None:
-            return
-        if long:
-            yield place, at, at + len(line), words
-        elif words:
-            short.append((place, at, at + len(line), words))
-        at += len(line) + 1
+class Lines:
+    """The paragraphs of a slice: lines, and short ones that follow each other as one (blank ones left aside), with ``min_words`` words."""
+
+    def __init__(self, words: Words, min_words: int = MIN_WORDS):
+        counts = np.bincount(words.lines, minlength=len(words.line_ends))
+        line = np.flatnonzero(counts)
+        text = np.searchsorted(words.first_lines, line, side="right") - 1
+        long = counts[line] >= min_words
+        apart = np.ones(len(line), bool)
+        apart[1:] = long[1:] | long[:-1] | (text[1:] != text[:-1])
+        head = np.flatnonzero(apart)
+        tail = np.append(head[1:], len(line)) - 1
+        past = np.cumsum(counts)
+        size = past[line[tail]] - past[line[head]] + counts[line[head]] if len(head) else np.zeros(0, np.int64)
+        head, tail, size = head[size >= min_words], tail[size >= min_words], size[size >= min_words]
+        #: Text, words first to last (excluded), and line number in the text.
+        self.text = text[head]
+        self.last = past[line[tail]]
+        self.first = self.last - size
+        self.place = line[head] - words.first_lines[self.text]
+        begin = np.where(line[head] > 0, words.line_ends[line[head] - 1] + 1, 0)
+        self.start = words.offsets(self.text, begin)
+        self.stop = words.offsets(self.text, words.line_ends[line[tail]])
+        #: The paragraph's number in its text.
+        self.turn = np.arange(len(head)) - np.searchsorted(self.text, self.text)
+
+
+def band_keys(shingles: np.ndarray, first: np.ndarray, stop: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One row of 64-bit band keys per range of shingle hashes, none empty: minima of ``bands * rows`` hash functions."""
+    low = (shingles >> np.uint64(32)).astype(np.uint32)
+    low = np.append(low, np.uint32(0))  # where the last range stops
+    cuts = np.column_stack([first, stop]).ravel()
+    salts = (mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    out = np.empty((len(first), bands), np.uint64)
+    for b in range(bands):
+        key = np.full(len(first), b, np.uint64)
+        for r in range(rows):
+            least = np.minimum.reduceat(low * salts[b * rows + r], cuts)[::2]
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least)
+        out[:, b] = key
+    return out
 
 
-def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
-    """Hashes of the distinct shingles, ascending; fewer words than ``size`` are one shingle."""
-    from xxhash import xxh3_64_intdigest as digest
+def sliding_minima(values: np.ndarray, span: int) -> np.ndarray:
+    """The place of the least of every ``span`` consecutive values (by their upper 40 bits, the first of equals)."""
+    n = len(values) - span + 1
+    mask = np.uint64((1 << 24) - 1)
+    keys = (values & ~mask) | np.arange(len(values), dtype=np.uint64)
+    room = -len(keys) % span
+    blocks = np.append(keys, np.full(room, np.iinfo(np.uint64).max)).reshape(-1, span)
+    # a window is the end of one block and the beginning of the next
+    after = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    before = np.minimum.accumulate(blocks, axis=1).ravel()
+    return (np.minimum(after[:n], before[span - 1 : span - 1 + n]) & mask).astype(np.int64)
 
-    joined = b" ".join(words)
-    if len(words) <= size:
-        return np.array([digest(joined)], np.uint64)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[: len(words) - size].tolist()]
-    return np.unique(np.array([digest(joined[a:z]) for a, z in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)], np.uint64))
 
+def anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the least run of ``ANCHOR`` words in every ``PASSAGE`` words of one text."""
+    n = len(words.hashes)
+    if n < PASSAGE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    runs = words.runs[0].fixed(ANCHOR)
+    least = sliding_minima(runs, PASSAGE - ANCHOR + 1)
+    least = least[words.owner[: n - PASSAGE + 1] == words.owner[PASSAGE - 1 :]]
+    least = least[np.concatenate([[True], least[1:] != least[:-1]])] if len(least) else least
+    return least, runs[least]
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
+def scan(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Lines and texts of (id, text): (id, place, turn, words, start, stop, g, h, keys, ats, kind).
 
-def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
-    """One row of 64-bit band keys per shingle set: minima of ``bands * rows`` hash functions."""
-    flat = np.concatenate(sets)
-    firsts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    salts = _mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    out = np.empty((len(sets), bands), np.uint64)
-    for b in range(bands):
-        key = np.full(len(sets), b, np.uint64)
-        for r in range(rows):
-            mixed = flat * salts[b * rows + r]
-            mixed ^= mixed >> np.uint64(32)
-            key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed, firsts))
-        out[:, b] = key
-    return out
-
-
-def paragraph_rows(docs: DataFrame, id: str, text: str, bands: int, rows: int) -> DataFrame:
-    """(id, place, turn, words, start, stop, key, bands) of every paragraph; ``turn`` numbers a text's paragraphs."""
+    A line has its band keys in ``keys``; a text of ``PASSAGE`` words or more
+    its anchors there and their first words in ``ats``, and spans its first to
+    its last word. ``g`` and ``h`` are hashes of all words.
+    """
     import pyarrow as pa
 
     prepare(docs.sparkSession)
+    names = ["id", "place", "turn", "words", "start", "stop", "g", "h", "keys", "ats", "kind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
         release()
-        for b in sliced(batches):
-            out, sets = [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for turn, (place, start, stop, words) in enumerate(split(t)):
-                    out.append((i, place, turn, len(words), start, stop, xxh3_128_digest(b" ".join(words))))
-                    sets.append(shingles(words))
-            if not out:
+        for b in sliced(batches, SLICE):
+            words = Words(b.column(1).to_pylist())
+            if not len(words.hashes):
                 continue
-            keys = band_keys(sets, bands, rows).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
-            ids, *numbers, names = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), *(pa.array(n, pa.int32()) for n in numbers), pa.array(names, pa.binary()), lists], names=["id", "place", "turn", "words", "start", "stop", "key", "bands"])
 
-    source = pick(docs, id=id, text=text).where("id is not null")
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, place int, turn int, words int, start int, stop int, key binary, bands array<long>")
-
-
-def wanted_shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(member, payload): shingle sets of the paragraphs that ``wanted`` (id, places, keys) names."""
+            def batch(text, first, last, place, turn, start, stop, keys, ends, ats, kind, b=b, words=words) -> pa.RecordBatch:
+                numbers = [pa.array(x.astype(np.int32)) for x in (place, turn, last - first, start, stop)]
+                hashes = [pa.array(r.ranges(first, last).view(np.int64)) for r in words.runs]
+                ends = pa.array(ends.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(ats.astype(np.int32)))]
+                return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), *numbers, *hashes, *lists, pa.array(np.full(len(text), kind, np.int32))], names=names)
+
+            lines = Lines(words)
+            if len(lines.text):
+                short = lines.last - lines.first < SHINGLE
+                if short.any():
+                    raise ValueError("a line must hold a shingle")
+                keys = band_keys(words.runs[0].fixed(SHINGLE), lines.first, lines.last - SHINGLE + 1, bands, rows).ravel()
+                ends = np.arange(len(lines.text) + 1) * bands
+                yield batch(lines.text, lines.first, lines.last, lines.place, lines.turn, lines.start, lines.stop, keys, ends, np.zeros(len(keys)), LINE)
+            at, found = anchors(words)
+            text = np.flatnonzero(words.counts >= PASSAGE)
+            if len(text):
+                first, last = words.firsts[text], words.firsts[text + 1]
+                ends = np.append(np.searchsorted(at, first), len(at))
+                start, stop = words.starts[first], words.stops[last - 1]
+                place = words.lines[first] - words.first_lines[text]
+                yield batch(text, first, last, place, np.zeros(len(text)), words.offsets(text, start), words.offsets(text, stop), found, ends, at - words.firsts[words.owner[at]], TEXT)
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, place int, turn int, words int, start int, stop int, g long, h long, keys array<long>, ats array<int>, kind int")
+
+
+def line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(member, payload): shingle sets of the lines that ``wanted`` (id, places, members) names."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        for b in sliced(batches):
-            out = []
-            for t, places, keys in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
-                asked = set(zip(places, keys, strict=True))
-                for place, _, _, words in split(t):
-                    key = xxh3_128_digest(b" ".join(words))
-                    if (place, key) in asked:
-                        out.append((key, shingles(words).tobytes()))
-            if out:
-                keys, sets = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["member", "payload"])
+        for b in sliced(batches, SLICE):
+            words = Words(b.column(0).to_pylist())
+            lines = Lines(words)
+            if not len(lines.text):
+                continue
+            named = words.runs[0].ranges(lines.first, lines.last).view(np.int64)
+            asked = [set(zip(p, m, strict=True)) for p, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            here = np.array([(p, m) in asked[t] for t, p, m in zip(lines.text.tolist(), lines.place.tolist(), named.tolist(), strict=True)])
+            sets = words.shingle_sets(lines.first[here], lines.last[here], SHINGLE)
+            yield pa.RecordBatch.from_arrays([pa.array(named[here]), pa.array([s.tobytes() for s in sets], pa.binary())], names=["member", "payload"])
 
     wanted = materialize(wanted, "wanted")
     # only texts that may be asked for are shuffled
-    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
-    source = some.join(wanted, "id").select("text", "places", "keys")
-    return source.mapInArrow(run, "member binary, payload binary")
+    some = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("text", "places", "members")
+    return some.mapInArrow(run, "member long, payload binary").dropDuplicates(["member"])
 
 
 def jaccard(similarity: float):
     """Which later shingle sets of a group are similar enough to its set i."""
 
-    def relate(payloads: list[bytes]):
+    def relate(payloads: list):
         sets = [np.frombuffer(p, np.uint64) for p in payloads]
         sizes = np.array([len(s) for s in sets])
         firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
 
         def linked(i: int) -> np.ndarray:
-            mark = np.zeros(len(distinct), np.int64)
+            mark = np.zeros(len(distinct) + 1, np.int64)
             mark[codes[firsts[i] : firsts[i] + sizes[i]]] = 1
-            rest = firsts[i + 1]
-            both = np.add.reduceat(mark[codes[rest:]], firsts[i + 1 :] - rest)
+            rest = firsts[i] + sizes[i]
+            upto = np.concatenate([[0], np.cumsum(mark[codes[rest:]])])
+            both = upto[firsts[i + 1 :] + sizes[i + 1 :] - rest] - upto[firsts[i + 1 :] - rest]
             return both >= similarity * (sizes[i + 1 :] + sizes[i] - both)
 
         return linked
@@ -192,142 +226,102 @@ def jaccard(similarity: float):
     return relate
 
 
-def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, min_run: int = MIN_RUN) -> DataFrame:
-    """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated paragraph in a run of ``min_run`` words; ``length`` is its run's."""
-    prepare(spark)
-    bands, rows = tune(similarity=similarity)
-    found = materialize(paragraph_rows(docs, id, text, bands, rows), "paragraphs")
-    node = F.struct("id", "place")
-    distinct = materialize(found.groupBy("key").agg(F.min(node).alias("first"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")), "distinct-paragraphs")
-    met = materialize(shared_keys(distinct.select(F.col("key").alias("member"), F.explode("bands").alias("key"))), "met")
-    asked = met.select("member").distinct().join(distinct.select(F.col("key").alias("member"), F.col("first")), "member")
-    wanted = asked.groupBy("first.id").agg(F.collect_list("first.place").alias("places"), F.collect_list("member").alias("keys"))
-    sets = wanted_shingles(docs, wanted, id, text).dropDuplicates(["member"])
-    groups = components(forest_links(met.join(sets, "member"), jaccard(similarity), "member", "payload"))
-    linked = distinct.join(groups, distinct.key == groups.node).select("key", "first", "component")
-    roots = linked.groupBy("component").agg(F.min("first").alias("root"))
-    copied = distinct.where("copies > 1").join(groups, distinct.key == groups.node, "left_anti").select("key", F.col("first").alias("root"))
-    classes = linked.join(roots, "component").select("key", "root").unionByName(copied)
-    repeats = found.drop("bands").distinct().join(classes, "key").where(node != F.col("root"))
-    # repeats without a gap in their turns are a run
-    run = F.col("turn") - F.row_number().over(Window.partitionBy("id").orderBy("turn"))
-    runs = repeats.withColumn("run", run).withColumn("length", F.sum("words").over(Window.partitionBy("id", "run")))
-    return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", "length", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
+def shared(rows: DataFrame) -> DataFrame:
+    """The rows (key, ...) whose key occurs twice or more."""
+    # counts are map-side sums of two numbers a key; rows with a key of their own go before they are shuffled
+    twice = materialize(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
+    return only(rows, twice, "key")
 
 
-def run_hashes(words: np.ndarray, size: int, base: int) -> np.ndarray:
-    """Polynomial hashes of all runs of ``size`` words, given the words' hashes."""
-    if len(words) < size:
-        return np.zeros(0, np.uint64)
-    up = np.cumprod(np.full(len(words), base, np.uint64))
-    down = np.cumprod(np.full(len(words), pow(base, -1, 1 << 64), np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up)])
-    return _mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1])
+class Found:
+    """One scan of ``docs``, and what both searches take from it."""
 
+    def __init__(self, spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY):
+        prepare(spark)
+        self.docs = pick(docs, id=id, text=text).where("id is not null")
+        self.similarity = similarity
+        self.rows = materialize(scan(self.docs, *tune(similarity=similarity)), "scan", by="kind")
+        texts = self.texts = self.rows.where(F.col("kind") == TEXT)
+        # texts of the same words are compared by one of them; an id of several texts is compared by all
+        same = texts.groupBy("g", "h").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("g", "h", "first")
+        several = texts.groupBy("id").agg(F.min("g").alias("one"), F.max("g").alias("other")).where("one <> other").select("id")
+        copies = texts.select("id", "place", "start", "stop", "words", "g", "h").distinct().join(same, ["g", "h"]).where(F.col("id") != F.col("first.id")).join(several, "id", "left_anti")
+        self.copies = materialize(copies.select("id", "place", "start", "stop", F.col("words").alias("length"), F.col("first.id").alias("keeper_id"), F.col("first.place").alias("keeper_place")), "copies")
+        self.copied = self.copies.select("id").distinct()
+        self.lines = self.rows.where(F.col("kind") == LINE).drop("ats", "kind")
 
-def anchors(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) of the least run of ``ANCHOR`` words in every ``PASSAGE`` words of one owner."""
-    if len(words) < PASSAGE:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    runs = run_hashes(words, ANCHOR, _BASES[0])
-    windows = np.lib.stride_tricks.sliding_window_view(runs, PASSAGE - ANCHOR + 1)
-    own = np.flatnonzero(owner[: len(windows)] == owner[PASSAGE - 1 :])
-    least = np.unique(own + windows.argmin(axis=1)[own])
-    return least, runs[least]
 
+def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, min_run: int = MIN_RUN, found: Found | None = None) -> DataFrame:
+    """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated line in a run of ``min_run`` words; ``length`` is its run's."""
+    found = found or Found(spark, docs, id, text, similarity)
+    node = F.struct("id", "place")
+    own = without(found.lines.select("id", "place", "g", "keys"), found.copied, "id")
+    met = materialize(shared(own.select(F.explode("keys").alias("key"), F.col("g").alias("member"))).distinct(), "met")
+    met = materialize(counted(met), "met")
+    asked = only(own.select("id", "place", "g"), met.select(F.col("member").alias("g")).distinct(), "g").groupBy("g").agg(F.min(node).alias("first"))
+    wanted = asked.groupBy("first.id").agg(F.collect_list("first.place").alias("places"), F.collect_list("g").alias("members"))
+    sets = materialize(line_sets(found.docs, wanted), "line-sets")
+    groups = materialize(components(key_links(met, payload_comparison(jaccard(similarity)), sets)), "line-groups")
+    discard(met, sets)
+    # lines that occur twice or are linked
+    twice = found.lines.groupBy("g").count().where("count > 1").select("g")
+    touched = materialize(twice.union(groups.select("node")).distinct(), "touched")
+    rows = only(found.lines.drop("keys"), touched, "g").distinct().join(groups, F.col("g") == groups.node, "left").drop("node")
+    rows = materialize(rows.withColumn("class", F.struct(F.coalesce("component", "g").alias("c"), F.when(F.col("component").isNull(), F.col("h")).otherwise(0).alias("h"))), "lines")
+    roots = rows.groupBy("class").agg(F.min(node).alias("root"))
+    repeats = spread_join(rows, roots, "class").where(node != F.col("root"))
+    # repeats without a gap in their turns are a run
+    run = F.col("turn") - F.row_number().over(Window.partitionBy("id").orderBy("turn"))
+    runs = repeats.withColumn("run", run).withColumn("length", F.sum("words").over(Window.partitionBy("id", "run")))
+    return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", "length", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
 
-def anchor_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, content, place, start, stop, words, ats, anchors) of texts of ``PASSAGE`` words or more.
 
-    ``content`` is a digest of the words, ``start`` and ``stop`` are the first and last word's; ``ats`` number the anchors' first words.
-    """
+def passage_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words, by two hashes, around the anchors that ``wanted`` (id, ats) names."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest as digest
-        from xxhash import xxh3_128_digest
-
-        release()
-        for b in sliced(batches, 128):
-            long = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = (t or "").encode()
-                words = data.lower().split()
-                if len(words) >= PASSAGE:
-                    start = len(data) - len(data.lstrip())
-                    long.append((i, xxh3_128_digest(b" ".join(words)), data[:start].count(b"\n"), start, len(t) - len(data) + len(data.rstrip()), words))
-            if not long:
+        for b in sliced(batches, SLICE):
+            words = Words(b.column(1).to_pylist())
+            asked = [np.array(a, np.int64) + f for a, f in zip(b.column(2).to_pylist(), words.firsts, strict=False)]
+            text = np.repeat(np.arange(len(asked)), [len(a) for a in asked])
+            near = np.concatenate(asked)[:, None] - np.arange(PASSAGE - ANCHOR + 1)
+            inside = (near >= words.firsts[text][:, None]) & (near + PASSAGE <= words.firsts[text + 1][:, None])
+            near = np.unique(near[inside])
+            if not len(near):
                 continue
-            ids, contents, *numbers, texts = zip(*long, strict=True)
-            sizes = np.array([len(t) for t in texts], np.int64)
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            at, found = anchors(np.array([digest(w) for t in texts for w in t], np.uint64), owner)
-            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[at], minlength=len(texts)))]).astype(np.int32))
-            at = at - (np.cumsum(sizes) - sizes)[owner[at]]
-            lists = [pa.ListArray.from_arrays(ends, pa.array(at.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(found.view(np.int64)))]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(contents, pa.binary()), *(pa.array(n, pa.int32()) for n in (*numbers, sizes)), *lists], names=["id", "content", "place", "start", "stop", "words", "ats", "anchors"])
-
-    source = pick(docs, id=id, text=text).where("id is not null")
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, content binary, place int, start int, stop int, words int, ats array<int>, anchors array<long>")
-
-
-def passage_rows(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words (by hashes of 64 and 32 bits) around the anchors that ``wanted`` (id, ats) names."""
-    import pyarrow as pa
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_64_intdigest as digest
-
-        for b in sliced(batches, 128):
-            for row, (t, ats) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                data = (t or "").encode()
-                spans = np.array([m.span() for m in _WORD.finditer(data)], np.int64).reshape(-1, 2)
-                runs = len(spans) - PASSAGE + 1
-                near = (np.array(ats)[:, None] - np.arange(PASSAGE - ANCHOR + 1)).ravel()
-                near = np.unique(near[(near >= 0) & (near < runs)])
-                if not len(near):
-                    continue
-                words = np.array([digest(w) for w in data.lower().split()], np.uint64)
-                raw = np.frombuffer(data, np.uint8)
-                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                lines = np.concatenate([[0], np.cumsum(raw == 10)])
-                starts, stops = spans[near, 0], spans[near + PASSAGE - 1, 1]
-                columns = [near, lines[starts], chars[starts], chars[stops]]
-                keys = [pa.array((run_hashes(words, PASSAGE, base)[near] >> np.uint64(cut)).view(np.int64)) for base, cut in zip(_BASES, (0, 32), strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.full(len(near), row))), *(pa.array(c.astype(np.int32)) for c in columns), *keys], names=["id", "at", "place", "start", "stop", "g", "h"])
+            text = words.owner[near]
+            columns = [near - words.firsts[text], words.lines[near] - words.first_lines[text], words.offsets(text, words.starts[near]), words.offsets(text, words.stops[near + PASSAGE - 1])]
+            keys = [pa.array(r.ranges(near, near + PASSAGE).view(np.int64)) for r in words.runs]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), *(pa.array(c.astype(np.int32)) for c in columns), *keys], names=["id", "at", "place", "start", "stop", "g", "h"])
 
     wanted = materialize(wanted, "wanted-anchors")
-    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
-    source = some.join(wanted, "id").select("id", "text", "ats")
+    source = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("id", "text", "ats")
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long")
 
 
-def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", found: Found | None = None) -> DataFrame:
     """(id, place, start, stop, length, keeper_id, keeper_place) of every repeated passage; ``length`` in words.
 
     A text that has all its words in common with one of a smaller id is one
     passage. Inside a text, a run that overlaps its own earlier place is no repeat.
     """
-    prepare(spark)
-    found = materialize(anchor_rows(docs, id, text), "anchors")
-    # texts of the same words are compared by one of them; an id of several texts is compared by all
-    texts = found.groupBy("content").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    several = found.groupBy("id").agg(F.min("content").alias("one"), F.max("content").alias("other")).where("one <> other").select("id")
-    copies = found.drop("ats", "anchors").distinct().join(texts, "content").where(F.col("id") != F.col("first.id")).join(several, "id", "left_anti")
-    copies = materialize(copies.select("id", "place", "start", "stop", F.col("words").alias("length"), F.col("first.id").alias("keeper_id"), F.col("first.place").alias("keeper_place")), "copies")
-    listed = found.join(copies.select("id"), "id", "left_anti").select("id", F.explode(F.arrays_zip("ats", "anchors")).alias("a")).select("id", "a.ats", "a.anchors")
-    twice = listed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchors"))).where("n > 1")
-    wanted = twice.groupBy("id").agg(F.collect_set("ats").alias("ats"))
-    same = Window.partitionBy("g", "h")
-    rows = passage_rows(docs, wanted, id, text).withColumn("first", F.min(F.struct("id", "at", "place")).over(same))
-    repeats = rows.where((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)).drop("g", "h")
+    found = found or Found(spark, docs, id, text)
+    own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
+    listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
+    wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
+    rows = materialize(passage_rows(found.docs, wanted).distinct(), "passages")
+    firsts = rows.groupBy("g", "h").agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = firsts.select(F.struct("g", "h").alias("words"), "first")
+    known = spread_join(rows.withColumn("words", F.struct("g", "h")).drop("g", "h"), firsts, "words")
+    repeats = known.where((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE))
     mine = Window.partitionBy("id", "first.id").orderBy("at")
     gap = F.coalesce((F.col("at") - F.lag("at").over(mine) > PASSAGE).cast("int"), F.lit(0))
     joined = repeats.withColumn("gap", gap).withColumn("island", F.sum("gap").over(mine))
     spans = joined.groupBy("id", F.col("first.id").alias("keeper_id"), "island").agg(
         F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("at") - F.min("at") + PASSAGE).alias("length"), F.min_by("first.place", "at").alias("keeper_place")
     )
-    return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place").unionByName(copies)
+    return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place").unionByName(found.copies)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -357,12 +351,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     rows, names = plain(docs)
     own, body = f"c{names.index(id)}", f"c{names.index(text)}"
     span = F.struct("start", "stop").alias("span")
-    found = removals(spark, rows, own, body).select("id", span)
+    seen = Found(spark, rows, own, body)
+    found = removals(spark, rows, own, body, found=seen).select("id", span)
     if inside:
         found = freed(found, "cut-lines")
-        found = found.unionByName(passages(spark, rows, own, body).select("id", span))
+        found = found.unionByName(passages(spark, rows, own, body, found=seen).select("id", span))
     gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("span").alias("spans"))
     gone = materialize(gone, "cuts")
+    discard(seen.rows, seen.copies)
     # texts that stay whole for certain are not shuffled
     maybe, sure = IdFilter(gone, "gone").split(rows, own)
     both = maybe.join(gone, maybe[own] == gone["gone"], "left").drop("gone")

@@ -6,8 +6,9 @@ of windows, and a text's blocks are combined by their maximum and mean into
 one logistic probability. Nothing but the bytes of the text is an input.
 
 The network is fitted on the driver on a sample bounded by ``sample_rows`` and
-``sample_bytes`` (labelled rows in the order of a hash of their id, texts over
-``sample_bytes`` left out of the fit); scoring covers every whole text.
+``sample_chars``: labelled rows in the order of a hash of their id, of texts
+over ``sample_chars`` characters a third of that from their beginning, middle
+and end. Scoring covers every whole text.
 
 Edge cases: a null text scores as an empty one, and an empty one gets the
 probability of a text without windows; null ids are scored and kept; rows that
@@ -89,7 +90,7 @@ class Network:
         mean = np.add.reduceat(high, first, axis=0) / count
         return np.hstack([top, mean]).astype(np.float32), (steps, starts, owner, answers, high, first, count)
 
-    def score(self, texts: list[bytes], budget: int = 1 << 20) -> np.ndarray:
+    def score(self, texts: list[bytes], budget: int = 1 << 17) -> np.ndarray:
         """Probabilities; texts are taken together up to ``budget`` bytes, longer ones in pieces."""
         out = np.full(len(texts), 1 / (1 + np.exp(-self.intercept)))
         group: list[int] = []
@@ -181,12 +182,16 @@ class Network:
         return self
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, sample_rows: int = 3000, sample_bytes: int = 200_000) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, sample_rows: int = 3000, sample_chars: int = 12_000) -> DataFrame:
     """(text, label) of at most ``sample_rows`` labelled rows outside the held-out fold."""
     known = pick(labels, id=id, label=label).where("id is not null and label is not null")
     known = known.where(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(folds)) != held_out)
     chosen = known.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    texts = pick(docs, id=id, text=text).where(F.octet_length("text").between(1, sample_bytes))
+    third = sample_chars // 3
+    middle = (F.length("text") - third).cast("int") / 2
+    windows = F.concat_ws("\n", F.substring("text", 1, third), F.substring(F.col("text"), middle.cast("int"), F.lit(third)), F.substring("text", -third, third))
+    cut = F.when(F.length("text") > sample_chars, windows).otherwise(F.col("text"))
+    texts = pick(docs, id=id, text=text).where("text <> ''").withColumn("text", cut)
     # the chosen rows are at most sample_rows ids and labels: a proven bound for the broadcast
     return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")).orderBy("id").select("text", "label")
 

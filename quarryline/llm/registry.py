@@ -54,8 +54,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All paragraphs and passages that repeat an earlier one, with their runs' words and the one that stays."""
     docs = table(spark, sf_dir, "documents")
-    lines = freed(paragraphs.removals(spark, docs, min_run=0), "lines").withColumn("kind", F.lit("paragraph"))
-    inside = paragraphs.passages(spark, docs).withColumn("kind", F.lit("passage"))
+    seen = paragraphs.Found(spark, docs)
+    lines = freed(paragraphs.removals(spark, docs, min_run=0, found=seen), "lines").withColumn("kind", F.lit("paragraph"))
+    inside = paragraphs.passages(spark, docs, found=seen).withColumn("kind", F.lit("passage"))
     found = lines.unionByName(inside)
     return found.withColumnsRenamed({"id": "doc_id", "keeper_id": "keeper_doc_id"})
 

@@ -10,8 +10,9 @@ from a bounded sample of fingerprints; the sample steers cost, never results.
 Fingerprints are probed with every key within t_i of their partition's bits,
 and verified by their full distance. Links go to connected components.
 
-Keys shared by very many distinct fingerprints are dealt into pairs of bounded
-blocks, verified exactly, and emit spanning links only.
+Rows travel with their fingerprint (or 128 bits of a longer one), so groups of
+a key are compared where they meet. Keys that a task meets often are hot: they
+are dealt into bounded parts, as :mod:`neighbours` says.
 
 Edge cases: null, empty and wordless texts have fingerprint zero and link as
 any other; texts of fewer words than a shingle are one shingle; rows that
@@ -30,13 +31,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import IdFilter, components, materialize, pick, plain, prepare, release, sliced
-from .neighbours import forest_links, shared_keys
-from .paragraphs import jaccard, shingles
+from .common import IdFilter, components, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join
+from .neighbours import BLOCK, as_groups, counted, hot_links, key_links, payload_comparison, sketch_comparison
+from .paragraphs import jaccard
+from .words import Words
 
 #: Odd multipliers for fingerprints of more than 64 bits come from this stream (splitmix64).
 _GOLDEN = 0x9E3779B97F4A7C15
 SAMPLE = 2048
+#: Keys that are counted together in a task, and how often a key must occur among them to count as frequent there.
+COUNTED_KEYS = 1 << 22
+FREQUENT = 8
+#: Words of a long fingerprint that travel with its keys, and the most bits in which they may differ.
+SKETCH, SKETCH_RADIUS = 2, 40
 
 
 def _expanders(words: int) -> np.ndarray:
@@ -81,22 +88,20 @@ def fingerprint(hashes: np.ndarray, expanders: np.ndarray | None = None) -> byte
     return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 64) -> DataFrame:
-    """(id, fp): every row's fingerprint of ``bits`` bits as binary."""
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """(id, fp): every row's 64-bit fingerprint as a signed number."""
     import pyarrow as pa
 
     prepare(docs.sparkSession)
-    expanders = None if bits == 64 else _expanders(bits // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        for b in sliced(batches):
-            texts = (t.encode() if t else b"" for t in b.column(1).to_pylist())
-            found = [fingerprint(shingle_hashes(t, shingle), expanders) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["id", "fp"])
+        for b in sliced(batches, 256):
+            found = b"".join(fingerprint(shingle_hashes(t.encode() if t else b"", shingle)) for t in b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.frombuffer(found, "<i8").astype(np.int64))], names=["id", "fp"])
 
     rows = pick(docs, id=id, text=text)
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp binary")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
 class Plan:
@@ -206,17 +211,18 @@ def expected_recall(width: int, probes: int, bits: int = 1024, similarity: float
     return float(1 - ((1 - (1 - share) ** width) ** probes * weight).sum() / weight.sum())
 
 
-def wide_plan(sample: np.ndarray, total: int, spare: int = 6, seed: int = 5, recall: float = 0.99, similarity: float = 0.8) -> Plan:
+def wide_plan(sample: np.ndarray, total: int, spare: int = -2, seed: int = 5, recall: float = 0.99, similarity: float = 0.8) -> Plan:
     """A plan for long fingerprints and a large radius.
 
-    Partitions have log2(total) + ``spare`` bits, so that unrelated rows
-    seldom meet at any size of the table. The first round groups correlated
-    bits, further rounds group the same bits anew, as many as it takes to meet
-    pairs of ``similarity`` with a probability of ``recall``: wider partitions
-    are met more seldom, so rounds grow with the table.
+    Partitions have log2(total) + ``spare`` bits, so that an unrelated row
+    meets about 2^-``spare`` others by a key at any size of the table (their
+    sketches part them). The first round groups correlated bits, further rounds
+    group the same bits anew, as many as it takes to meet pairs of
+    ``similarity`` with a probability of ``recall``: wider partitions are met
+    more seldom, so rounds grow with the table.
     """
     bits = sample.shape[1]
-    width = min(40, max(16, int(np.ceil(np.log2(max(total, 2)))) + spare))
+    width = min(40, max(8, int(np.ceil(np.log2(max(total, 2)))) + spare))
     parts = bits // width
     rounds = 1
     while expected_recall(int(np.ceil(bits / parts)), rounds * parts, bits, similarity) < recall:
@@ -229,13 +235,21 @@ def wide_plan(sample: np.ndarray, total: int, spare: int = 6, seed: int = 5, rec
     return Plan(groups, [0] * len(groups))
 
 
-def _bits(column: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
-    return np.unpackbits(data, axis=1, bitorder="little")
+def _matrix(column) -> np.ndarray:
+    """A row of 64-bit words for every fingerprint of an Arrow column, long or binary."""
+    import pyarrow as pa
+
+    if pa.types.is_int64(column.type):
+        return column.to_numpy(zero_copy_only=False).reshape(-1, 1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(len(column), -1)
+
+
+def _bits(words: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")
 
 
-def key_rows(distinct: DataFrame, plan: Plan) -> DataFrame:
-    """(key, member) for every fingerprint, named by its ``rep``, and probe key."""
+def key_rows(distinct: DataFrame, plan: Plan, words: int = 1) -> DataFrame:
+    """(key, member, s0, s1, ...) for every fingerprint ``fp`` (long or binary), named by ``member``, and probe key; ``words`` words of it travel along."""
     import pyarrow as pa
 
     prepare(distinct.sparkSession)
@@ -243,146 +257,180 @@ def key_rows(distinct: DataFrame, plan: Plan) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1024):
-                column = b.column(0).slice(at, 1024)
-                keys = plan.keys(_bits(column.to_pylist()))
-                spread = b.column(1).slice(at, 1024).take(pa.array(np.repeat(np.arange(len(keys)), keys.shape[1])))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), spread], names=["key", "member"])
+                own = _matrix(b.column(0).slice(at, 1024))
+                keys = plan.keys(_bits(own))
+                each = np.repeat(np.arange(len(keys)), keys.shape[1])
+                sketch = [pa.array(own[each, w]) for w in range(words)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), b.column(1).slice(at, 1024).take(pa.array(each)), *sketch], names=["key", "member", *(f"s{w}" for w in range(words))])
 
-    return distinct.select("fp", "rep").mapInArrow(run, f"key long, member {distinct.schema['rep'].dataType.simpleString()}")
+    return distinct.select("fp", "member").mapInArrow(run, "key long, member long, " + ", ".join(f"s{w} long" for w in range(words)))
 
 
-def within(tau: int):
-    """Which later fingerprints of a group are within ``tau`` bits of its fingerprint i."""
+def frequent_keys(distinct: DataFrame, plan: Plan, block: int) -> DataFrame:
+    """Keys that more than ``block`` fingerprints have, as far as tasks meet them often.
 
-    def relate(payloads: list[bytes]):
-        words = np.frombuffer(b"".join(payloads), np.uint64).reshape(len(payloads), -1)
-        return lambda i: np.bitwise_count(words[i + 1 :] ^ words[i]).sum(axis=1) <= tau
-
-    return relate
+    Tasks count their keys, ``COUNTED_KEYS`` at a time, and report those met
+    ``FREQUENT`` times or more; so a key that is not among the result has at
+    most ``block`` rows and fewer than ``FREQUENT`` more for every count made.
+    """
+    import pyarrow as pa
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def often(held: list) -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys[n >= FREQUENT].view(np.int64)), pa.array(n[n >= FREQUENT].astype(np.int64))], names=["key", "n"])
 
-def classes(prints: DataFrame, tau: int, planner=exact_plan) -> DataFrame:
-    """(fp, component): the smallest id of all rows that can be reached over links."""
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(plan.keys(_bits(_matrix(b.column(0)))).ravel())
+            size += len(held[-1])
+            if size >= COUNTED_KEYS:
+                yield often(held)
+                held, size = [], 0
+        if held:
+            yield often(held)
+
+    return distinct.select("fp").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > block).select("key")
+
+
+def sketch_links(distinct: DataFrame, plan: Plan, radius: int, words: int = 1, block: int = BLOCK) -> DataFrame:
+    """(a, b): links of fingerprints (fp, member) that share a key and differ in at most ``radius`` bits of their first ``words`` words."""
+    sketch = [f"s{w}" for w in range(words)]
+    compare = sketch_comparison(sketch, radius)
+    rows = key_rows(distinct, plan, words)
+    hot = materialize(frequent_keys(distinct, plan, block), "hot-keys")
+    if hot.isEmpty():
+        return compare(as_groups(rows))
+    maybe, sure = IdFilter(hot, "key").split(rows, "key")
+    cold = sure.unionByName(maybe.join(hot, "key", "left_anti"))
+    return compare(as_groups(cold)).unionByName(hot_links(maybe.join(hot, "key", "left_semi"), sketch, compare, block))
+
+
+def planned(distinct: DataFrame, total: int, planner) -> Plan:
+    """A plan by a bounded sample of the fingerprints, the least by a hash."""
+    some = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).combine_chunks()
+    return planner(_bits(_matrix(some)), total)
+
+
+def classes(prints: DataFrame, tau: int, block: int = BLOCK) -> DataFrame:
+    """(fp, component) of 64-bit fingerprints (id, fp long): the smallest id of all rows that can be reached over links.
+
+    A fingerprint is its own name in the search, so rows of one id with
+    several fingerprints are told apart.
+    """
     distinct = materialize(prints.where("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "distinct")
     total = distinct.count()
     if total < 2:
         return distinct.select("fp", F.col("rep").alias("component"))
-    some = [bytes(r.fp) for r in distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
-    if planner is exact_plan:
-        plan = exact_plan(_bits(some), total, tau)
-    else:
-        plan = planner(_bits(some), total)
-    # keys travel with ids; fingerprints join those that share a key
-    met = shared_keys(key_rows(distinct, plan))
-    payload = distinct.select(F.col("rep").alias("member"), F.col("fp").alias("payload"))
-    groups = components(forest_links(met.join(payload, "member"), within(tau), "member", "payload"))
-    return distinct.join(groups, distinct.rep == groups.node, "left").select("fp", F.coalesce("component", "rep").alias("component"))
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, tau: int = 2, shingle: int = 3, bits: int = 64, planner=exact_plan, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp, component) for every row of ``docs``; a null id has no component."""
+    named = distinct.select("fp", F.col("fp").alias("member"))
+    plan = planned(named, total, lambda sample, n: exact_plan(sample, n, tau))
+    groups = components(sketch_links(named, plan, tau, 1, block))
+    linked = distinct.join(groups, distinct.fp == groups.node).select("fp", "rep", F.col("component").alias("c"))
+    least = linked.groupBy("c").agg(F.min("rep").alias("component"))
+    linked = spread_join(linked, least, "c").select("fp", "component")
+    return distinct.join(linked, "fp", "left").select("fp", F.coalesce("component", "rep").alias("component"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, tau: int = 2, shingle: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, fp, component) for every row of ``docs``, fingerprints as signed 64-bit numbers; a null id has no component."""
     prepare(spark)
-    prints = materialize(fingerprints(docs, id, text, shingle, bits), "fingerprints")
-    found = prints.join(classes(prints, tau, planner), "fp", "left")
+    prints = materialize(fingerprints(docs, id, text, shingle), "fingerprints")
+    found = spread_join(prints, classes(prints, tau), "fp", "left")
     return found.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
 def simhash_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id): 3-word shingles, links at two bits or fewer."""
-    digits = F.regexp_replace(F.lower(F.hex("fp")), "(..)(..)(..)(..)(..)(..)(..)(..)", "$8$7$6$5$4$3$2$1")
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_duplicates(spark, docs).select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").cast("long").alias("component_id"))
 
 
-def text_prints(docs: DataFrame, id: str, text: str, shingle: int, bits: int) -> DataFrame:
-    """(id, content, fp): a digest of each text's lower-cased words and the fingerprint of its distinct shingles."""
+def text_prints(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """(id, body, c0, c1, fp) from (id, body, text): a digest of each text's lower-cased words and the fingerprint of its distinct shingles."""
     import pyarrow as pa
 
     prepare(docs.sparkSession)
     expanders = _expanders(bits // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
         release()
-        for b in sliced(batches):
-            words = [t.encode().lower().split() if t else [] for t in b.column(1).to_pylist()]
-            contents = [xxh3_128_digest(b" ".join(w)) for w in words]
-            found = [fingerprint(shingles(w, shingle), expanders) for w in words]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(contents, pa.binary()), pa.array(found, pa.binary())], names=["id", "content", "fp"])
+        for b in sliced(batches, 256):
+            words = Words(b.column(2).to_pylist())
+            first, last = words.firsts[:-1], words.firsts[1:]
+            digests = [pa.array(runs.ranges(first, last).view(np.int64)) for runs in words.runs]
+            found = [fingerprint(s, expanders) for s in words.shingle_sets(first, last, shingle)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *digests, pa.array(found, pa.binary())], names=["id", "body", "c0", "c1", "fp"])
 
-    rows = pick(docs, id=id, text=text)
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, content binary, fp binary")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, body long, c0 long, c1 long, fp binary")
 
 
-def text_shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
-    """(content, payload): shingle sets of the texts that ``wanted`` (id, contents) names."""
+def text_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(member, payload): shingle sets of the texts (id, body, text) that ``wanted`` (id, body, member) names."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        for b in sliced(batches):
-            out = []
-            for t, contents in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                words = t.encode().lower().split() if t else []
-                content = xxh3_128_digest(b" ".join(words))
-                if content in contents:
-                    out.append((content, shingles(words, shingle).tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], names=["content", "payload"])
+        for b in sliced(batches, 256):
+            words = Words(b.column(0).to_pylist())
+            sets = words.shingle_sets(words.firsts[:-1], words.firsts[1:], shingle)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], names=["member", "payload"])
 
-    wanted = materialize(wanted, "wanted")
-    some, _ = IdFilter(wanted, "id").split(pick(docs, id=id, text=text), "id")
-    return some.join(wanted, "id").select("text", "contents").mapInArrow(run, "content binary, payload binary").dropDuplicates(["content"])
+    some = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, ["id", "body"])
+    return some.select("text", "member").mapInArrow(run, "member long, payload binary").dropDuplicates(["member"])
 
 
-def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, radius: int, shingle: int, bits: int, id: str, text: str) -> DataFrame:
-    """(id, root) of every row with an id: ``root`` is the smallest id that links of exact similarity reach.
+def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, shingle: int, bits: int, id: str, text: str) -> DataFrame:
+    """(id, body, root) of the texts with an id that have a class: ``root`` (id, body) is the least that links of exact similarity reach.
 
-    Fingerprints within ``radius`` bits that a probe meets only say which texts
-    are compared: texts of a component of such pairs are compared each with
-    each, in bounded blocks, by the exact Jaccard similarity of their shingle sets.
+    ``body`` is a hash of the text, so that texts of one id are told apart.
+    Fingerprints that meet by a key and have close sketches only say which
+    texts are compared: texts of a component of such pairs are compared by the
+    exact Jaccard similarity of their shingle sets.
     """
-    prints = materialize(text_prints(docs, id, text, shingle, bits).where("id is not null"), "prints")
-    distinct = materialize(prints.groupBy("content").agg(F.min("id").alias("rep"), F.first("fp").alias("fp")), "distinct")
+    rows = pick(docs, id=id, text=text).where("id is not null").withColumn("body", F.xxhash64("text")).select("id", "body", "text")
+    prints = materialize(text_prints(rows, shingle, bits), "prints")
+    place = F.struct("id", "body")
+    distinct = materialize(prints.groupBy("c0", "c1").agg(F.min(F.struct("id", "body", "fp")).alias("least"), F.count(F.lit(1)).alias("copies")).select(F.col("c0").alias("member"), "c1", "least.*", "copies"), "distinct")
     total = distinct.count()
-    classed = distinct.select("content", F.col("rep").alias("root"))
+    copied = distinct.where("copies > 1").select("member", "c1", place.alias("root"))
     if total > 1:
-        some = [bytes(r.fp) for r in distinct.select("fp").orderBy(F.xxhash64("content"), "content").limit(SAMPLE).collect()]
-        plan = wide_plan(_bits(some), total, similarity=similarity)
-        named = distinct.withColumn("member", F.xxhash64("content"))
-        met = shared_keys(key_rows(named.select("fp", F.col("member").alias("rep")), plan))
-        payload = named.select("member", F.col("fp").alias("payload"))
-        near = components(forest_links(met.join(payload, "member"), within(radius), "member", "payload"))
-        groups = materialize(named.join(near, named.member == near.node).select("content", "rep", F.col("component").alias("key")), "groups")
-        wanted = groups.groupBy(F.col("rep").alias("id")).agg(F.collect_list("content").alias("contents"))
-        sets = text_shingles(docs, wanted, id, text, shingle)
-        pairs = shared_keys(groups.select("key", F.col("content").alias("member")), block=256)
-        links = forest_links(pairs.join(sets, pairs.member == sets.content).drop("content"), jaccard(similarity), "member", "payload")
-        linked = groups.join(components(links), F.col("content") == F.col("node")).select("content", "component", "rep")
-        roots = linked.groupBy("component").agg(F.min("rep").alias("low"))
-        roots = linked.join(roots, "component").select("content", "low")
-        classed = classed.join(roots, "content", "left").select("content", F.coalesce("low", "root").alias("root"))
-    return prints.select("id", "content").join(classed, "content").select("id", "root")
-
-
-def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = 0.8, radius: int = 242, shingle: int = 5, bits: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
+        plan = planned(distinct, total, lambda sample, n: wide_plan(sample, n, similarity=similarity))
+        near = components(sketch_links(distinct.select("fp", "member"), plan, SKETCH_RADIUS, SKETCH))
+        groups = materialize(distinct.join(near, distinct.member == near.node).select("member", "c1", "id", "body", F.col("component").alias("key")), "groups")
+        sets = materialize(text_shingles(rows, groups.select("id", "body", "member"), shingle), "sets")
+        links = key_links(materialize(counted(groups.select("key", "member")), "compared"), payload_comparison(jaccard(similarity)), sets, 128)
+        found = components(links)
+        linked = groups.join(found, groups.member == found.node).select("member", "c1", "component", place.alias("own"))
+        roots = linked.groupBy("component").agg(F.min("own").alias("root"))
+        linked = materialize(spread_join(linked, roots, "component").select("member", "c1", "root"), "linked")
+        copied = linked.unionByName(copied.join(linked, ["member", "c1"], "left_anti"))
+        discard(sets, groups)
+    named = prints.select("id", "body", F.col("c0").alias("member"), "c1")
+    classed = only(named, copied.select("member").distinct(), "member")
+    return classed.join(copied, ["member", "c1"]).select("id", "body", "root")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns, without near copies: of a class the smallest id stays.
 
     Links are pairs whose sets of five-word shingles have an exact Jaccard
-    similarity of ``similarity`` or more. Pairs of 0.8 have fingerprints 155
-    bits of 1024 apart on average (deviation 12), and at most 192 where texts
-    are a few shingles long; ``radius`` lies four deviations beyond. Of rows with the same id one stays; null ids stay.
+    similarity of ``similarity`` or more. Pairs of 0.8 have sketches 19 bits of
+    128 apart on average (deviation 4), and 24 where texts are a few shingles
+    long; the radius of 40 is far beyond, and unrelated sketches differ in 64.
+    Of rows with the same id and text one stays; texts of one id that are not
+    alike all stay; null ids stay.
     """
     prepare(spark)
     rows, names = plain(docs)
     own, body = f"c{names.index(id)}", f"c{names.index(text)}"
-    found = similar_texts(spark, rows, similarity, radius, shingle, bits, own, body)
-    gone = materialize(found.where("id <> root").select(F.col("id").alias("gone")).distinct(), "removed")
-    twice = rows.where(F.col(own).isNotNull()).groupBy(F.col(own).alias("gone")).count().where("count > 1").select("gone")
+    found = similar_texts(spark, rows, similarity, shingle, bits, own, body)
+    gone = materialize(found.where("id <> root.id OR body <> root.body").select(F.col("id").alias("gone"), F.col("body").alias("gone_body")).distinct(), "removed")
+    marked = rows.withColumn("body", F.xxhash64(body))
+    twice = marked.where(F.col(own).isNotNull()).groupBy(F.col(own).alias("gone"), "body").count().where("count > 1").select("gone")
     # texts of rows that stay for certain are not shuffled
-    maybe, sure = IdFilter(gone.union(twice), "gone").split(rows, own)
-    left = maybe.join(gone, maybe[own] == gone["gone"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy(own).orderBy(body))
-    one = left.withColumn("rank", rank).where((F.col("rank") == 1) | F.col(own).isNull()).drop("rank")
-    return sure.unionByName(one).toDF(*names)
+    maybe, sure = IdFilter(gone.select("gone").union(twice), "gone").split(marked, own)
+    left = maybe.join(gone, (maybe[own] == gone["gone"]) & (maybe["body"] == gone["gone_body"]), "left_anti")
+    rank = F.row_number().over(Window.partitionBy(own, "body").orderBy(body))
+    once = left.where(F.col(own).isNotNull()).withColumn("rank", rank).where("rank = 1").drop("rank")
+    return sure.unionByName(once).unionByName(left.where(F.col(own).isNull())).drop("body").toDF(*names)

@@ -64,18 +64,50 @@ def test_plan_meets_every_close_pair(values, tau, rng):
                 assert keys[i] & keys[j]
 
 
-def test_hot_keys_are_split_and_exact(spark):
-    rng = np.random.default_rng(0)
-    prints = [int(1 << 40 | int(x)) for x in rng.choice(1 << 12, 300, replace=False)]
-    data = [(1, i, f.to_bytes(8, "little")) for i, f in enumerate(prints)] + [(2, 9999, b"\0" * 8)]
-    rows = spark.createDataFrame(data, "key long, member long, payload binary")
-    met = neighbours.shared_keys(rows, block=32)
-    assert met.groupBy("key", "lo", "hi").count().agg({"count": "max"}).first()[0] <= 64
-    assert met.where("key = 2").count() == 0
-    links = neighbours.forest_links(met, simhash.within(2), "member", "payload")
+def dense(rng, n):
+    """Fingerprints near one another and far from one another, all with the same upper bits."""
+    near = [1 << 40 | int(x) for x in rng.choice(1 << 12, n, replace=False)]
+    return near + [1 << 40 | int(x) << 13 for x in rng.choice(1 << 24, n // 2, replace=False)]
+
+
+@pytest.mark.parametrize("block", [100, 10_000])
+def test_hot_keys_are_split_and_exact(spark, block):
+    prints = dense(np.random.default_rng(0), 300)
+    rows = spark.createDataFrame([(1, f, f) for f in prints] + [(2, 9999, 0)], "key long, member long, s0 long")
+    links = neighbours.hot_links(rows, ["s0"], neighbours.sketch_comparison(["s0"], 2), block)
+    found = {r.node: r.component for r in common.components(links).collect()}
+    expected = brute_classes([(f, f) for f in prints], 2)
+    assert all(found.get(f, f) == expected[f] for f in prints)
+
+
+def test_hot_key_has_bounded_groups(spark, monkeypatch):
+    """A key that a third of the rows share, most of them alike: no comparison is larger than a few blocks."""
+    rng = np.random.default_rng(5)
+    members = rng.choice(1 << 62, 30_000, replace=False)
+    data = [(int(1 if i % 3 == 0 else 2 + i // 2), int(m), int(rng.integers(0, 3)) if i % 30 else int(m)) for i, m in enumerate(members)]
+    rows = spark.createDataFrame(data, "key long, member long, s0 long")
+    real, sizes = neighbours.sketch_comparison(["s0"], 1), []
+
+    def watched(groups):
+        sizes.append(groups.groupBy("key", "part").count().agg({"count": "max"}).first()[0])
+        return real(groups)
+
+    links = common.materialize(neighbours.hot_links(rows, ["s0"], watched, 512), "links")
+    assert max(s or 0 for s in sizes) < 3 * 512 and len(sizes) <= 6
+    assert links.count() < 4 * len(data)
+    alike = {m for i, (k, m, _) in enumerate(data) if k == 1 and i % 30}
     found = {r.node: r.component for r in common.components(links).collect()}
+    assert len({found[m] for m in alike if m in found}) == 1 and alike <= set(found)
+
+
+def test_frequent_keys_are_found(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FREQUENT", 2)
+    prints = dense(np.random.default_rng(1), 200)
+    rows = spark.createDataFrame([(i, f) for i, f in enumerate(prints)], "id long, fp long")
     expected = brute_classes(list(enumerate(prints)), 2)
-    assert all(found.get(i, i) == expected[i] for i in range(300))
+    for block in (80, 10_000):
+        found = {r.fp: r.component for r in simhash.classes(rows, 2, block).collect()}
+        assert all(found[f] == expected[i] for i, f in enumerate(prints))
 
 
 @settings(max_examples=12, deadline=None)
@@ -127,11 +159,33 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
+def split(text):
+    """(place, words) of each line of eight words or more; shorter ones that follow each other are one."""
+    out, short = [], []
+    for place, line in enumerate([*(text or "").split("\n"), None]):
+        words = line.lower().split(" ") if line is not None else []
+        words = [w for w in words if w.strip("\t\r\x0b\x0c")]
+        if (line is None or len(words) >= 8) and short:
+            joined = [w for _, some in short for w in some]
+            if len(joined) >= 8:
+                out.append((short[0][0], joined))
+            short = []
+        if len(words) >= 8:
+            out.append((place, words))
+        elif words:
+            short.append((place, words))
+    return out
+
+
+def shingles(words, size=5):
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
 def brute_removals(rows):
     """Paragraphs that are not the first of their class, by all pairs."""
     found = []
     for i, t in {(i, t) for i, t in rows if i is not None}:
-        found += [(i, place, set(paragraphs.shingles(words).tolist())) for place, _, _, words in paragraphs.split(t)]
+        found += [(i, place, shingles(words)) for place, words in split(t)]
     found.sort(key=lambda x: x[:2])
     label = list(range(len(found)))
     for _ in found:
@@ -143,7 +197,7 @@ def brute_removals(rows):
     out = {}
     for i, t in {(i, t) for i, t in rows if i is not None}:
         run = []
-        for place, _, _, words in [*paragraphs.split(t), (None, 0, 0, [])]:
+        for place, words in [*split(t), (None, [])]:
             if (i, place) in repeats:
                 run.append((place, len(words)))
             else:
@@ -212,9 +266,40 @@ def test_wide_plan_keeps_its_recall_at_every_size():
     one = rng.integers(0, 2, (600, 1024)).astype(np.uint8)
     p = np.arccos(1.6 / 1.8) / np.pi  # share of bits in which pairs of Jaccard 0.8 differ
     other = one ^ (rng.random(one.shape) < p).astype(np.uint8)
-    for total in (10_000, 200_000, 12_000_000, 100_000_000):
+    for total in (1_000, 200_000, 12_000_000, 10**9, 10**10):
         plan = simhash.wide_plan(one, total)
+        widths = {len(g) for g in plan.groups}
+        assert simhash.expected_recall(max(widths), len(plan.groups)) >= 0.99
         assert (plan.keys(one) == plan.keys(other)).any(axis=1).mean() >= 0.98
+    sketches = one[:, : 64 * simhash.SKETCH] != other[:, : 64 * simhash.SKETCH]
+    assert (sketches.sum(axis=1) <= simhash.SKETCH_RADIUS).all()
+
+
+def test_near_copies_equal_brute_force(spark):
+    """Edited copies of many texts around a similarity of 0.8: kept rows are those of all pairs."""
+    rng = random.Random(12)
+    rows = []
+    for d in range(220):
+        words = prose(9000 + d % 90, 80 + d % 90, 4000).split()
+        for _ in range(d // 90 * rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(99)}"
+        rows.append((d, " ".join(words)))
+    sets = {i: shingles(t.split()) for i, t in rows}
+    close = [(i, j) for i in sets for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
+    label = {i: i for i in sets}
+    for _ in range(4):
+        for i, j in close:
+            label[i] = label[j] = min(label[i], label[j])
+    kept = {r.doc_id for r in simhash.keep_one(spark, frame(spark, rows)).select("doc_id").collect()}
+    assert len(close) > 60 and kept == {i for i in label if label[i] == i}
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    rows = [(1, prose(1, 80)), (1, prose(2, 80)), (1, prose(1, 80)), (2, prose(2, 80)), (3, prose(3, 80)), (3, prose(4, 80))]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(spark, frame(spark, rows)).toDF(*"abcdefghijk").selectExpr("a AS doc_id", "b AS text").collect())
+    assert kept == sorted({(1, prose(1, 80)), (1, prose(2, 80)), (3, prose(3, 80)), (3, prose(4, 80))})
+    prints = spark.createDataFrame([(1, 0), (1, 255), (2, 254), (3, 1 << 40)], "id long, fp long")
+    assert {r.fp: r.component for r in simhash.classes(prints, 2).collect()} == {0: 1, 255: 1, 254: 1, 1 << 40: 1}
 
 
 def test_links_are_exact_similarities(spark):
@@ -228,7 +313,7 @@ def test_links_are_exact_similarities(spark):
         rows.append((d, " ".join(words)))
     rows.append((13, " ".join(["spam ham eggs"] * 200)))  # its shingles are most of the next one's
     rows.append((14, " ".join(["spam ham eggs"] * 200) + " " + prose(61, 100, 5000)))
-    sets = {i: set(paragraphs.shingles(t.encode().split()).tolist()) for i, t in rows}
+    sets = {i: shingles(t.split()) for i, t in rows}
     label = {i: i for i in sets}
     for _ in sets:
         for i in sets:
