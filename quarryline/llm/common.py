@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -106,6 +107,14 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*out)
 
 
+def integer_ids(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``column`` as 64-bit integers; other kinds of ids are refused."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"ids must be integers, not {kind.simpleString()}")
+    return df.withColumn(column, F.col(column).cast("long"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,14 +1,17 @@
 """Exact top-k search over an impact-ordered index, score at a time.
 
-Vectors are quantised to integers. A block of candidates is indexed by
-postings (dimension, impact), ordered by falling size of the quantised impact
-and cut into segments of equal bit length; segments are processed from the
-highest impacts down, adding each posting's product with the query's weight to
-the candidates' accumulators. After each segment a query's scoring stops only
-on proof: by the Cauchy-Schwarz inequality no unprocessed posting can lift any
-candidate but a few possible members to the score of the exact k-th best so
-far. Possible members, ties included, are rescored exactly. A query for which
-there is no proof runs to the last segment, where accumulators are exact.
+Vectors are quantised to integers. A block of candidates is indexed by sparse
+posting lists, one for a dimension and an impact (the size of a component, to
+six significant bits); lists of one impact are a segment, and components of
+zero have no posting. Segments are processed from the highest impacts down:
+each list adds its products with the weights of a batch of queries to its
+candidates' accumulators. When little of the candidates' energy is left, and
+again whenever that has halved, queries are tested; one stops only on proof:
+by the Cauchy-Schwarz inequality no unprocessed posting can lift any candidate
+but a few possible members to the score of the exact k-th best so far.
+Possible members, ties included, are rescored exactly. A query for which there
+is no proof runs to the last segment, where accumulators are exact. So no
+posting is processed twice, and the last segments are left out on proof.
 
 Queries and candidates are dealt into blocks and each pair of blocks is one
 task group; a group returns at most k rows a query.
@@ -38,6 +41,10 @@ CANDIDATES = 16384
 QUERIES = 2048
 #: Stop and rescore where at most this share of a block can still be a member.
 FEW = 1 / 32
+#: Share of the candidates' energy (sum of squares) that may be left at the first test.
+TESTED = 0.05
+#: Queries that are scored together.
+BATCH = 128
 
 
 def quantised(rows: DataFrame, scale: float) -> DataFrame:
@@ -61,22 +68,24 @@ def quantised(rows: DataFrame, scale: float) -> DataFrame:
 
 
 class ImpactIndex:
-    """Segments of a block's postings by falling impact."""
+    """Posting lists of a block of candidates by falling impact; ``work`` counts products."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        size = np.abs(vectors)
-        level = np.frexp(size)[1]  # bit length of the impact
-        self.segments, self.left = [], []
-        rest = vectors.copy()
-        for bits in sorted(set(np.unique(level).tolist()) - {0}, reverse=True):
-            postings = np.where(level == bits, vectors, 0)
-            rest = rest - postings
-            self.segments.append(postings)
-            # what a unit query could still gain from the postings below, rounded up
-            self.left.append(np.sqrt((rest * rest).sum(axis=1)) * (1 + 1e-9))
-        if not self.segments:
-            self.segments, self.left = [vectors], [np.zeros(len(vectors))]
+        self.ids, self.vectors, self.work = ids, vectors, 0
+        self.rows, dims = np.nonzero(vectors)
+        size = np.abs(vectors[self.rows, dims])
+        step = np.exp2(np.maximum(np.frexp(size)[1] - 6, 0))
+        level = np.floor(size / step) * step
+        order = np.lexsort((self.rows, dims, -level))
+        self.rows, dims, level = self.rows[order], dims[order], level[order]
+        self.impacts = vectors[self.rows, dims]
+        apart = np.ones(len(order), bool)
+        apart[1:] = (dims[1:] != dims[:-1]) | (level[1:] != level[:-1])
+        starts = np.flatnonzero(apart)
+        #: (dimension, first posting, past the last) of every list, and the lists that begin a segment.
+        self.lists = list(zip(dims[starts].tolist(), starts.tolist(), np.append(starts[1:], len(order)).tolist(), strict=True))
+        begins = np.flatnonzero(np.append(True, level[starts][1:] != level[starts][:-1])) if len(starts) else np.zeros(0, np.int64)
+        self.segments = [self.lists[a:z] for a, z in zip(begins, np.append(begins[1:], len(starts)), strict=True)] or [[]]
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, candidate ids, scores): each query's k best of the block, ties to smaller ids."""
@@ -88,31 +97,44 @@ class ImpactIndex:
                 yield i, *self._best(i, np.arange(len(self.ids)), scores, k)
             return
         kind = np.float32 if bound < 2**24 else np.float64  # sums of integers, exact in either
-        acc = np.zeros((len(queries), len(self.ids)), kind)
-        weights = queries.astype(kind)
+        acc = np.zeros((len(self.ids), len(queries)), kind)
+        weights = np.ascontiguousarray(queries.T.astype(kind))
+        impacts = self.impacts.astype(kind)[:, None]
         length = np.sqrt((queries * queries).sum(axis=1)) * (1 + 1e-9)
         active = np.arange(len(queries))
-        for at, (postings, left) in enumerate(zip(self.segments, self.left, strict=True)):
-            acc[active] += weights[active] @ postings.T.astype(kind)
+        energy = (self.vectors * self.vectors).sum(axis=1)
+        rest, tested = energy.copy(), TESTED * energy.sum()
+        for at, segment in enumerate(self.segments):
+            for dim, start, stop in segment:
+                rows = self.rows[start:stop]
+                acc[rows] += impacts[start:stop] * weights[dim]
+                rest[rows] -= self.impacts[start:stop] ** 2
+                self.work += (stop - start) * len(active)
             final = at == len(self.segments) - 1
+            if not final and rest.sum() > tested:
+                continue
+            tested = rest.sum() / 2
+            # what a unit query could still gain from the postings below, rounded up
+            left = np.sqrt(np.maximum(rest, 0) + 1e-12 * energy) * (1 + 1e-9)
             going = []
-            for a in active:
-                slack = length[a] * left
-                seen = acc[a]
+            for place, (a, seen) in enumerate(zip(active, np.ascontiguousarray(acc.T), strict=True)):
                 few = min(len(seen), k + 1)
                 best = np.argpartition(-seen, few - 1)[:few] if few < len(seen) else np.arange(len(seen))
                 best = best[self.ids[best] != query_ids[a]]
                 sure = np.sort(self.vectors[best] @ queries[a])[::-1]
                 least = sure[k - 1] if len(sure) >= k else -np.inf
-                possible = np.flatnonzero(seen + slack >= least)
+                possible = np.flatnonzero(seen + length[a] * left >= least)
+                self.work += len(best) * self.vectors.shape[1]
                 if final or len(possible) <= max(4 * k, FEW * len(seen)):
                     scores = self.vectors[possible] @ queries[a]
+                    self.work += len(possible) * self.vectors.shape[1]
                     yield query_ids[a], *self._best(query_ids[a], possible, scores, k)
                 else:
-                    going.append(a)
-            active = np.array(going, np.int64)
-            if not len(active):
+                    going.append(place)
+            if not going:
                 return
+            if len(going) < len(active):
+                active, acc, weights = active[going], np.ascontiguousarray(acc[:, going]), np.ascontiguousarray(weights[:, going])
 
     def _best(self, query: int, places: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         other = self.ids[places] != query
@@ -148,8 +170,8 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: F.Column, k: int =
         if len(queries) and len(candidates):
             ids, vectors = unpack(queries, "")
             index = ImpactIndex(*unpack(candidates, "held_"))
-            for at in range(0, len(ids), 128):
-                for q, found, scores in index.search(ids[at : at + 128], vectors[at : at + 128], k):
+            for at in range(0, len(ids), BATCH):
+                for q, found, scores in index.search(ids[at : at + BATCH], vectors[at : at + BATCH], k):
                     out.append(pd.DataFrame({"query_id": q, "vec_id": found, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
 

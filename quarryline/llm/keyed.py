@@ -2,41 +2,48 @@
 
 Texts are encoded in ascending order of their id into shards of raw ids (two
 little-endian bytes an id where the vocabulary allows, else four), every
-document closed by the end id. A shard ends in a footer that lists its
-documents' keys and lengths:
+document closed by the end id. Beside the ids of a shard lie its keys and
+lengths, so that the index is built without a look at any id:
 
-    ids of all documents | keys int64 * n | flags uint8 * n | lengths uint32 * n | n uint64 | end id
+    kind=ids/shard=<number>/   ids of all documents | line feed
+    kind=keys/shard=<number>/  keys int64 * n | flags uint8 * n | lengths uint32 * n | n uint64 | line feed
 
-(flag 1: the key is null; the closing end id is the writer's record separator).
+(flag 1: the key is null). Shard numbers ascend with the ids of their documents.
 The index maps (id, copy) to shard, offset and length. Keys are dealt by hash
 into buckets of bounded size; a bucket's keys get slots by levels of bit
 arrays in which every key that has a position to itself stays and the others
 go on to the next level, so n keys fill exactly n slots. A slot stores a
 fingerprint of its key, so that a key that was never stored is refused
-except by chance of 2^-32.
+except by chance of 2^-32. Ids are read from the byte range that a slot names,
+and no other bytes of a shard are touched; where Python cannot open the store
+that Spark writes to, a shard's bytes are brought to its keys instead.
 
 Edge cases: null texts are empty, an empty text is its end id; null ids come
 first and are keys too; rows with one id are told apart by ``copy`` (0 is the
-first stored); ids may be any 64-bit integers; an empty table writes nothing
-and finds nothing; other columns are ignored whatever their names.
+first stored); ids may be any 64-bit integers, other types are a TypeError; an
+empty table writes nothing and finds nothing; other columns are ignored
+whatever their names. A document that does not end in the end id where its
+slot says is an error.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import exclusive_prefix, fresh_path, materialize, pick, prepare, sliced
+from .common import fresh_path, integer_ids, materialize, pick, prepare, sliced
 from .tokens import ENTRIES, encoder, vocabulary
 
 #: Text bytes of a shard, about.
 SHARD_BYTES = 16 << 20
+#: Bytes of ids after which a task begins another shard.
+MOST_BYTES = 64 << 20
 #: Keys of an index bucket, about.
 BUCKET_KEYS = 1 << 15
 LEVELS = 24
@@ -50,84 +57,87 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return pick(docs, text=text).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
 
 
-def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end: int, width: int = 2, id: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
-    """Write the shards: part files in ascending order of (id, text)."""
+def write_shards(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end: int, width: int = 2, id: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES, most_bytes: int = MOST_BYTES) -> None:
+    """Write the shards below ``path``, in ascending order of the ids."""
     import pyarrow as pa
 
     prepare(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         encode = encoder(tokenizer, width, entries=2 * ENTRIES)
-        keys, sizes = [], []
+        last = np.array([end], encode.dtype).tobytes()
+        number = TaskContext.get().partitionId() << 20
+        keys, sizes, held, size = [], [], [], 0
+
+        def shard() -> Iterator[pa.RecordBatch]:
+            flags = np.array([k is None for k in keys], np.uint8)
+            table = np.array([k or 0 for k in keys], "<i8").tobytes() + flags.tobytes() + np.array(sizes, "<u4").tobytes() + np.array([len(keys)], "<u8").tobytes()
+            for kind, value in (("ids", b"".join(held)), ("keys", table)):
+                yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([number], pa.int64()), pa.array([value], pa.binary())], names=["kind", "shard", "value"])
+
         for b in sliced(batches):
-            own = b.column(0).to_pylist()
-            rows = list(encode.many(b.column(1).to_pylist()))
-            keys += own
-            sizes += [len(r) // width + 1 for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+            for key, ids in zip(b.column(0).to_pylist(), encode.many(b.column(1).to_pylist()), strict=True):
+                keys.append(key)
+                sizes.append(len(ids) // width + 1)
+                held += [ids, last]
+                size += len(ids) + width
+                if size >= most_bytes:
+                    yield from shard()
+                    number += 1
+                    keys, sizes, held, size = [], [], [], 0
         if keys:
-            flags = np.array([k is None for k in keys], np.uint8)
-            footer = np.array([k or 0 for k in keys], "<i8").tobytes() + flags.tobytes() + np.array(sizes, "<u4").tobytes() + np.array([len(keys)], "<u8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([footer], pa.binary())], names=["value"])
+            yield from shard()
 
-    rows = pick(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
+    rows = integer_ids(pick(docs, id=id, text=text), "id")
     total = text_bytes(docs, text)
     # equal ids may be many: what follows the id keeps them from meeting in one shard
     dealt = rows.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(total // shard_bytes + 1, "id", "_at").sortWithinPartitions("id", "_at")
-    separator = np.array([end], {2: "<u2", 4: "<u4"}[width]).tobytes().decode()
-    encoded = dealt.select("id", "text").mapInArrow(run, "value binary")
-    encoded.select(F.col("value").cast("string").alias("value")).write.option("lineSep", separator).text(path)
-
+    written = dealt.select("id", "text").mapInArrow(run, "kind string, shard long, value binary")
+    written.select("kind", "shard", F.col("value").cast("string").alias("value")).write.partitionBy("kind", "shard").text(path)
 
-def parse_footer(content, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, null flags, lengths) of a shard."""
-    stop = len(content) - width
-    n = int(np.frombuffer(content, "<u8", 1, stop - 8)[0])
-    lengths = np.frombuffer(content, "<u4", n, stop - 8 - 4 * n)
-    flags = np.frombuffer(content, np.uint8, n, stop - 8 - 5 * n)
-    return np.frombuffer(content, "<i8", n, stop - 8 - 13 * n), flags, lengths
 
+def shard_files(spark: SparkSession, path: str, kind: str, *columns: str) -> DataFrame:
+    """(shard, columns...) of the files of a kind; ``content`` is only read where it is asked for."""
+    fields = "path string, modificationTime timestamp, length long, content binary, shard long"
+    return spark.read.format("binaryFile").schema(fields).option("pathGlobFilter", "part-*").load(f"{path}/kind={kind}").select("shard", *columns)
 
-def read_shards(spark: SparkSession, path: str, width: int = 2, with_ids: bool = False) -> DataFrame:
-    """(shard, record, id, offset, n, crc, ids) of every stored document.
 
-    ``offset`` counts ids within the shard; ``crc`` is over the ids as
-    little-endian unsigned 32-bit integers; ``ids`` is null without ``with_ids``.
-    """
+def stored_keys(spark: SparkSession, path: str) -> DataFrame:
+    """(id, copy, shard, offset, n) of every stored document, from the tables of keys; ``offset`` counts ids in the shard."""
     import pyarrow as pa
 
     prepare(spark)
-    dtype = {2: "<u2", 4: "<u4"}[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, cell in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for shard, cell in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 content = cell.as_buffer()
-                if not len(content):
-                    continue
-                shard = int(re.search(r"part-(\d+)", name.rpartition("/")[2])[1])
-                keys, flags, lengths = parse_footer(content, width)
-                offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-                for at in range(0, len(keys), 4096):
-                    rows = range(at, min(at + 4096, len(keys)))
-                    payloads = [np.frombuffer(content, dtype, lengths[r], offsets[r] * width).astype("<u4").tobytes() for r in rows]
-                    cut = slice(at, at + len(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([shard] * len(rows), pa.int64()), pa.array(list(rows), pa.int64()), pa.array(keys[cut], pa.int64(), mask=flags[cut].astype(bool)),
-                            pa.array(offsets[cut]), pa.array(lengths[cut].astype(np.int64)), pa.array([zlib.crc32(p) for p in payloads], pa.int64()),
-                            pa.array(payloads if with_ids else [None] * len(rows), pa.binary()),
-                        ],
-                        names=["shard", "record", "id", "offset", "n", "crc", "ids"],
-                    )
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "shard long, record long, id long, offset long, n long, crc long, ids binary")
-
-
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """Add ``copy``: 0, 1, ... among rows of one id."""
-    return rows.withColumn("copy", (F.row_number().over(Window.partitionBy("id").orderBy(*order)) - 1).cast("long"))
+                stop = len(content) - 9
+                n = int(np.frombuffer(content, "<u8", 1, stop)[0])
+                lengths = np.frombuffer(content, "<u4", n, stop - 4 * n).astype(np.int64)
+                null = np.frombuffer(content, np.uint8, n, stop - 5 * n).astype(bool)
+                keys = np.frombuffer(content, "<i8", n, stop - 13 * n)
+                # equal keys follow each other
+                apart = np.append(True, (keys[1:] != keys[:-1]) | (null[1:] != null[:-1]))
+                first = np.maximum.accumulate(np.where(apart, np.arange(n), 0))
+                columns = [pa.array(np.full(n, shard)), pa.array(keys, mask=null), pa.array(np.arange(n) - first), pa.array(np.cumsum(lengths) - lengths), pa.array(lengths)]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "id", "rank", "offset", "n"])
+
+    rows = materialize(shard_files(spark, path, "keys", "content").mapInArrow(run, "shard long, id long, rank long, offset long, n long"), "keys")
+    # only the first key of a shard can have copies in shards before it: one row a shard
+    ends = rows.groupBy("shard").agg(F.min_by("id", "offset").alias("first"), F.max_by("id", "offset").alias("last"), (F.max_by("rank", "offset") + 1).alias("tail"), F.count(F.lit(1)).alias("rows"))
+    order = Window.orderBy("shard")
+    carries = (F.row_number().over(order) > 1) & F.col("first").eqNullSafe(F.lag("last").over(order))
+    # a shard of one key goes on counting what the shard before it ended with
+    chained = ends.withColumn("carries", carries).withColumn("begins", F.when(F.col("carries") & (F.col("tail") == F.col("rows")), 0).otherwise(1))
+    total = F.sum("tail").over(Window.partitionBy("chain").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
+    chained = chained.withColumn("chain", F.sum("begins").over(order)).withColumn("total", total)
+    before = chained.select("shard", "first", F.when(F.col("carries"), F.lag("total").over(order)).otherwise(0).alias("before"))
+    joined = rows.join(before, "shard")
+    copy = F.col("rank") + F.when(F.col("id").eqNullSafe(F.col("first")), F.col("before")).otherwise(0)
+    return joined.select("id", copy.cast("long").alias("copy"), "shard", "offset", "n")
 
 
 def hashed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -182,7 +192,7 @@ def find_slots(h: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
 def build_index(spark: SparkSession, stored: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[DataFrame, int]:
     """The index table, one row a bucket, and its number of buckets.
 
-    ``stored`` has (id, copy, shard, offset, n).
+    ``stored`` is a table of (id, copy, shard, offset, n).
     """
     import pandas as pd
 
@@ -192,7 +202,7 @@ def build_index(spark: SparkSession, stored: DataFrame, bucket_keys: int = BUCKE
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         levels, slots = build_levels(rows["h"].to_numpy().view(np.uint64))
         order = np.argsort(slots)
-        cells = {c: rows[c].to_numpy()[order].astype(k).tobytes() for c, k in (("fp", "<u4"), ("shard", "<i4"), ("offset", "<i8"), ("n", "<i8"))}
+        cells = {c: rows[c].to_numpy()[order].astype(k).tobytes() for c, k in (("fp", "<u4"), ("shard", "<i8"), ("offset", "<i8"), ("n", "<i8"))}
         packed = [np.packbits(b).tobytes() for b in levels]
         return pd.DataFrame([{"bucket": rows["bucket"].iloc[0], "sizes": [len(b) for b in levels], "levels": packed, **cells}])
 
@@ -221,7 +231,7 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
             if len(at):
                 slots[i], known[i] = rest + at[0], True
         out = asked.loc[known, ["id", "copy"]].copy()
-        for c, kind in (("shard", "<i4"), ("offset", "<i8"), ("n", "<i8")):
+        for c, kind in (("shard", "<i8"), ("offset", "<i8"), ("n", "<i8")):
             out[c] = np.frombuffer(t[c], kind)[slots[known]].astype(np.int64)
         out["id"] = out["id"].astype("Int64")
         return out
@@ -230,15 +240,95 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, "id long, copy long, shard long, offset long, n long")
 
 
+def byte_ranges(uri: str) -> Callable[[int, int], bytes]:
+    """A function that reads (offset, length) of a file, wherever Arrow can open it."""
+    from pyarrow import fs
+
+    if re.match("file:|/", uri):
+        store, name = fs.LocalFileSystem(), "/" + re.sub("^file:", "", uri).lstrip("/")
+    else:
+        store, name = fs.FileSystem.from_uri(uri)
+    file = store.open_input_file(name)
+    return lambda offset, length: file.read_at(length, offset)
+
+
+def _reachable(uri: str) -> bool:
+    import pyarrow as pa
+
+    try:
+        byte_ranges(uri)(0, 1)
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
+def read_ids(spark: SparkSession, found: DataFrame, path: str, end: int, width: int = 2, with_ids: bool = True, ranges: bool | None = None) -> DataFrame:
+    """(id, copy, shard, offset, n, crc, ids) of the documents that :func:`look_up` has found.
+
+    ``crc`` and ``ids`` are of the ids as little-endian unsigned 32-bit
+    integers; ``ids`` is null without ``with_ids``. ``ranges`` says whether byte
+    ranges of the files are read, or whole shards joined; found out if None.
+    """
+    import pyarrow as pa
+
+    prepare(spark)
+    dtype = {2: "<u2", 4: "<u4"}[width]
+    names = ["id", "copy", "shard", "offset", "n"]
+    schema = "id long, copy long, shard long, offset long, n long, crc long, ids binary"
+
+    def read(asked, reader: Callable[[int], Callable[[int, int], bytes]]) -> pa.Table:
+        payloads = []
+        for shard, offset, n in zip(*(asked.column(c).to_pylist() for c in names[2:]), strict=True):
+            ids = np.frombuffer(reader(shard)(offset * width, n * width), dtype)
+            if len(ids) != n or ids[-1] != end:
+                raise ValueError(f"shard {shard} holds no document of {n} ids at {offset}")
+            payloads.append(ids.astype("<u4").tobytes())
+        crc = pa.array([zlib.crc32(p) for p in payloads], pa.int64())
+        return pa.Table.from_arrays([*(asked.column(c) for c in names), crc, pa.array(payloads if with_ids else [None] * len(payloads), pa.binary())], names=[*names, "crc", "ids"])
+
+    files = shard_files(spark, path, "ids", "path")
+    if ranges is None:
+        one = files.select("path").head()
+        ranges = one is None or _reachable(one[0])
+    if ranges:
+
+        def scattered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            current: list = [None, None]
+
+            for b in sliced(batches, 4096):
+                uris = dict(zip(b.column(2).to_pylist(), b.column(5).to_pylist(), strict=True))
+
+                def reader(shard: int, uris=uris) -> Callable[[int, int], bytes]:
+                    if current[0] != shard:
+                        current[:] = shard, byte_ranges(uris[shard])
+                    return current[1]
+
+                yield from read(b, reader).to_batches()
+
+        placed = found.join(files, "shard").select(*names, "path").repartition("shard").sortWithinPartitions("shard", "offset")
+        return placed.mapInArrow(scattered, schema)
+
+    def gathered(asked: pa.Table, content: pa.Table) -> pa.Table:
+        data = {s: c.as_buffer() for s, c in zip(content.column("at").to_pylist(), content.column("content"), strict=True)}
+        return read(asked, lambda shard: lambda offset, length: data[shard][offset : offset + length])
+
+    whole = shard_files(spark, path, "ids", "content").select(F.col("shard").alias("at"), "content")
+    return found.select(*names).groupBy("shard").cogroup(whole.groupBy("at")).applyInArrow(gathered, schema)
+
+
 def stored_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, by keyed access to its shard."""
-    path = fresh_path(spark, "shards")
-    write_shards(spark, docs, path, vocabulary("byte_bpe_50k.json"), 2)
-    records = materialize(read_shards(spark, path).drop("ids"), "records")
-    index, buckets = build_index(spark, numbered(records.select("id", "shard", "record", "offset", "n"), "shard", "record"))
-    keys = numbered(pick(docs, id="doc_id").select(F.col("id").cast("long").alias("id")), F.lit(0))
-    found = look_up(keys, index, buckets)
-    sizes = records.groupBy("shard").agg(F.sum("n").alias("size"))
-    before = exclusive_prefix(sizes, "shard", {"before": "size"}).select("shard", "before")
-    payload = records.select("shard", "offset", "crc").join(before, "shard")
-    return found.join(payload, ["shard", "offset"]).select(F.col("id").alias("doc_id"), (F.col("before") + F.col("offset")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    path, end = fresh_path(spark, "shards"), 2
+    write_shards(spark, docs, path, vocabulary("byte_bpe_50k.json"), end)
+    if docs.isEmpty():
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    stored = materialize(stored_keys(spark, path), "stored")
+    index, buckets = build_index(spark, stored)
+    # a key for every row: as many copies as an id has rows
+    rows = integer_ids(pick(docs, id="doc_id"), "id").groupBy("id").count()
+    keys = rows.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("copy"))
+    found = read_ids(spark, look_up(keys, index, buckets), path, end, with_ids=False)
+    # one row a shard
+    before = F.coalesce(F.sum("size").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = stored.groupBy("shard").agg(F.sum("n").alias("size")).select("shard", before.alias("before"))
+    return found.join(starts, "shard").select(F.col("id").alias("doc_id"), (F.col("before") + F.col("offset")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))

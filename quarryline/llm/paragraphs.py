@@ -15,10 +15,13 @@ Every run of ``PASSAGE`` words of a text is a sliding paragraph too, whatever
 its line ends, so that passages inside longer lines are found. Its signature
 is one MinHash over its shingles of ``ANCHOR`` words, a band of one row, so
 equal runs collide for certain; neighbouring runs mostly share their minimum,
-which is stored once. Runs around a minimum that occurs twice are verified by
-128 bits of all their words. Every run that stands at an earlier place
-(smallest document id, then word) too is a repeat, and repeats of one keeper
-that touch are clustered to one span.
+which is stored once. The runs that share a minimum at one place are a block,
+and blocks whose minimum occurs twice are compared: those of the same words (by
+128 bits) repeat the first of them (smallest document id, then word), all runs
+at once; only where one minimum stands in blocks of different words, as at the
+ends of a repeated passage, the runs of one of each are compared one by one.
+Every run that stands at an earlier place too is a repeat, and repeats of one
+keeper that touch are clustered to one span.
 
 Both kinds come from one scan of the texts. Texts of the same words as one of
 a smaller id are left out of the searches: their lines and passages are known
@@ -123,16 +126,17 @@ def sliding_minima(values: np.ndarray, span: int) -> np.ndarray:
     return (np.minimum(after[:n], before[span - 1 : span - 1 + n]) & mask).astype(np.int64)
 
 
-def anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of the least run of ``ANCHOR`` words in every ``PASSAGE`` words of one text."""
+def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, hash) of the least run of ``ANCHOR`` words in every ``PASSAGE`` words of one text, and the first and last word where those begin."""
     n = len(words.hashes)
     if n < PASSAGE:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     runs = words.runs[0].fixed(ANCHOR)
-    least = sliding_minima(runs, PASSAGE - ANCHOR + 1)
-    least = least[words.owner[: n - PASSAGE + 1] == words.owner[PASSAGE - 1 :]]
-    least = least[np.concatenate([[True], least[1:] != least[:-1]])] if len(least) else least
-    return least, runs[least]
+    own = np.flatnonzero(words.owner[: n - PASSAGE + 1] == words.owner[PASSAGE - 1 :])
+    least = sliding_minima(runs, PASSAGE - ANCHOR + 1)[own]
+    heads = np.flatnonzero(np.append(True, least[1:] != least[:-1])) if len(least) else np.zeros(0, np.int64)
+    tails = np.append(heads[1:], len(least)) - 1 if len(heads) else heads
+    return least[heads], runs[least[heads]], own[heads], own[tails]
 
 
 def scan(docs: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -169,7 +173,7 @@ def scan(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 keys = band_keys(words.runs[0].fixed(SHINGLE), lines.first, lines.last - SHINGLE + 1, bands, rows).ravel()
                 ends = np.arange(len(lines.text) + 1) * bands
                 yield batch(lines.text, lines.first, lines.last, lines.place, lines.turn, lines.start, lines.stop, keys, ends, np.zeros(len(keys)), LINE)
-            at, found = anchors(words)
+            at, found, _, _ = anchors(words)
             text = np.flatnonzero(words.counts >= PASSAGE)
             if len(text):
                 first, last = words.firsts[text], words.firsts[text + 1]
@@ -276,28 +280,66 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     return runs.where(F.col("length") >= min_run).select("id", "place", "start", "stop", "length", F.col("root.id").alias("keeper_id"), F.col("root.place").alias("keeper_place"))
 
 
-def passage_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, at, place, start, stop, g, h): every run of ``PASSAGE`` words, by two hashes, around the anchors that ``wanted`` (id, ats) names."""
+def _asked(b, words: Words) -> np.ndarray:
+    """Words that the last column of a batch lists for its texts, counted over the slice."""
+    return np.concatenate([np.array(a, np.int64) + f for a, f in zip(b.column(2).to_pylist(), words.firsts, strict=False)])
+
+
+def _spans(b, words: Words, first: np.ndarray, last: np.ndarray) -> list:
+    """Id, first word, place and offsets of spans of words, and the hashes of their words."""
     import pyarrow as pa
 
+    text = words.owner[first]
+    numbers = [first - words.firsts[text], words.lines[first] - words.first_lines[text], words.offsets(text, words.starts[first]), words.offsets(text, words.stops[last - 1])]
+    return [b.column(0).take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in numbers), *(pa.array(r.ranges(first, last).view(np.int64)) for r in words.runs)]
+
+
+def blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, at, place, start, stop, g, h, last, key): the blocks of runs around the anchors that ``wanted`` (id, ats) names.
+
+    Runs begin at the words ``at`` to ``last``; ``g`` and ``h`` are hashes of all the block's words.
+    """
+    import pyarrow as pa
+
+    names = ["id", "at", "place", "start", "stop", "g", "h", "last", "key"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, SLICE):
             words = Words(b.column(1).to_pylist())
-            asked = [np.array(a, np.int64) + f for a, f in zip(b.column(2).to_pylist(), words.firsts, strict=False)]
-            text = np.repeat(np.arange(len(asked)), [len(a) for a in asked])
-            near = np.concatenate(asked)[:, None] - np.arange(PASSAGE - ANCHOR + 1)
-            inside = (near >= words.firsts[text][:, None]) & (near + PASSAGE <= words.firsts[text + 1][:, None])
-            near = np.unique(near[inside])
-            if not len(near):
-                continue
-            text = words.owner[near]
-            columns = [near - words.firsts[text], words.lines[near] - words.first_lines[text], words.offsets(text, words.starts[near]), words.offsets(text, words.stops[near + PASSAGE - 1])]
-            keys = [pa.array(r.ranges(near, near + PASSAGE).view(np.int64)) for r in words.runs]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text)), *(pa.array(c.astype(np.int32)) for c in columns), *keys], names=["id", "at", "place", "start", "stop", "g", "h"])
+            at, key, first, last = anchors(words)
+            here = np.isin(at, _asked(b, words))
+            if here.any():
+                key, first, last = key[here], first[here], last[here]
+                ends = (last - words.firsts[words.owner[first]]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*_spans(b, words, first, last + PASSAGE), pa.array(ends), pa.array(key.view(np.int64))], names=names)
+
+    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long, last int, key long")
+
+
+def single_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, at, place, start, stop, g, h) of the runs of ``PASSAGE`` words that begin at the words that ``wanted`` (id, ats) names."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, SLICE):
+            words = Words(b.column(1).to_pylist())
+            first = np.unique(_asked(b, words))
+            yield pa.RecordBatch.from_arrays(_spans(b, words, first, first + PASSAGE), names=["id", "at", "place", "start", "stop", "g", "h"])
+
+    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, text, ats) of the texts that ``wanted`` names; few others are shuffled."""
+    wanted = materialize(wanted, "wanted-words")
+    return IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("id", "text", "ats")
+
 
-    wanted = materialize(wanted, "wanted-anchors")
-    source = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("id", "text", "ats")
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long")
+def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose ``keys`` occur twice or more, with ``first`` (id, at, place)."""
+    words = F.struct(*keys)
+    firsts = rows.groupBy(words.alias("words")).agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return spread_join(rows.withColumn("words", words), firsts, "words").drop("words")
 
 
 def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", found: Found | None = None) -> DataFrame:
@@ -310,16 +352,21 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
     listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
     wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
-    rows = materialize(passage_rows(found.docs, wanted).distinct(), "passages")
-    firsts = rows.groupBy("g", "h").agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = firsts.select(F.struct("g", "h").alias("words"), "first")
-    known = spread_join(rows.withColumn("words", F.struct("g", "h")).drop("g", "h"), firsts, "words")
-    repeats = known.where((F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE))
-    mine = Window.partitionBy("id", "first.id").orderBy("at")
-    gap = F.coalesce((F.col("at") - F.lag("at").over(mine) > PASSAGE).cast("int"), F.lit(0))
-    joined = repeats.withColumn("gap", gap).withColumn("island", F.sum("gap").over(mine))
+    whole = materialize(blocks(found.docs, wanted).distinct(), "blocks")
+    repeat = (F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)
+    known = materialize(_first_places(whole, ["key", "g", "h"]), "known")
+    # one block of each kind where a minimum stands in several kinds of blocks, and what overlaps it in its own text
+    several = materialize(whole.groupBy("key").agg(F.min(F.struct("g", "h")).alias("one"), F.max(F.struct("g", "h")).alias("other")).where("one <> other").select("key"), "several")
+    mixed = only(whole, several, "key").join(known.where(repeat).select("id", "at", "key").distinct(), ["id", "at", "key"], "left_anti")
+    wanted = mixed.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "last")))).alias("ats"))
+    runs = materialize(single_runs(found.docs, wanted).distinct(), "runs").withColumn("last", F.col("at"))
+    columns = ["id", "at", "last", "place", "start", "stop", "first"]
+    repeats = known.where(repeat).select(columns).unionByName(_first_places(runs, ["g", "h"]).where(repeat).select(columns))
+    mine = Window.partitionBy("id", "first.id").orderBy("at", "last")
+    reached = F.max("last").over(mine.rowsBetween(Window.unboundedPreceding, -1))
+    joined = repeats.withColumn("gap", F.coalesce((F.col("at") - reached > PASSAGE).cast("int"), F.lit(0))).withColumn("island", F.sum("gap").over(mine.rowsBetween(Window.unboundedPreceding, 0)))
     spans = joined.groupBy("id", F.col("first.id").alias("keeper_id"), "island").agg(
-        F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("at") - F.min("at") + PASSAGE).alias("length"), F.min_by("first.place", "at").alias("keeper_place")
+        F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("last") - F.min("at") + PASSAGE).cast("int").alias("length"), F.min_by("first.place", "at").alias("keeper_place")
     )
     return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place").unionByName(found.copies)
 

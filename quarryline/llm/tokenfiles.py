@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import exclusive_prefix, fresh_path, pick, prepare, sliced
+from .common import exclusive_prefix, fresh_path, integer_ids, pick, prepare, sliced
 from .tokens import ENTRIES, encoder, vocabulary
 
 #: Ids of a file.
@@ -97,7 +97,7 @@ def write_flat(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
                     yield from files(False)
         yield from files(True)
 
-    rows = pick(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
+    rows = integer_ids(pick(docs, id=id, text=text), "id")
     found = rows.mapInArrow(run, "shard long, value binary")
     found.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").text(path)
 

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quarryline.llm import keyed, packing, tokenfiles
+from quarryline.llm import common, keyed, packing, tokenfiles
 from quarryline.llm.tokens import Encoder, vocabulary
 
 from .conftest import frame, prose
@@ -112,18 +112,51 @@ def test_binary_repeats_nulls_and_empty(spark, edge_rows):
     assert keyed.stored_texts(spark, frame(spark, [])).count() == 0
 
 
-def test_keyed_access_to_payloads(spark, tmp_path):
+@pytest.mark.parametrize("ranges", [True, False])
+@pytest.mark.parametrize("end", [2, 50000])
+def test_keyed_access_to_payloads(spark, tmp_path, ranges, end):
+    """Ids come from the byte ranges that slots name; end ids may have any bytes; unknown keys are refused."""
     path = str(tmp_path / "shards")
-    rows = [(i, prose(i, 20)) for i in range(50)]
-    keyed.write_shards(spark, frame(spark, rows), path, vocabulary("byte_bpe_50k.json"), 2, shard_bytes=1000)
-    stored = keyed.read_shards(spark, path, with_ids=True)
-    assert stored.select("shard").distinct().count() > 1
-    index, buckets = keyed.build_index(spark, keyed.numbered(stored.select("id", "shard", "record", "offset", "n"), "shard", "record"), bucket_keys=16)
-    asked = spark.createDataFrame([(3, 0), (49, 0), (50, 0), (3, 1), (None, 0)], "id long, copy long")
-    found = keyed.look_up(asked, index, buckets).join(stored.select("shard", "offset", "ids"), ["shard", "offset"]).collect()
-    assert sorted(r.id for r in found) == [3, 49]
-    for r in found:
-        assert r.ids == reference("byte_bpe_50k.json", rows[r.id][1], 2).tobytes()
+    rows = [(i, prose(i, 20)) for i in range(50)] + [(7, prose(7, 20)), (None, "x")]
+    keyed.write_shards(spark, frame(spark, rows), path, vocabulary("byte_bpe_50k.json"), end, shard_bytes=1000, most_bytes=400)
+    stored = common.materialize(keyed.stored_keys(spark, path), "stored")
+    assert stored.select("shard").distinct().count() > 10
+    index, buckets = keyed.build_index(spark, stored, bucket_keys=16)
+    asked = spark.createDataFrame([(3, 0), (49, 0), (50, 0), (3, 1), (7, 0), (7, 1), (7, 2), (None, 0), (None, 1)], "id long, copy long")
+    found = keyed.look_up(asked, index, buckets)
+    read = keyed.read_ids(spark, found, path, end, ranges=ranges).collect()
+    assert sorted(((r.id or 0), r.copy) for r in read) == [(0, 0), (3, 0), (7, 0), (7, 1), (49, 0)]
+    for r in read:
+        text = "x" if r.id is None else prose(r.id, 20)
+        assert r.ids == reference("byte_bpe_50k.json", text, end).tobytes() and r.crc == zlib.crc32(r.ids)
+    with pytest.raises(Exception, match="holds no document"):
+        keyed.read_ids(spark, found.withColumn("offset", found["offset"] + 1), path, end, ranges=ranges).collect()
+
+
+def test_corrupted_fingerprints_are_refused(spark):
+    stored = spark.createDataFrame([(i, 0, 1, 10 * i, 10) for i in range(100)], "id long, copy long, shard long, offset long, n long")
+    index, buckets = keyed.build_index(spark, stored, bucket_keys=30)
+    asked = stored.select("id", "copy")
+    assert keyed.look_up(asked, index, buckets).count() == 100
+    flipped = index.toPandas()
+    flipped["fp"] = [bytes(b ^ 255 for b in fp) for fp in flipped["fp"]]
+    assert keyed.look_up(asked, spark.createDataFrame(flipped, index.schema), buckets).count() == 0
+
+
+@pytest.mark.parametrize("cut", [1, 3, 1000])
+def test_copies_across_shards(spark, tmp_path, cut):
+    ids = [None] * 5 + [1] * 7 + [2] + [3] * 4 + [4, 5, 5]
+    rows = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string").repartition(3)
+    keyed.write_shards(spark, rows, str(tmp_path / "s"), vocabulary("byte_bpe_50k.json"), 2, shard_bytes=10**9, most_bytes=cut * 6)
+    found = keyed.stored_keys(spark, str(tmp_path / "s")).collect()
+    assert sorted(((r.id or 0), r.copy) for r in found) == sorted((i or 0, ids[:k].count(i)) for k, i in enumerate(ids))
+
+
+def test_ids_that_are_no_integers_are_refused(spark):
+    rows = spark.createDataFrame([("a", "b")], "doc_id string, text string")
+    for run in (keyed.stored_texts, tokenfiles.token_counts):
+        with pytest.raises(TypeError, match="integers"):
+            run(spark, rows)
 
 
 @settings(max_examples=40, deadline=None)
