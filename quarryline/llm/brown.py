@@ -1,13 +1,17 @@
 """Language-model scores by Brown class-based bigrams.
 
-Words are put into classes by exchange clustering: in turn, each item is moved
-to the class in which the class-bigram likelihood of the training text is
-highest, until a sweep moves nothing or 12 sweeps are done, so the classes need
-not be a local optimum. Items are the most frequent words, each
-by itself, the end of a text, and a fixed number of word forms (by a word's
-last bytes) that share out all other words; so every word has a class, and the
-class map has a bounded size at any size of the corpus. Counts of words,
-classes and transitions cover the whole training text.
+Words are put into classes by exchange clustering of the class-bigram
+likelihood, in two steps. First, items are moved in turn to the class where the
+likelihood of the training text is highest, until a sweep moves nothing or 12
+sweeps are done: items are the most frequent words, each by itself, the end of
+a text, and a fixed number of word forms (by a word's last bytes) that stand
+for all other words, so this step has a fixed size. Then every other word that
+occurs ``FLOOR`` times or more is exchanged by itself, all words in parallel
+against the classes of the first step: its neighbours' classes are counted over
+the whole corpus, and it goes to the class under which its occurrences are
+likeliest. The number of words that have a class of their own choice so grows
+with the corpus; rarer words stay with their form. Counts of words, classes and
+transitions cover the whole training text, under the final classes.
 
     P(w | v) = weight * p(class(w) | class(v)) * p(w | class(w)) + (1 - weight) * (c(w) + 1) / (N + V + 1)
 
@@ -16,37 +20,43 @@ discounting, whose mass goes to the unknown word of the class; the base
 model's unknown mass is shared out evenly over the classes' unknown words.
 
 Texts are cut once into chunks that hold their texts as places in a local word
-list. Word counts are sums over the lists; the counts come back to the chunks
-by a join of the lists with the counts, so no vocabulary is ever broadcast.
+list. Word counts are sums over the lists; counts and classes come back to the
+chunks by a join of the lists, so no vocabulary is ever broadcast. The most
+frequent words, which stand in every list, travel with the model instead.
 
 Edge cases: null and empty texts are one end token; null ids are training rows;
 rows that occur twice are counted and scored twice; without training rows the
 base model gives probability one and so does the class model; an empty table
-gives an empty result; other columns are ignored whatever their names.
+gives an empty result; other columns are ignored whatever their names; ids may
+be of any type.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, prepare
+from .common import IdFilter, arrow_kind, discard, freed, materialize, pick, prepare, release
 
 FREQUENT = 1024
 FORMS = 256  # a form's number is one byte
-CLASSES = 64
+CLASSES = 64  # a class's number is one byte
+FLOOR = 4
 CHUNK_BYTES = 12 << 20
 WEIGHT = 0.97
 
 
 @dataclass
 class ClassModel:
-    """Item map and probabilities; small and of fixed size, so it travels with the tasks."""
+    """Item map and probabilities; small and of fixed size, so it travels with the tasks.
+
+    ``counts`` are the frequent words', in the items' order.
+    """
 
     items: dict[bytes, int]
     classes: np.ndarray
@@ -57,25 +67,12 @@ class ClassModel:
     train_tokens: int
     vocabulary: int
     end_count: int
+    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     @property
     def end(self) -> int:
         return len(self.items)
 
-    def item(self, word: bytes) -> int:
-        found = self.items.get(word)
-        return found if found is not None else form(word, len(self.items))
-
-
-def form(word: bytes, frequent: int, forms: int = FORMS) -> int:
-    """The item of a word that is not among the frequent ones: by its last four bytes."""
-    return frequent + 1 + zlib.crc32(word[-4:]) % forms
-
-
-def item_places(words: list[bytes], items: dict[bytes, int]) -> np.ndarray:
-    get, n = items.get, len(items)
-    return np.array([form(w, n) if (i := get(w)) is None else i for w in words], np.int64)
-
 
 def listed_places(words, forms: np.ndarray, items) -> np.ndarray:
     """Items of a chunk's words (an Arrow array) from their forms' numbers and the frequent words."""
@@ -85,15 +82,31 @@ def listed_places(words, forms: np.ndarray, items) -> np.ndarray:
     return np.where(found >= 0, found, len(items) + 1 + forms.astype(np.int64))
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Word numbers as compressed bytes, after their number."""
+    import pyarrow as pa
+
+    return len(codes).to_bytes(8, "little") + pa.compress(codes.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    import pyarrow as pa
+
+    size = 4 * int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), "<i4").astype(np.int64)
+
+
 def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row per chunk: ids, held flags, word numbers per text, and the local words with training counts and forms."""
+    """One row per chunk: ids, held flags, word numbers per text (packed), and the local words with training counts and forms."""
     import pyarrow as pa
 
+    kind = arrow_kind(docs, id)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release()
         number = TaskContext.get().partitionId() << 24
-        kind = None
         ids, flags, sizes, codes, local, held_bytes = [], [], [], [], {}, 0
 
         def chunk() -> pa.RecordBatch:
@@ -103,14 +116,13 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([flat.astype("<i4").tobytes()], pa.binary()), pa.array([list(local)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
+                    pa.array([packed(flat)], pa.binary()), pa.array([list(local)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
                     pa.array([bytes([zlib.crc32(w[-4:]) % FORMS for w in local])], pa.binary()),
                 ],
                 names=["chunk", "ids", "held", "sizes", "codes", "words", "counts", "forms"],
             )
 
         for b in batches:
-            kind = b.schema.field(0).type
             for i, t, h in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                 data = t.encode() if t else b""
                 words = data.lower().split()
@@ -128,9 +140,9 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
             yield chunk()
 
     rows = pick(docs, id=id, text=text)
-    kind = rows.schema["id"].dataType.simpleString()
+    name = rows.schema["id"].dataType.simpleString()
     out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(folds)) == held, F.lit(False))
-    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, words array<binary>, counts array<long>, forms binary")
+    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{name}>, held array<boolean>, sizes array<int>, codes binary, words array<binary>, counts array<long>, forms binary")
 
 
 def padded(codes: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +169,7 @@ def pair_counts(chunks: DataFrame, items: dict[bytes, int]) -> np.ndarray:
             for held, sizes, codes, words, forms in zip(*(b.column(c) for c in range(5)), strict=True):
                 sizes, train = np.array(sizes.as_py(), np.int64), ~np.array(held.as_py(), bool)
                 places = listed_places(words.values, np.frombuffer(forms.as_py(), np.uint8), frequent)
-                flat = places[np.frombuffer(codes.as_py(), "<i4")] if len(places) else np.zeros(0, np.int64)
+                flat = places[unpacked(codes.as_py())] if len(places) else np.zeros(0, np.int64)
                 seq, firsts = padded(flat, sizes, end)
                 before = np.concatenate([[end], seq[:-1]])
                 before[firsts] = end
@@ -232,10 +244,93 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = 12) -> np.
     return own
 
 
-def train(chunks: DataFrame, counts: DataFrame) -> ClassModel:
-    """The model of the chunks' training texts; ``counts`` has every training word's count."""
+def contexts(chunks: DataFrame, model: ClassModel) -> DataFrame:
+    """(word, at, n): of every local word that is not frequent, how often which classes stand before it (``at``) and after it (``CLASSES + at``) in training texts."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        frequent = pa.array(list(model.items), pa.binary())
+        for b in batches:
+            for held, sizes, codes, words, forms in zip(*(b.column(c) for c in range(5)), strict=True):
+                sizes, train = np.array(sizes.as_py(), np.int64), ~np.array(held.as_py(), bool)
+                places = listed_places(words.values, np.frombuffer(forms.as_py(), np.uint8), frequent)
+                local = len(places)
+                own = np.append(model.classes[places], model.classes[model.end])
+                seq, firsts = padded(unpacked(codes.as_py()), sizes, local)
+                kinds = own[seq]
+                before = np.concatenate([[0], kinds[:-1]])
+                before[firsts] = own[-1]
+                rare = np.append(places > model.end, False)
+                use = np.flatnonzero(rare[seq] & np.repeat(train, sizes + 1))
+                found, n = np.unique(np.concatenate([seq[use] * 2 * CLASSES + before[use], seq[use] * 2 * CLASSES + CLASSES + kinds[use + 1]]), return_counts=True)
+                word, at = np.divmod(found, 2 * CLASSES)
+                cuts = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+                named = words.values.take(pa.array(word[cuts]))
+                ends = np.append(cuts, len(word))
+                for part in range(0, len(cuts), 8192):
+                    stop = min(part + 8192, len(cuts))
+                    a, z = ends[part], ends[stop]
+                    offsets = (ends[part : stop + 1] - a).astype(np.int32)
+                    lists = [
+                        pa.Array.from_buffers(pa.binary(), stop - part, [None, pa.py_buffer((offsets * width).astype(np.int32).tobytes()), pa.py_buffer(data[a:z].astype(kind).tobytes())])
+                        for data, kind, width in ((at, np.uint8, 1), (n, "<u4", 4))
+                    ]
+                    yield pa.RecordBatch.from_arrays([named.slice(part, stop - part), *lists], names=["word", "at", "n"])
+
+    return chunks.select("held", "sizes", "codes", "words", "forms").mapInArrow(run, "word binary, at binary, n binary")
+
+
+def chosen(rows: DataFrame, model: ClassModel, share: np.ndarray) -> DataFrame:
+    """(word, class): the class under which each word's occurrences are likeliest, from the rows of :func:`contexts`.
+
+    For class k that is the sum of log p(next class | k) and log p(k | class
+    before) over the occurrences, less count * log(tokens of k); ``share`` are
+    the classes' tokens. Rows of a word are sums, added as they come.
+    """
     import pyarrow as pa
 
+    logs = np.log(np.maximum(model.transition, 1e-12))
+    size = np.log(np.maximum(share, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def best(words: list, sums: np.ndarray) -> pa.RecordBatch:
+            score = sums[:, CLASSES:] @ logs.T + sums[:, :CLASSES] @ logs - sums[:, :CLASSES].sum(axis=1)[:, None] * size
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(score.argmax(axis=1).astype(np.int32))], names=["word", "class"])
+
+        word, total = None, np.zeros((1, 2 * CLASSES))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                b = whole.slice(start, 4096)
+                words = b.column(0).to_pylist()
+                cuts = [i for i in range(len(words)) if not i or words[i] != words[i - 1]]
+                group = np.repeat(np.arange(len(cuts)), np.diff([*cuts, len(words)]))
+                sizes = [len(x) for x in b.column(1).to_pylist()]
+                at = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).astype(np.int64)
+                n = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u4")
+                sums = np.bincount(np.repeat(group, sizes) * 2 * CLASSES + at, n, 2 * CLASSES * len(cuts)).reshape(-1, 2 * CLASSES)
+                names = [words[i] for i in cuts]
+                if names[0] == word:
+                    sums[0] += total[0]
+                elif word is not None:
+                    names, sums = [word, *names], np.vstack([total, sums])
+                if len(names) > 1:
+                    yield best(names[:-1], sums[:-1])
+                word, total = names[-1], sums[-1:].copy()
+        if word is not None:
+            yield best([word], total)
+
+    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, class int")
+
+
+def smoothed(matrix: np.ndarray) -> np.ndarray:
+    """Transition probabilities of class counts, smoothed towards the classes' shares."""
+    share = matrix.sum(axis=0) / max(matrix.sum(), 1)
+    return (matrix + 10 * share) / (matrix.sum(axis=1, keepdims=True) + 10)
+
+
+def train(chunks: DataFrame, counts: DataFrame, floor: int = FLOOR) -> tuple[ClassModel, DataFrame]:
+    """The model of the first step, and (word, c, class) of all training words after the second; ``counts`` has their counts."""
     sums = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))).first()
     texts = chunks.select(F.explode("held").alias("held")).where("not held").count()
     types, words, once, twice = (int(x) for x in sums)
@@ -246,21 +341,20 @@ def train(chunks: DataFrame, counts: DataFrame) -> ClassModel:
     member = np.zeros((len(pairs), CLASSES))
     member[np.arange(len(pairs)), classes] = 1
     matrix = member.T @ pairs @ member
-    share = matrix.sum(axis=0) / max(matrix.sum(), 1)
-    transition = (matrix + 10 * share) / (matrix.sum(axis=1, keepdims=True) + 10)
-
-    def typed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES, np.int64)
-        for b in batches:
-            places = item_places(b.column(0).to_pylist(), items)
-            total += np.bincount(classes[places], minlength=CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(total)], names=["class", "n"])
-
-    per = {r["class"]: r.n for r in counts.select("word").mapInArrow(typed, "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()}
-    kinds = np.array([per.get(c, 0) for c in range(CLASSES)], np.float64)
-    kinds[classes[len(items)]] += texts > 0
     discount = once / (once + 2 * twice) if once else 0.5
-    return ClassModel(items, classes, transition, matrix.sum(axis=0), kinds, discount, words + texts, types + (texts > 0), texts)
+    none = np.zeros(CLASSES)
+    model = ClassModel(items, classes, smoothed(matrix), none, none, discount, words + texts, types + (texts > 0), texts, np.array([r.c for r in top], np.int64))
+    frequent = counts.sparkSession.createDataFrame([(bytearray(w), i) for w, i in items.items()], "word binary, item int")
+    # the frequent words are a fixed number of rows
+    listed = counts.join(F.broadcast(frequent), "word", "left")
+    enough = listed.where((F.col("c") >= floor) & F.col("item").isNull()).select("word")
+    own = chosen(IdFilter(enough, "word").maybe(contexts(chunks, model), "word"), model, matrix.sum(axis=0))
+    own = materialize(own.join(enough, "word", "left_semi"), "classes")
+    found = F.array(*[F.lit(int(c)) for c in classes])
+    form = F.pmod(F.crc32(F.substring("word", -4, 4)), F.lit(FORMS)).cast("int")
+    place = F.coalesce(F.col("item"), form + len(items) + 1)
+    named = listed.join(own, "word", "left").withColumn("class", F.coalesce("class", F.get(found, place)))
+    return model, materialize(named.select("word", "c", "class"), "words")
 
 
 def probabilities(model: ClassModel, before: np.ndarray, own: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -276,7 +370,72 @@ def probabilities(model: ClassModel, before: np.ndarray, own: np.ndarray, count:
     return WEIGHT * model.transition[before, own] * emission + (1 - WEIGHT) * base
 
 
-def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
+def coded(chunks: DataFrame, local: DataFrame, words: DataFrame, model: ClassModel) -> DataFrame:
+    """The chunks with the training count and the class of each of their words, packed."""
+    import pyarrow as pa
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["ids", "held", "sizes", "codes", "known", "kinds"]
+        forms = np.frombuffer(left.column("forms")[0].as_py(), np.uint8).astype(np.int64)
+        known, places = np.zeros(len(forms) + 1, np.int64), np.append(model.end + 1 + forms, model.end)
+        kinds = model.classes[places]
+        at = right["place"].to_numpy()
+        known[at], kinds[at] = right["c"].to_numpy(), right["class"].to_numpy()
+        known[-1] = model.end_count
+        return pa.Table.from_arrays([*(left.column(c).combine_chunks() for c in names[:4]), pa.array([known.astype("<i8").tobytes()], pa.binary()), pa.array([kinds.astype(np.uint8).tobytes()], pa.binary())], names=names)
+
+    # a frequent word has a row in every chunk: its count and class are broadcast, a fixed number of rows
+    frequent = words.join(F.broadcast(words.sparkSession.createDataFrame([(bytearray(w),) for w in model.items], "word binary")), "word")
+    common = local.join(F.broadcast(frequent), "word")
+    rest = local.join(F.broadcast(frequent.select("word")), "word", "left_anti").join(words, "word")
+    found = common.select(F.col("chunk").alias("at"), "place", "c", "class").unionByName(rest.select(F.col("chunk").alias("at"), "place", "c", "class"))
+    kind = chunks.schema["ids"].dataType.simpleString()
+    whole = chunks.select("chunk", "ids", "held", "sizes", "codes", "forms").groupBy("chunk").cogroup(found.groupBy("at"))
+    return whole.applyInArrow(run, f"ids {kind}, held array<boolean>, sizes array<int>, codes binary, known binary, kinds binary")
+
+
+def sequences(batch) -> Iterator[tuple]:
+    """(ids, held, sizes, first tokens, counts, classes, classes before) of each chunk's tokens, ends included."""
+    for ids, held, sizes, codes, known, kinds in zip(*(batch.column(c) for c in range(6)), strict=True):
+        sizes = np.array(sizes.as_py(), np.int64)
+        known, kinds = np.frombuffer(known.as_py(), "<i8"), np.frombuffer(kinds.as_py(), np.uint8).astype(np.int64)
+        seq, firsts = padded(unpacked(codes.as_py()), sizes, len(known) - 1)
+        own = kinds[seq]
+        before = np.concatenate([[0], own[:-1]])
+        before[firsts] = kinds[-1]
+        yield ids, np.array(held.as_py(), bool), sizes, firsts, known[seq], own, before
+
+
+def class_counts(rows: DataFrame) -> np.ndarray:
+    """Training counts of adjacent classes; a fixed number of rows a task."""
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for b in batches:
+            for _, held, sizes, _, _, own, before in sequences(b):
+                use = np.repeat(~held, sizes + 1)
+                total += np.bincount(before[use] * CLASSES + own[use], minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["pair", "n"])
+
+    found = rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CLASSES * CLASSES)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(CLASSES, CLASSES)
+
+
+def fitted(model: ClassModel, words: DataFrame, rows: DataFrame) -> ClassModel:
+    """The model with transitions, tokens and types of the final classes."""
+    matrix = class_counts(rows)
+    types = np.zeros(CLASSES)
+    for r in words.groupBy("class").count().collect():  # one row a class
+        types[r["class"]] = r["count"]
+    types[model.classes[model.end]] += model.end_count > 0
+    model.transition, model.tokens, model.types = smoothed(matrix), matrix.sum(axis=0), types
+    return model
+
+
+def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2, floor: int = FLOOR) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every text."""
     import pyarrow as pa
 
@@ -284,44 +443,26 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     chunks = materialize(chunked(docs, id, text, folds, held), "chunks")
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     local = listed.select("chunk", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counts = materialize(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    model = train(chunks, counts)
+    counts = freed(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    model, words = train(chunks, counts, floor)
+    rows = freed(coded(chunks, local.drop("n"), words, model), "coded")
+    discard(chunks, counts)
+    model = fitted(model, words, rows)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        kinds = [kind, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        out = []
-        row = left.to_pylist()[0] if left.num_rows else None
-        if row is None:
-            return pa.Table.from_arrays([pa.array([], k) for k in kinds], names=names)
-        forms = np.frombuffer(row["forms"], np.uint8).astype(np.int64)
-        known = np.zeros(len(forms) + 1, np.int64)
-        places = np.append(model.end + 1 + forms, model.end)
-        at, item = right["place"].to_numpy(), right["item"].to_numpy()
-        known[at] = right["c"].to_numpy()
-        known[-1] = model.end_count
-        places[at[item >= 0]] = item[item >= 0]
-        own = model.classes[places]
-        sizes = np.array(row["sizes"], np.int64)
-        seq, firsts = padded(np.frombuffer(row["codes"], "<i4").astype(np.int64), sizes, len(forms))
-        count, kind_of = known[seq], own[seq]
-        before = np.concatenate([[0], kind_of[:-1]])
-        before[firsts] = own[-1]
-        base = np.log10((count + 1) / (model.train_tokens + model.vocabulary + 1))
-        score = np.log10(probabilities(model, before, kind_of, count))
-        out = [
-            pa.array(row["ids"], kind), pa.array(row["held"]), pa.array(sizes + 1), pa.array(np.add.reduceat((count > 0).astype(np.int64), firsts)),
-            pa.array(np.full(len(sizes), model.train_tokens, np.int64)), pa.array(np.add.reduceat(base, firsts)), pa.array(np.add.reduceat(score, firsts)),
-        ]
-        return pa.Table.from_arrays(out, names=names)
-
-    id_kind = docs.schema[id].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32()}.get(id_kind, pa.string())
-    # the frequent words' items: a fixed number of rows
-    items = spark.createDataFrame([(bytearray(w), i) for w, i in model.items.items()], "word binary, item int")
-    counted = counts.join(F.broadcast(items), "word", "left").withColumn("item", F.coalesce("item", F.lit(-1)))
-    found = local.join(counted, "word").select(F.col("chunk").alias("at"), "place", "c", "item")
-    scored = chunks.select("chunk", "ids", "held", "sizes", "codes", "forms").groupBy("chunk").cogroup(found.groupBy("at")).applyInArrow(run, f"id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for b in batches:
+            for ids, flags, sizes, firsts, count, own, before in sequences(b):
+                base = np.log10((count + 1) / (model.train_tokens + model.vocabulary + 1))
+                score = np.log10(probabilities(model, before, own, count))
+                columns = [
+                    ids.values, pa.array(flags), pa.array(sizes + 1), pa.array(np.add.reduceat((count > 0).astype(np.int64), firsts)),
+                    pa.array(np.full(len(sizes), model.train_tokens, np.int64)), pa.array(np.add.reduceat(base, firsts)), pa.array(np.add.reduceat(score, firsts)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    kind = docs.schema[id].dataType.simpleString()
+    scored = rows.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 

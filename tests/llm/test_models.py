@@ -43,6 +43,70 @@ def test_base_scores_and_gain(spark, edge_rows):
     assert sum(r.score for r in held) > 0.9 * sum(r.base_score for r in held)
 
 
+def test_scores_equal_brute_force(spark, edge_rows, monkeypatch):
+    """Scores recomputed word by word from the words' classes and all training texts."""
+    monkeypatch.setattr(brown, "FREQUENT", 100)
+    rows = [(i, t) for i, t in edge_rows if i not in (None, 7)] + [(1000 + i, language(i, 80)) for i in range(150)]
+    docs = frame(spark, rows)
+    common.prepare(spark)
+    chunks = common.materialize(brown.chunked(docs, "doc_id", "text", 7, 2, chunk_bytes=3000), "chunks")
+    listed = chunks.selectExpr("explode(arrays_zip(words, counts)) AS w").selectExpr("w.words AS word", "w.counts AS n").where("n > 0")
+    counts = common.materialize(listed.groupBy("word").agg({"n": "sum"}).withColumnRenamed("sum(n)", "c"), "counts")
+    model, words = brown.train(chunks, counts, 2)
+    own = {bytes(r.word): r["class"] for r in words.collect()}
+    end = model.classes[model.end]
+
+    def kind(w):
+        return own[w] if w in own else model.classes[model.end + 1 + zlib.crc32(w[-4:]) % brown.FORMS]
+
+    train = [(t or "").encode().lower().split() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    assert set(own) == set(count) and sum(c >= 2 for c in count.values()) > 500
+    matrix, tokens, types = Counter(), Counter(), Counter(kind(w) for w in count)
+    types[end] += 1
+    for t in train:
+        kinds = [kind(w) for w in t] + [end]
+        tokens.update(kinds)
+        matrix.update(zip([end, *kinds], kinds))
+    after, into, total = Counter(), Counter(), sum(matrix.values())
+    for (a, b), n in matrix.items():
+        after[a] += n
+        into[b] += n
+    once, twice = sum(c == 1 for c in count.values()), sum(c == 2 for c in count.values())
+    cut, n, v = once / (once + 2 * twice), sum(count.values()) + len(train), len(count) + 1
+    found = {r.doc_id: r.score for r in brown.language_scores(spark, docs, floor=2).withColumnRenamed("id", "doc_id").collect()}
+    for i, t in rows:
+        before, score = end, 0
+        for w in [*(t or "").encode().lower().split(), None]:
+            k, c = (end, len(train)) if w is None else (kind(w), count[w])
+            base = (c + 1) / (n + v + 1) / (1 if c else brown.CLASSES)
+            emission = (c - cut) / tokens[k] if c else cut * types[k] / tokens[k] if tokens[k] else 1
+            score += math.log10(brown.WEIGHT * (matrix[before, k] + 10 * into[k] / total) / (after[before] + 10) * emission + (1 - brown.WEIGHT) * base)
+            before = k
+        assert abs(found[i] - score) < 1e-6 * abs(score)
+
+
+def test_words_choose_the_likeliest_class(spark):
+    """The second step on its own: each word's class has the best score over its neighbours' classes."""
+    rng = np.random.default_rng(2)
+    k = brown.CLASSES
+    model = brown.ClassModel({}, np.zeros(1, int), brown.smoothed(rng.integers(0, 50, (k, k)).astype(float)), None, None, 0.5, 1, 1, 1)
+    share = rng.integers(1, 900, k).astype(float)
+    rows, sums = [], {}
+    for w in range(300):
+        word = f"w{w}".encode()
+        for _ in range(rng.integers(1, 5)):  # one row a chunk
+            at, n = rng.choice(2 * k, 6, replace=False), rng.integers(1, 400, 6)
+            rows.append((word, at.astype(np.uint8).tobytes(), n.astype("<u4").tobytes()))
+            np.add.at(sums.setdefault(word, np.zeros(2 * k)), at, n)
+    found = brown.chosen(spark.createDataFrame(rows, "word binary, at binary, n binary"), model, share).collect()
+    assert len(found) == 300
+    for r in found:
+        s = sums[bytes(r.word)]
+        scores = [sum(s[k + j] * math.log(model.transition[c, j]) + s[j] * (math.log(model.transition[j, c]) - math.log(share[c])) for j in range(k)) for c in range(k)]
+        assert scores[r["class"]] >= max(scores) - 1e-6
+
+
 def test_small_chunks_give_the_same(spark, edge_rows, monkeypatch):
     rows = frame(spark, edge_rows)
     whole = sorted((str(r.doc_id), r.n_tokens, round(r.score, 9)) for r in brown.scored_documents(spark, rows).collect())
@@ -142,6 +206,29 @@ def test_pieces_of_long_texts_score_alike(length):
     assert abs(network.score([b"x", text, b"", b"yy"], 1 << 20)[1] - whole) < 1e-5
 
 
+def test_network_equals_a_loop():
+    """Every window, filter and block by plain loops."""
+    network = quality.Network.fresh(dims=3, filters=5, block=7, seed=9)
+    for length in (1, 4, 9, 131, 400):
+        text = bytes(np.random.default_rng(length).integers(0, 256, length, dtype=np.uint8))
+        steps = [text[i : i + 4].ljust(4, b"\0") for i in range(0, length, 4)] + [b"\0" * 4]
+        answers = []
+        for one, two in zip(steps, steps[1:]):
+            row = []
+            for f in range(5):
+                x = float(network.bias[f])
+                for half, step in enumerate((one, two)):
+                    for place, byte in enumerate(step):
+                        for d in range(3):
+                            x += float(network.embedding[byte, d]) * float(network.filters[half, place * 3 + d, f])
+                row.append(max(x, 0.0))
+            answers.append(row)
+        blocks = [[max(a[f] for a in answers[i : i + 7]) for f in range(5)] for i in range(0, len(answers), 7)]
+        features = [max(b[f] for b in blocks) for f in range(5)] + [sum(b[f] for b in blocks) / len(blocks) for f in range(5)]
+        z = sum(w * x for w, x in zip(network.weights.tolist(), features, strict=True)) + network.intercept
+        assert abs(network.score([text])[0] - 1 / (1 + math.exp(-z))) < 1e-5
+
+
 def test_every_byte_counts():
     network = quality.Network.fresh(seed=3)
     text = b"a" * 3000
