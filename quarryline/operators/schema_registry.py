@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarryline.sources.storage import Store
+
 #: Numeric types from narrow to wide.
 WIDENING = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
@@ -66,15 +67,41 @@ def present_keys(records: DataFrame, column: str = "record_json") -> DataFrame:
 
 
 def infer(records: DataFrame, column: str = "record_json") -> T.StructType:
-    """The schema of JSON texts; columns without any value are of unknown type."""
+    """The schema of JSON texts; columns without any value are of unknown type.
+
+    Key by key the types that occur are merged by Spark's own aggregate over
+    parsed values, in the JVM and with partial results in every task.
+    """
     valued = {r.key: r.has_value for r in present_keys(records, column).collect()}  # one row a column
     if not valued:
         return T.StructType([])
-    guessed = {f.name: f.dataType for f in records.sparkSession.read.json(records.select(column).where(F.col(column).isNotNull()).rdd.map(lambda r: r[0])).schema}
+    parsed = F.try_parse_json(column)
+    text = records.where(F.col(column).isNotNull()).agg(F.schema_of_variant_agg(parsed)).first()[0]
+    guessed = {f.name: plain_type(f.dataType) for f in variant_fields(text)}
     kinds = ((n, guessed.get(n, T.StringType()) if valued[n] else T.NullType()) for n in sorted(valued))
     return T.StructType([T.StructField(n, k, True) for n, k in kinds])
 
 
+def variant_fields(text: str | None) -> list[T.StructField]:
+    """The fields that Spark reports for JSON objects; of other values there are none."""
+    if not text or not text.startswith("OBJECT<"):
+        return []
+    return list(T.DataType.fromDDL(re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", text))))
+
+
+def plain_type(kind: T.DataType) -> T.DataType:
+    """Exact decimals of JSON numbers as doubles, as JSON readers have them; mixed kinds as texts."""
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(kind, T.VariantType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(plain_type(kind.elementType), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, plain_type(f.dataType), True) for f in kind])
+    return kind
+
+
 def resolved(registered: T.StructType | None, found: T.StructType) -> T.StructType:
     """Found columns with registered types where unknown, and registered columns that are absent."""
     if registered is None:
@@ -90,19 +117,16 @@ def resolved(registered: T.StructType | None, found: T.StructType) -> T.StructTy
 
 
 class SchemaRegistry:
-    """One JSON file of versions per table, written whole by rename."""
-
-    def __init__(self, folder: str):
-        self.folder = folder
+    """One JSON file of versions per table, written whole, on the file system that the folder names."""
 
-    def _path(self, table: str) -> str:
-        return os.path.join(self.folder, f"{table}.json")
+    def __init__(self, folder: str, spark: SparkSession | None = None):
+        spark = spark or SparkSession.getActiveSession()
+        if spark is None:
+            raise RuntimeError("no Spark session to reach the folder's file system with")
+        self.store = Store(spark, folder)
 
     def versions(self, table: str) -> list[dict]:
-        if not os.path.exists(self._path(table)):
-            return []
-        with open(self._path(table), encoding="utf-8") as f:
-            return json.load(f)["versions"]
+        return self.store.read_json(f"{table}.json", {"versions": []})["versions"]
 
     def current(self, table: str) -> tuple[T.StructType, list[str]] | None:
         found = self.versions(table)
@@ -125,15 +149,5 @@ class SchemaRegistry:
             if not change.added and not change.widened:
                 return change
         found = [*found, {"version": len(found) + 1, "schema": json.loads(schema.json()), "keys": list(keys)}]
-        write_json(self._path(table), {"table": table, "versions": found})
+        self.store.replace_json(f"{table}.json", {"table": table, "versions": found})
         return change
-
-
-def write_json(path: str, value: dict) -> None:
-    """Pretty, sorted, ending in a line feed, and in place at once."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    handle, aside = tempfile.mkstemp(dir=os.path.dirname(path) or ".")
-    with os.fdopen(handle, "w", encoding="utf-8") as f:
-        json.dump(value, f, indent=2, sort_keys=True)
-        f.write("\n")
-    os.replace(aside, path)

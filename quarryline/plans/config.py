@@ -31,6 +31,10 @@ class Config:
     hard_deletes: bool = False
     trigger_seconds: int = 30
     spark: dict[str, str] = field(default_factory=dict)
+    #: Options of a live source: a ``jdbc`` reader's (url, user, password, driver, ...).
+    source_options: dict[str, str] = field(default_factory=dict)
+    #: Options of the store under ``base_path``, set as Hadoop settings (``fs.*``).
+    storage_options: dict[str, str] = field(default_factory=dict)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.base_path.rstrip('/')}/{layer}/{table}"
@@ -77,8 +81,8 @@ def checked(c: Config) -> Config:
     """The contract rules."""
     if not c.base_path:
         raise ConfigError("base_path is empty")
-    if c.table_format not in ("parquet", "delta"):
-        raise ConfigError(f"unknown table format {c.table_format!r}")
+    if c.table_format != "parquet":
+        raise ConfigError(f"table format {c.table_format!r}: tables are versions over Parquet files; no other format is written")
     if c.write_mode not in ("overwrite", "append"):
         raise ConfigError(f"unknown write mode {c.write_mode!r}")
     if c.load_type not in ("full", "incremental"):
@@ -96,10 +100,26 @@ def checked(c: Config) -> Config:
     return c
 
 
+def dotenv(path: str) -> dict[str, str]:
+    """Names and values of a ``.env`` file: comments and blank lines aside, ``export`` and quotes dropped."""
+    out = {}
+    if os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                name, sign, value = line.strip().removeprefix("export ").partition("=")
+                if sign and not name.startswith("#"):
+                    value = value.strip()
+                    out[name.strip()] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'" else value
+    return out
+
+
 def load_config(path: str, environment: dict[str, str] | None = None) -> Config:
-    """A YAML file over ``base.yaml`` beside it, if there is one."""
+    """A YAML file over ``base.yaml`` beside it, if there is one; variables from the environment, then from ``.env`` beside it."""
     import yaml
 
+    if environment is None:
+        environment = dotenv(os.path.join(os.path.dirname(path), ".env")) | dict(os.environ)
+
     values: dict = {}
     for p in (os.path.join(os.path.dirname(path), "base.yaml"), path):
         if os.path.exists(p):

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarryline.operators.schema_registry import write_json
+from quarryline.sources.storage import store_of
 
 #: Columns of a change message, as a message broker delivers them.
 MESSAGE_SCHEMA = "topic string, partition long, offset long, timestamp timestamp, key string, value string"
@@ -43,23 +41,20 @@ def incremental(rows: DataFrame, column: str | None, watermark: str | None, look
 
 
 class Watermarks:
-    """Highest value loaded of each table's incremental column, as texts in a JSON file."""
+    """Highest value loaded of each table's incremental column, as texts in a JSON file beside the tables."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        self.store, self.name = store_of(path, spark)
 
     def all(self) -> dict[str, str]:
-        if not os.path.exists(self.path):
-            return {}
-        with open(self.path, encoding="utf-8") as f:
-            return json.load(f)
+        return self.store.read_json(self.name, {})
 
     def get(self, table: str) -> str | None:
         return self.all().get(table)
 
     def put(self, table: str, value: str | None) -> None:
         if value is not None:
-            write_json(self.path, self.all() | {table: value})
+            self.store.replace_json(self.name, self.all() | {table: value})
 
     def advance(self, table: str, loaded: DataFrame, column: str) -> None:
         """From rows that are committed, so that none can slip between load and maximum."""

@@ -18,8 +18,9 @@ def test_batch_validate_inspect(spark, sf_dir, tmp_path, capsys, monkeypatch):
     (tmp_path / "c.yaml").write_text(f"base_path: {tmp_path}/lake\n")
     monkeypatch.setattr(command, "build_session", lambda *a: spark)
     config = ["--config", str(tmp_path / "c.yaml")]
-    assert command.main(["batch", *config, "--source", str(tmp_path / "source"), "--validate", "--metrics", str(tmp_path / "m.jsonl")]) == 0
-    assert {json.loads(x)["status"] for x in (tmp_path / "m.jsonl").read_text().splitlines()} == {"success"}
+    assert command.main(["batch", *config, "--source", str(tmp_path / "source"), "--validate", "--metrics", str(tmp_path / "metrics")]) == 0
+    (file,) = (tmp_path / "metrics").glob("*.jsonl")
+    assert {json.loads(x)["status"] for x in file.read_text().splitlines()} == {"success"}
     assert command.main(["validate", *config]) == 0
     assert command.main(["inspect", *config, "gold", "fact_sales", "--sql", "SELECT count(*) AS n FROM t", "--schema"]) == 0
     assert str(t["order_items"].count()) in capsys.readouterr().out
