@@ -2,7 +2,7 @@
 
 Used by every operator that finds similar rows by shared keys. Rows are
 (key, part, member, payload...); a group is the rows of one (key, part), and a
-comparison turns groups into links between members. Small keys are one part.
+comparison turns groups into links (key, a, b) between members. Small keys are one part.
 The rows of a hot key are dealt into parts of about ``block`` rows and linked
 there; then one representative of every component found so far is dealt anew,
 until a key's representatives fit one part or fall by less than half, when
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, prepare
+from .common import components, discard, materialize, prepare
 
 #: Rows of a part of a hot key.
 BLOCK = 512
@@ -102,8 +102,8 @@ def _dealt(rows: DataFrame, payload: list[str]) -> DataFrame:
     return rows.select("key", "part", "member", "stray", *payload).repartition("key", "part").sortWithinPartitions("key", "part")
 
 
-def sketch_comparison(words: list[str], radius: int) -> Comparison:
-    """Links between rows whose ``words`` (long columns, a fingerprint) differ in at most ``radius`` bits."""
+def sketch_comparison(words: list[str], radius: int, few: int = FEW) -> Comparison:
+    """Links between rows whose ``words`` (long columns, a fingerprint) differ in at most ``radius`` bits; as stars in groups of more than ``few``."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,28 +113,31 @@ def sketch_comparison(words: list[str], radius: int) -> Comparison:
             bits = np.column_stack([table.column(4 + i).to_numpy() for i in range(len(words))]).view(np.uint64)
             sizes = np.diff(np.append(starts, n))
             group = np.repeat(np.arange(len(starts)), sizes)
-            small = sizes <= FEW
+            small = sizes <= few
             left = np.flatnonzero(small[group])
-            a, b = [], []
-            for far in range(1, FEW):
+            k, a, b = [], [], []
+            key = table.column(0).to_numpy()
+            for far in range(1, few):
                 left = left[left < n - far]
                 left = left[group[left] == group[left + far]]
                 if not len(left):
                     break
                 near = (np.bitwise_count(bits[left] ^ bits[left + far]).sum(axis=1) <= radius) & (stray[left] | stray[left + far])
+                k.append(key[left[near]])
                 a.append(member[left[near]])
                 b.append(member[left[near] + far])
-            for g in np.flatnonzero(~small):
+            for g in np.flatnonzero(~small & (sizes > 1)):
                 own = slice(starts[g], starts[g] + sizes[g])
                 order, leading = _led(member[own], stray[own])
                 mine = bits[own][order]
                 x, y = forest(member[own][order], leading, lambda i, mine=mine: np.bitwise_count(mine[i + 1 :] ^ mine[i]).sum(axis=1) <= radius)
+                k.append(np.full(len(x), key[starts[g]]))
                 a.append(x)
                 b.append(y)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (k, a, b)], names=["key", "a", "b"])
 
-    return lambda rows: _dealt(rows, words).mapInArrow(run, "a long, b long").where("a <> b")
+    return lambda rows: _dealt(rows, words).mapInArrow(run, "key long, a long, b long").where("a <> b")
 
 
 def payload_comparison(relate: Relation) -> Comparison:
@@ -144,18 +147,20 @@ def payload_comparison(relate: Relation) -> Comparison:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches):
             member, stray, payload = table.column(2).to_numpy(), table.column(3).to_numpy(zero_copy_only=False), table.column(4)
-            a, b = [], []
+            k, a, b = [], [], []
+            key = table.column(0).to_numpy()
             for start, stop in zip(starts, np.append(starts[1:], table.num_rows), strict=True):
                 if stop - start < 2:
                     continue
                 order, leading = _led(member[start:stop], stray[start:stop])
                 x, y = forest(member[start:stop][order], leading, relate([payload[int(start + i)].as_buffer() for i in order]))
+                k.append(np.full(len(x), key[start]))
                 a.append(x)
                 b.append(y)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (k, a, b)], names=["key", "a", "b"])
 
-    return lambda rows: _dealt(rows, ["payload"]).mapInArrow(run, "a long, b long").where("a <> b")
+    return lambda rows: _dealt(rows, ["payload"]).mapInArrow(run, "key long, a long, b long").where("a <> b")
 
 
 def as_groups(rows: DataFrame) -> DataFrame:
@@ -169,9 +174,10 @@ def _parted(rows: DataFrame, sizes: DataFrame, block: int, salt: int) -> DataFra
     return rows.join(sizes, "key").withColumns({"part": part, "stray": F.lit(True)}).drop("n")
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).select(F.col("node").alias("member"), "component")
-    return rows.join(found, "member", "left").withColumn("label", F.coalesce("component", "member")).drop("component")
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (key, label, ...) after stars (key, a, b) between labels: the star's centre instead of ``b``."""
+    moved = links.select("key", F.col("b").alias("label"), F.col("a").alias("to")).distinct()
+    return labels.join(moved, ["key", "label"], "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
 def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:
@@ -185,34 +191,47 @@ def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:
 
 
 def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) that connect what pairwise comparison of every key's rows (key, member, payload) connects."""
+    """Links (key, a, b) that connect what pairwise comparison of every key's rows (key, member, payload) connects.
+
+    ``compare`` gives stars around a tree's least member. As long as parts have
+    no rows in common, a star's centre is the label of its rows.
+    """
     rows = materialize(rows.select("key", "member", *payload), "hot")
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    links = materialize(compare(_parted(rows, sizes, block, 0)), "hot-links")
-    salt, before = 0, None
+    links = new = materialize(compare(_parted(rows, sizes, block, 0)), "hot-links")
+    labels, salt, before, last = rows.withColumn("label", F.col("member")), 0, None, False
     while True:
         salt += 1
-        labels = materialize(_labelled(rows, links), "labels")
-        reps = labels.groupBy("key", "label").agg(F.min(F.struct("member", *payload)).alias("least")).select("key", "least.*")
+        stale, labels = labels, materialize(_relabelled(labels, new), "labels")
+        discard(rows if salt == 1 else stale)
+        if last:
+            break
+        reps = labels.where("member = label").drop("label")
         sizes = materialize(reps.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
         most, left = sizes.agg(F.max("n"), F.sum("n")).first()
         if most is None:  # every key is one component
+            discard(labels)
             return links
         # while representatives fall by half, a part of them at a time; at last each with each
         last = most <= block or (before is not None and left > before / 2)
-        parts = _crossed(reps.join(sizes.select("key"), "key").withColumn("stray", F.lit(True)), block, salt) if last and most > block else _parted(reps, sizes, block, salt)
-        links = links.unionByName(materialize(compare(parts), "hot-links"))
         before = left
-        if last:
-            break
-    labels = materialize(_labelled(rows, links), "labels")
+        if last and most > block:
+            found = materialize(compare(_crossed(reps.join(sizes.select("key"), "key").withColumn("stray", F.lit(True)), block, salt)), "hot-links")
+            joined = components(found)
+            new = reps.select("key", F.col("member").alias("b")).join(joined, F.col("b") == joined.node).select("key", F.col("component").alias("a"), "b")
+        else:
+            found = new = materialize(compare(_parted(reps, sizes, block, salt)), "hot-links")
+        links = links.unionByName(found)
     counts = labels.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("n")).where("main.c < n").select("key", "main.label")
-    main = materialize(main.withColumnRenamed("label", "main"), "main")
+    main = counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("main"), F.sum("c").alias("n")).where("main.c < n").select("key", F.col("main.label").alias("main"))
+    main = materialize(main, "main")
     if main.isEmpty():
+        discard(labels)
         return links
     apart = labels.join(main, "key").withColumn("stray", F.col("label") != F.col("main")).drop("label", "main")
-    return links.unionByName(compare(_crossed(apart, block, salt + 2)))
+    found = materialize(compare(_crossed(apart, block, salt + 2)), "hot-links")
+    discard(labels)
+    return links.unionByName(found)
 
 
 def counted(rows: DataFrame) -> DataFrame:

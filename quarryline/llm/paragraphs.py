@@ -233,7 +233,7 @@ def jaccard(similarity: float):
 def shared(rows: DataFrame) -> DataFrame:
     """The rows (key, ...) whose key occurs twice or more."""
     # counts are map-side sums of two numbers a key; rows with a key of their own go before they are shuffled
-    twice = materialize(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
+    twice = freed(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     return only(rows, twice, "key")
 
 
@@ -261,10 +261,10 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     node = F.struct("id", "place")
     own = without(found.lines.select("id", "place", "g", "keys"), found.copied, "id")
     met = materialize(shared(own.select(F.explode("keys").alias("key"), F.col("g").alias("member"))).distinct(), "met")
-    met = materialize(counted(met), "met")
+    met = freed(counted(met), "met")
     asked = only(own.select("id", "place", "g"), met.select(F.col("member").alias("g")).distinct(), "g").groupBy("g").agg(F.min(node).alias("first"))
     wanted = asked.groupBy("first.id").agg(F.collect_list("first.place").alias("places"), F.collect_list("g").alias("members"))
-    sets = materialize(line_sets(found.docs, wanted), "line-sets")
+    sets = freed(line_sets(found.docs, wanted), "line-sets")
     groups = materialize(components(key_links(met, payload_comparison(jaccard(similarity)), sets)), "line-groups")
     discard(met, sets)
     # lines that occur twice or are linked
@@ -352,14 +352,14 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
     listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
     wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
-    whole = materialize(blocks(found.docs, wanted).distinct(), "blocks")
+    whole = freed(blocks(found.docs, wanted).distinct(), "blocks")
     repeat = (F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)
     known = materialize(_first_places(whole, ["key", "g", "h"]), "known")
     # one block of each kind where a minimum stands in several kinds of blocks, and what overlaps it in its own text
     several = materialize(whole.groupBy("key").agg(F.min(F.struct("g", "h")).alias("one"), F.max(F.struct("g", "h")).alias("other")).where("one <> other").select("key"), "several")
     mixed = only(whole, several, "key").join(known.where(repeat).select("id", "at", "key").distinct(), ["id", "at", "key"], "left_anti")
     wanted = mixed.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "last")))).alias("ats"))
-    runs = materialize(single_runs(found.docs, wanted).distinct(), "runs").withColumn("last", F.col("at"))
+    runs = freed(single_runs(found.docs, wanted).distinct(), "runs").withColumn("last", F.col("at"))
     columns = ["id", "at", "last", "place", "start", "stop", "first"]
     repeats = known.where(repeat).select(columns).unionByName(_first_places(runs, ["g", "h"]).where(repeat).select(columns))
     mine = Window.partitionBy("id", "first.id").orderBy("at", "last")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import IdFilter, components, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join
-from .neighbours import BLOCK, as_groups, counted, hot_links, key_links, payload_comparison, sketch_comparison
+from .neighbours import as_groups, counted, hot_links, key_links, payload_comparison, sketch_comparison
 from .paragraphs import jaccard
 from .words import Words
 
@@ -44,6 +44,8 @@ COUNTED_KEYS = 1 << 22
 FREQUENT = 8
 #: Words of a long fingerprint that travel with its keys, and the most bits in which they may differ.
 SKETCH, SKETCH_RADIUS = 2, 40
+#: Rows of a group of a key: 40 bytes each.
+GROUP = 4096
 
 
 def _expanders(words: int) -> np.ndarray:
@@ -217,22 +219,22 @@ def wide_plan(sample: np.ndarray, total: int, spare: int = -2, seed: int = 5, re
     Partitions have log2(total) + ``spare`` bits, so that an unrelated row
     meets about 2^-``spare`` others by a key at any size of the table (their
     sketches part them). The first round groups correlated bits, further rounds
-    group the same bits anew, as many as it takes to meet pairs of
-    ``similarity`` with a probability of ``recall``: wider partitions are met
-    more seldom, so rounds grow with the table.
+    group the same bits anew, until there are as many partitions as it takes to
+    meet pairs of ``similarity`` with a probability of ``recall``: wider
+    partitions are met more seldom, so their number grows with the table.
     """
     bits = sample.shape[1]
     width = min(40, max(8, int(np.ceil(np.log2(max(total, 2)))) + spare))
     parts = bits // width
-    rounds = 1
-    while expected_recall(int(np.ceil(bits / parts)), rounds * parts, bits, similarity) < recall:
-        rounds += 1
+    needed = 1
+    while expected_recall(int(np.ceil(bits / parts)), needed, bits, similarity) < recall:
+        needed += 1
     groups = correlated_groups(sample.astype(np.float64), parts)
     rng = np.random.default_rng(seed)
-    for _ in range(rounds - 1):
+    while len(groups) < needed:
         order = rng.permutation(bits)
         groups = groups + [sorted(order[i::parts].tolist()) for i in range(parts)]
-    return Plan(groups, [0] * len(groups))
+    return Plan(groups[:needed], [0] * needed)
 
 
 def _matrix(column) -> np.ndarray:
@@ -295,8 +297,8 @@ def frequent_keys(distinct: DataFrame, plan: Plan, block: int) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > block).select("key")
 
 
-def sketch_links(distinct: DataFrame, plan: Plan, radius: int, words: int = 1, block: int = BLOCK) -> DataFrame:
-    """(a, b): links of fingerprints (fp, member) that share a key and differ in at most ``radius`` bits of their first ``words`` words."""
+def sketch_links(distinct: DataFrame, plan: Plan, radius: int, words: int = 1, block: int = GROUP) -> DataFrame:
+    """(key, a, b): links of fingerprints (fp, member) that share a key and differ in at most ``radius`` bits of their first ``words`` words."""
     sketch = [f"s{w}" for w in range(words)]
     compare = sketch_comparison(sketch, radius)
     rows = key_rows(distinct, plan, words)
@@ -305,16 +307,18 @@ def sketch_links(distinct: DataFrame, plan: Plan, radius: int, words: int = 1, b
         return compare(as_groups(rows))
     maybe, sure = IdFilter(hot, "key").split(rows, "key")
     cold = sure.unionByName(maybe.join(hot, "key", "left_anti"))
-    return compare(as_groups(cold)).unionByName(hot_links(maybe.join(hot, "key", "left_semi"), sketch, compare, block))
+    found = hot_links(maybe.join(hot, "key", "left_semi"), sketch, sketch_comparison(sketch, radius, 1), block)
+    return compare(as_groups(cold)).unionByName(found)
 
 
 def planned(distinct: DataFrame, total: int, planner) -> Plan:
-    """A plan by a bounded sample of the fingerprints, the least by a hash."""
-    some = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).combine_chunks()
+    """A plan by a bounded sample of the fingerprints, the least by a hash of every few."""
+    every = max(1, total // (4 * SAMPLE))
+    some = distinct.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column(0).combine_chunks()
     return planner(_bits(_matrix(some)), total)
 
 
-def classes(prints: DataFrame, tau: int, block: int = BLOCK) -> DataFrame:
+def classes(prints: DataFrame, tau: int, block: int = GROUP) -> DataFrame:
     """(fp, component) of 64-bit fingerprints (id, fp long): the smallest id of all rows that can be reached over links.
 
     A fingerprint is its own name in the search, so rows of one id with

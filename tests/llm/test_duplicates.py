@@ -74,7 +74,7 @@ def dense(rng, n):
 def test_hot_keys_are_split_and_exact(spark, block):
     prints = dense(np.random.default_rng(0), 300)
     rows = spark.createDataFrame([(1, f, f) for f in prints] + [(2, 9999, 0)], "key long, member long, s0 long")
-    links = neighbours.hot_links(rows, ["s0"], neighbours.sketch_comparison(["s0"], 2), block)
+    links = neighbours.hot_links(rows, ["s0"], neighbours.sketch_comparison(["s0"], 2, 1), block)
     found = {r.node: r.component for r in common.components(links).collect()}
     expected = brute_classes([(f, f) for f in prints], 2)
     assert all(found.get(f, f) == expected[f] for f in prints)
@@ -86,7 +86,7 @@ def test_hot_key_has_bounded_groups(spark, monkeypatch):
     members = rng.choice(1 << 62, 30_000, replace=False)
     data = [(int(1 if i % 3 == 0 else 2 + i // 2), int(m), int(rng.integers(0, 3)) if i % 30 else int(m)) for i, m in enumerate(members)]
     rows = spark.createDataFrame(data, "key long, member long, s0 long")
-    real, sizes = neighbours.sketch_comparison(["s0"], 1), []
+    real, sizes = neighbours.sketch_comparison(["s0"], 1, 1), []
 
     def watched(groups):
         sizes.append(groups.groupBy("key", "part").count().agg({"count": "max"}).first()[0])
