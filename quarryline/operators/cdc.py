@@ -34,20 +34,20 @@ def log_schema() -> T.StructType:
     return T.StructType([T.StructField(c, kinds[k]) for c, k in (EVENT_COLUMNS | PARSED_COLUMNS).items()])
 
 
-def normalized(raw: DataFrame, now: Column | None = None) -> DataFrame:
-    """Message rows (topic, partition, offset, timestamp, key, value) as event columns."""
-    value = F.col("value").cast("string")
+#: The message's envelope; images stay JSON texts, as their columns differ by table.
+ENVELOPE = "op string, ts_ms string, source struct<db string, schema string, table string>, before string, after string"
 
-    def path(p: str) -> Column:
-        return F.get_json_object(value, p)
 
-    return raw.select(
+def normalized(raw: DataFrame, now: Column | None = None) -> DataFrame:
+    """Message rows (topic, partition, offset, timestamp, key, value) as event columns; each message is parsed once."""
+    value = F.col("value").cast("string")
+    return raw.withColumn("_m", F.from_json(value, ENVELOPE)).select(
         F.col("topic").cast("string").alias("_kafka_topic"), F.col("partition").cast("long").alias("_kafka_partition"),
         F.col("offset").cast("long").alias("_kafka_offset"), F.col("timestamp").cast("timestamp").alias("_kafka_timestamp"),
         F.col("key").cast("string").alias("_debezium_key"), value.alias("_debezium_value"),
-        path("$.op").alias("op"), path("$.ts_ms").try_cast("long").alias("source_ts_ms"), path("$.source.db").alias("source_db"),
-        path("$.source.schema").alias("source_schema"), path("$.source.table").alias("source_table"),
-        path("$.before").alias("before_json"), path("$.after").alias("after_json"),
+        F.col("_m.op").alias("op"), F.col("_m.ts_ms").try_cast("long").alias("source_ts_ms"), F.col("_m.source.db").alias("source_db"),
+        F.col("_m.source.schema").alias("source_schema"), F.col("_m.source.table").alias("source_table"),
+        F.col("_m.before").alias("before_json"), F.col("_m.after").alias("after_json"),
         (F.current_timestamp() if now is None else now).alias("_bronze_ingested_at"),
     )
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from quarryline.operators import cdc
 from quarryline.operators.ledger import Ledger
 from quarryline.operators.schema_registry import SchemaRegistry
-from quarryline.plans.batch import bronze_table
+from quarryline.plans.batch import Metrics, bronze_table
 from quarryline.plans.config import Config
 from quarryline.plans.incremental import refresh
-from quarryline.sources.readers import bootstrap_log, layer_reader, table_stream
+from quarryline.sources.readers import bootstrap_log, table_stream
 from quarryline.sources.snapshot import SnapshotTable
 
 
@@ -93,6 +93,26 @@ def run_stream(spark: SparkSession, config: Config, messages: DataFrame, checkpo
         start_silver(spark, config, checkpoints, registry, gold).awaitTermination()
 
 
+class ProgressMetrics(StreamingQueryListener):
+    """Every batch of every query as a line of the metrics: rows, rate and time; and how a query ended."""
+
+    def __init__(self, metrics: Metrics):
+        self.metrics = metrics
+
+    def onQueryStarted(self, event) -> None:
+        self.metrics.emit("stream_started", query=str(event.id), run=str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.metrics.emit("stream_batch", query=str(p.id), batch=p.batchId, rows=p.numInputRows, rows_per_second=p.processedRowsPerSecond, elapsed_ms=p.batchDuration, status="success")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.metrics.emit("stream_ended", query=str(event.id), status="failed" if event.exception else "success", error=event.exception)
+
+
 def connector_config(name: str, host: str, port: int, user: str, database: str, config: Config) -> dict:
     """The change connector's settings as a payload; the password is a reference to its own secret store."""
     # Names and settings of the connector's interface.
@@ -111,5 +131,3 @@ def connector_healthy(status: dict) -> bool:
     tasks = status.get("tasks") or []
     return status.get("connector", {}).get("state") == "RUNNING" and bool(tasks) and all(t.get("state") == "RUNNING" for t in tasks)
 
-
-__all__ = ["apply_batch", "connector_config", "connector_healthy", "event_columns", "layer_reader", "run_stream", "start_bronze", "start_silver"]

@@ -71,8 +71,13 @@ def test_stream_equals_full_rebuild(spark, lake, tmp_path):
     folder = str(tmp_path / "messages")
     spark.createDataFrame(data, "topic string, partition long, offset long, timestamp timestamp, key string, value string").write.parquet(folder)
     registry = SchemaRegistry(str(tmp_path / "schemas"))
+    listener = cdc_stream.ProgressMetrics(batch.Metrics(str(tmp_path / "metrics"), spark))
+    spark.streams.addListener(listener)
     cdc_stream.run_stream(spark, cfg, message_stream(spark, folder), str(tmp_path / "checkpoints"), registry)
 
+    spark.streams.removeListener(listener)
+    told = [json.loads(line) for line in listener.metrics.lines]
+    assert sum(x["rows"] for x in told if x["name"] == "stream_batch") >= 7 and {x["status"] for x in told if "status" in x} == {"success"}
     assert read("app_users").where("email = 'new@example.com'").count() == 1
     assert read("order_items").where(F.col("order_item_id") == item["order_item_id"]).count() == 0
     history = gold_table(spark, cfg.base_path, "dim_customer").read().where("source_customer_id = 5")
@@ -106,6 +111,25 @@ def test_changes_need_loaded_tables(spark, tmp_path):
         cdc_stream.run_stream(spark, cfg, None, "", None, silver=False)
 
 
+def test_write_mode_appends(spark, tmp_path):
+    cfg = config.Config(str(tmp_path / "b"), write_mode="append")
+    for state in "ab":
+        batch.load_bronze(spark, cfg, "orders", spark.createDataFrame([(1, state)], "order_id long, state string"))
+    assert sorted(r.state for r in batch.bronze_table(spark, cfg, "orders").read().collect()) == ["a", "b"]
+
+
+def test_one_scan_finds_all_orphans(spark):
+    from quarryline.plans import reconcile as r
+
+    keys = {"a_key": ("a", "k", False), "b_key": ("b", "k", True), "c_key": ("b", "k", False)}
+    rows = spark.createDataFrame([(1, 0, 0), (2, 5, None), (2, 6, 7), (9, 5, 7)], "a_key int, b_key long, c_key long")
+    tables = {"a": spark.createDataFrame([(1,), (9,)], "k long"), "b": spark.createDataFrame([(5,)], "k int")}
+    found = {x.fact_column: x.n for x in r.all_orphans(rows, tables.__getitem__, keys).collect()}
+    assert found == {"a_key": 1, "b_key": 1, "c_key": 2}
+    times = spark.range(1).select(r.is_fresh(F.lit("2026-01-10 9:00:00").cast("timestamp"), F.lit("2026-01-09 10:00:00").cast("timestamp")), r.is_fresh(F.lit(None).cast("timestamp"), F.lit(None).cast("timestamp")), r.is_fresh(F.lit(None).cast("timestamp"), F.lit("2026-01-09").cast("timestamp")))
+    assert tuple(times.first()) == (True, True, False)
+
+
 def test_incremental_bronze(spark, tmp_path):
     cfg = config.Config(str(tmp_path / "b"), load_type="incremental", incremental_columns={"orders": "created_at"}, lookback_minutes=60)
     marks = Watermarks(str(tmp_path / "marks.json"))
@@ -139,7 +163,7 @@ def test_shares_are_close_to_the_amounts(spark, sf_dir):
     assert off.where("off > 0.005 * n").count() == 0
 
 
-@pytest.mark.parametrize("bad", [{"base_path": ""}, {"table_format": "csv"}, {"write_mode": "x"}, {"load_type": "x"}, {"tables": []}, {"tables": ["orders", "orders"]}, {"primary_keys": {}}, {"incremental_columns": {"x": "y"}}, {"topics": ["x"]}, {"trigger_seconds": 0}])
+@pytest.mark.parametrize("bad", [{"base_path": ""}, {"table_format": "csv"}, {"table_format": "delta"}, {"write_mode": "x"}, {"load_type": "x"}, {"tables": []}, {"tables": ["orders", "orders"]}, {"primary_keys": {}}, {"incremental_columns": {"x": "y"}}, {"topics": ["x"]}, {"trigger_seconds": 0}])
 def test_bad_settings(bad):
     with pytest.raises(config.ConfigError):
         config.checked(config.Config(**({"base_path": "x"} | bad)))
@@ -163,13 +187,14 @@ def test_connector():
     assert "public.orders" in payload["config"]["table.include.list"]
 
 
-def test_metrics(tmp_path):
-    m = batch.Metrics(str(tmp_path / "m.jsonl"))
+def test_metrics(spark, tmp_path):
+    m = batch.Metrics(str(tmp_path / "m"), spark)
     with m.timer("a"):
         pass
     with pytest.raises(RuntimeError), m.timer("b"):
         raise RuntimeError
-    assert [json.loads(x)["status"] for x in (tmp_path / "m.jsonl").read_text().splitlines()] == ["success", "failed"]
+    (file,) = (tmp_path / "m").glob("*.jsonl")
+    assert [json.loads(x)["status"] for x in file.read_text().splitlines()] == ["success", "failed"]
 
 
 def test_inspect(spark, sf_dir):
