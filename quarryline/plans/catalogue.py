@@ -132,14 +132,14 @@ def dim_location(spark, sf_dir):
     return d.dim_location(demo.user_addresses(spark, sf_dir)).select("location_key", "source_address_id", "source_customer_id", "recipient_name", "street", "city", "country", "natural_location_hash")
 
 
-@query("SELECT shop_id AS shop_key, shop_id AS source_shop_id, public_shop_id, shop_name, shop_slug, status AS shop_status FROM shops", True)
+@query("SELECT shop_id AS shop_key, shop_id AS source_shop_id, public_shop_id, shop_name, shop_slug, status AS shop_status, TIMESTAMP '1992-01-01' AS shop_created_at FROM shops", True, times=("shop_created_at",))
 def dim_shop(spark, sf_dir):
-    return d.dim_shop(demo.shops(spark, sf_dir)).drop("shop_created_at")
+    return d.dim_shop(demo.shops(spark, sf_dir))
 
 
-@query("SELECT c.category_id AS category_key, c.category_id AS source_category_id, c.parent_category_id AS source_parent_category_id, c.category_name, c.slug AS category_slug, p.category_name AS parent_category_name FROM categories c LEFT JOIN categories p ON c.parent_category_id = p.category_id", True, numbers=("source_parent_category_id",))
+@query("SELECT c.category_id AS category_key, c.category_id AS source_category_id, c.parent_category_id AS source_parent_category_id, c.category_name, c.slug AS category_slug, p.category_name AS parent_category_name, TRUE AS is_active, TIMESTAMP '1992-01-01' AS category_created_at FROM categories c LEFT JOIN categories p ON c.parent_category_id = p.category_id", True, numbers=("source_parent_category_id",), times=("category_created_at",))
 def dim_category(spark, sf_dir):
-    return d.dim_category(demo.categories(spark, sf_dir)).drop("category_created_at", "is_active")
+    return d.dim_category(demo.categories(spark, sf_dir))
 
 
 @query("SELECT product_variant_id AS product_key, product_id AS source_product_id, product_variant_id AS source_product_variant_id, public_product_id, public_variant_id, product_sku, product_slug, product_name, brand, status AS product_status, is_featured, variant_sku, variant_name, unit_price AS current_unit_price, stock_quantity FROM products JOIN product_variants USING (product_id)", True, money=("current_unit_price",))
@@ -158,10 +158,10 @@ promotion_by_order AS (
 promotions AS (SELECT *, sha256(concat_ws('||', promotion_type, voucher_codes, coalesce(discount_types, 'NA'), coalesce(promotion_scope, 'NA'))) AS natural_promotion_hash FROM promotion_by_order)"""
 
 
-@query(PROMOTION_SQL + " SELECT natural_promotion_hash, min(promotion_type) AS promotion_type, min(voucher_count) AS voucher_count, min(voucher_codes) AS voucher_codes, min(voucher_names) AS voucher_names, min(discount_types) AS discount_types, min(promotion_scope) AS promotion_scope, min(minimum_order_amount) AS minimum_order_amount, bool_or(is_active) AS is_active FROM promotions GROUP BY 1", True, money=("minimum_order_amount",))
+@query(PROMOTION_SQL + " SELECT natural_promotion_hash, min(promotion_type) AS promotion_type, min(voucher_count) AS voucher_count, min(voucher_codes) AS voucher_codes, min(voucher_names) AS voucher_names, min(discount_types) AS discount_types, min(promotion_scope) AS promotion_scope, min(minimum_order_amount) AS minimum_order_amount, bool_or(is_active) AS is_active, min(promotion_start_at) AS promotion_start_at, max(promotion_end_at) AS promotion_end_at FROM promotions GROUP BY 1", True, money=("minimum_order_amount",), times=("promotion_start_at", "promotion_end_at"))
 def dim_promotion(spark, sf_dir):
     rows = d.dim_promotion(d.promotion_by_order(demo.orders(spark, sf_dir), demo.order_vouchers(spark, sf_dir), demo.vouchers(spark, sf_dir)))
-    return rows.drop("promotion_key", "promotion_start_at", "promotion_end_at")
+    return rows.drop("promotion_key")
 
 
 @query(PROMOTION_SQL + " SELECT order_id, voucher_count, voucher_codes, promotion_start_at, promotion_end_at, natural_promotion_hash FROM promotions", True, times=("promotion_start_at", "promotion_end_at"))
@@ -354,20 +354,20 @@ APPLY_SQL = "SELECT c_custkey AS user_id, CAST(0 AS DECIMAL(12,2)) AS value, CAS
 @query(LATEST_SQL + APPLY_SQL, True, money=("value",), numbers=("k",))
 def cdc_apply_soft(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    after = cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "users", ["user_id"]).bronze
+    after = cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "customers", ["user_id"]).bronze
     return after.select("user_id", "value", "k", F.coalesce("is_deleted", F.lit(False)).alias("is_deleted"))
 
 
 @query(LATEST_SQL + f" SELECT user_id, value, k FROM ({APPLY_SQL}) WHERE NOT is_deleted", True, money=("value",), numbers=("k",))
 def cdc_apply_hard(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    return cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "users", ["user_id"], hard=True).bronze.select("user_id", "value", "k")
+    return cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "customers", ["user_id"], hard=True).bronze.select("user_id", "value", "k")
 
 
 @query(LATEST_SQL + f" SELECT user_id, value, k FROM ({APPLY_SQL}) WHERE NOT is_deleted", True, money=("value",), numbers=("k",))
 def cdc_apply_silver(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
-    return cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "users", ["user_id"]).silver.select("user_id", "value", "k")
+    return cdc.apply_changes(_latest(spark, sf_dir), bronze, bronze, "customers", ["user_id"]).silver.select("user_id", "value", "k")
 
 
 # merges
