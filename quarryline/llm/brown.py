@@ -468,3 +468,28 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
 
 def scored_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return language_scores(spark, docs).withColumnRenamed("id", "doc_id")
+
+
+def base_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of :func:`scored_documents` that do not depend on classes, which SQL can say."""
+    return scored_documents(spark, docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+#: DuckDB: unigram scores; crc32 is written out bit by bit.
+BASE_SQL = r"""
+WITH cut AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w,
+    coalesce(xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295) % 7 = 2, FALSE) AS held_out
+  FROM documents),
+counts AS (SELECT word, count(*) AS c FROM (SELECT unnest(w) AS word FROM cut WHERE NOT held_out) GROUP BY word),
+totals AS (
+  SELECT (SELECT coalesce(sum(c), 0) FROM counts) + (SELECT count(*) FROM cut WHERE NOT held_out) AS n,
+    (SELECT count(*) FROM counts) + (SELECT CAST(count(*) > 0 AS INTEGER) FROM cut WHERE NOT held_out) AS v, (SELECT count(*) FROM cut WHERE NOT held_out) AS ends),
+tokens AS (SELECT place, coalesce(c, 0) AS c FROM cut AS t, unnest(t.w) AS u(word) LEFT JOIN counts USING (word)),
+named AS (SELECT place, doc_id, held_out, len(w) AS size FROM cut),
+sums AS (SELECT place, sum(log10((c + 1) / (n + v + 1))) AS s, sum(CAST(c > 0 AS INTEGER)) AS known FROM tokens, totals GROUP BY place)
+SELECT doc_id, held_out, CAST(size + 1 AS BIGINT) AS n_tokens, CAST(coalesce(known, 0) + CAST(ends > 0 AS INTEGER) AS BIGINT) AS n_known, CAST(n AS BIGINT) AS train_tokens,
+  round(coalesce(s, 0) + log10((ends + 1) / (n + v + 1)), 4) AS base_score
+FROM named LEFT JOIN sums USING (place), totals
+"""

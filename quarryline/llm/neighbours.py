@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, materialize, prepare
+from .common import components, discard, materialize, prepare, spread_join
 
 #: Rows of a part of a hot key.
 BLOCK = 512
@@ -237,7 +237,7 @@ def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: i
 def counted(rows: DataFrame) -> DataFrame:
     """Distinct (key, member) rows of keys with two members or more, with ``n``, the key's number of members."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(sizes, "key")
+    return spread_join(rows, sizes, "key")
 
 
 def key_links(rows: DataFrame, compare: Comparison, payloads: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -66,7 +66,17 @@ def op10_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.stored_texts(spark, table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_impact, op2_contamination, op3_packing, op4_chat, op5_brown, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary)
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5 returns but for the class model's score."""
+    return brown.base_scores(spark, table(spark, sf_dir, "documents"))
+
+
+def simhash_sign_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6's search over given fingerprints, the signs of vectors."""
+    return simhash.sign_classes(spark, table(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = (op1_impact, op2_contamination, op3_packing, op4_chat, op5_brown, op6_simhash, op7_quality, op8_token_counts, op9_paragraphs, op10_binary, lm_base_scores, simhash_sign_classes)
 
 
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -82,4 +92,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_impact": impact.NEAREST_SQL, "op2_contamination": contamination.REPORT_SQL}
+    return {"op1_impact": impact.NEAREST_SQL, "op2_contamination": contamination.REPORT_SQL, "lm_base_scores": brown.BASE_SQL, "simhash_sign_classes": simhash.SIGN_SQL}

@@ -438,3 +438,22 @@ def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = 0.8, shin
     rank = F.row_number().over(Window.partitionBy(own, "body").orderBy(body))
     once = left.where(F.col(own).isNotNull()).withColumn("rank", rank).where("rank = 1").drop("rank")
     return sure.unionByName(once).unionByName(left.where(F.col(own).isNull())).drop("body").toDF(*names)
+
+
+def sign_classes(spark: SparkSession, vectors: DataFrame, bits: int = 24, tau: int = 2) -> DataFrame:
+    """(vec_id, component_id): classes of given fingerprints, the signs of a vector's first ``bits`` components."""
+    prepare(spark)
+    rows = pick(vectors, id="vec_id", v="embedding").where(F.size("v") >= bits)
+    fp = F.aggregate(F.transform(F.slice("v", 1, bits), lambda x, i: F.when(x > 0, F.shiftleft(F.lit(1).cast("long"), 0) * F.pow(F.lit(2.0), i).cast("long")).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a + x)
+    prints = materialize(rows.select("id", fp.alias("fp")), "signs")
+    return spread_join(prints, classes(prints, tau), "fp", "left").select(F.col("id").alias("vec_id"), F.col("component").alias("component_id"))
+
+
+#: DuckDB: all pairs of sign fingerprints, and what links reach.
+SIGN_SQL = """
+WITH RECURSIVE prints AS (
+  SELECT vec_id, CAST(list_sum(list_transform(range(24), lambda i: CASE WHEN embedding[i + 1] > 0 THEN 1 << i ELSE 0 END)) AS BIGINT) AS fp FROM embeddings WHERE len(embedding) >= 24 AND vec_id IS NOT NULL),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM prints a JOIN prints b ON bit_count(xor(a.fp, b.fp)) <= 2),
+reach(id, other) AS (SELECT a, b FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT id AS vec_id, min(other) AS component_id FROM reach GROUP BY id
+"""
