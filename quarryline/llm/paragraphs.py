@@ -286,22 +286,38 @@ def _asked(b, words: Words) -> np.ndarray:
 
 
 def _spans(b, words: Words, first: np.ndarray, last: np.ndarray) -> list:
-    """Id, first word, place and offsets of spans of words, and the hashes of their words."""
+    """Id, first word, place and offsets of spans of words, the hashes of their words, and ``spot``.
+
+    ``spot`` is the first word (upper half) and the place (lower half) of the
+    first span of the same words in the same text.
+    """
     import pyarrow as pa
 
     text = words.owner[first]
-    numbers = [first - words.firsts[text], words.lines[first] - words.first_lines[text], words.offsets(text, words.starts[first]), words.offsets(text, words.stops[last - 1])]
-    return [b.column(0).take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in numbers), *(pa.array(r.ranges(first, last).view(np.int64)) for r in words.runs)]
+    at, place = first - words.firsts[text], words.lines[first] - words.first_lines[text]
+    numbers = [at, place, words.offsets(text, words.starts[first]), words.offsets(text, words.stops[last - 1])]
+    hashes = [r.ranges(first, last) for r in words.runs]
+    order = np.lexsort((at, *hashes, text))
+    head = np.ones(len(order), bool)
+    for x in (text, *hashes):
+        head[1:] &= x[order][1:] == x[order][:-1]
+    head[1:] = ~head[1:]
+    spot = np.empty(len(order), np.int64)
+    spot[order] = (at << 32 | place)[order][np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    return [b.column(0).take(pa.array(text)), *(pa.array(x.astype(np.int32)) for x in numbers), *(pa.array(h.view(np.int64)) for h in hashes), pa.array(spot)]
+
+
+_SPAN = "at int, place int, start int, stop int, g long, h long, spot long"
 
 
 def blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, at, place, start, stop, g, h, last, key): the blocks of runs around the anchors that ``wanted`` (id, ats) names.
+    """(id, at, place, start, stop, g, h, spot, last, key): the blocks of runs around the anchors that ``wanted`` (id, ats) names.
 
     Runs begin at the words ``at`` to ``last``; ``g`` and ``h`` are hashes of all the block's words.
     """
     import pyarrow as pa
 
-    names = ["id", "at", "place", "start", "stop", "g", "h", "last", "key"]
+    names = ["id", "at", "place", "start", "stop", "g", "h", "spot", "last", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, SLICE):
@@ -313,20 +329,20 @@ def blocks(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 ends = (last - words.firsts[words.owner[first]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*_spans(b, words, first, last + PASSAGE), pa.array(ends), pa.array(key.view(np.int64))], names=names)
 
-    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long, last int, key long")
+    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, {_SPAN}, last int, key long")
 
 
 def single_runs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, at, place, start, stop, g, h) of the runs of ``PASSAGE`` words that begin at the words that ``wanted`` (id, ats) names."""
+    """(id, at, place, start, stop, g, h, spot) of the runs of ``PASSAGE`` words that begin at the words that ``wanted`` (id, ats) names."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, SLICE):
             words = Words(b.column(1).to_pylist())
             first = np.unique(_asked(b, words))
-            yield pa.RecordBatch.from_arrays(_spans(b, words, first, first + PASSAGE), names=["id", "at", "place", "start", "stop", "g", "h"])
+            yield pa.RecordBatch.from_arrays(_spans(b, words, first, first + PASSAGE), names=["id", "at", "place", "start", "stop", "g", "h", "spot"])
 
-    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, at int, place int, start int, stop int, g long, h long")
+    return _texts(docs, wanted).mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, {_SPAN}")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -335,11 +351,18 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("id", "text", "ats")
 
 
-def _first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` whose ``keys`` occur twice or more, with ``first`` (id, at, place)."""
-    words = F.struct(*keys)
-    firsts = rows.groupBy(words.alias("words")).agg(F.min(F.struct("id", "at", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return spread_join(rows.withColumn("words", words), firsts, "words").drop("words")
+def _first_places(rows: DataFrame) -> DataFrame:
+    """``rows`` of words that occur twice or more, with the first place of all: ``first`` (id), ``first_at``, ``first_place``.
+
+    All rows of one id and the same words have one spot, so the spot at the
+    least id is the least: sums of numbers only, which need no sort. The join
+    is by other expressions than the sums, so that Spark can split a hot value.
+    """
+    firsts = rows.groupBy("g", "h").agg(F.min("id").alias("first"), F.min_by("spot", "id").alias("first_spot"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    side = firsts.select(F.bitwise_not("g").alias("_g"), F.bitwise_not("h").alias("_h"), "first", "first_spot")
+    known = rows.withColumns({"_g": F.bitwise_not("g"), "_h": F.bitwise_not("h")}).join(side, ["_g", "_h"])
+    place = F.col("first_spot").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    return known.withColumns({"first_at": F.shiftright("first_spot", 32).cast("int"), "first_place": place}).drop("_g", "_h", "first_spot")
 
 
 def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str = "text", found: Found | None = None) -> DataFrame:
@@ -352,21 +375,21 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
     listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
     wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
-    whole = freed(blocks(found.docs, wanted).distinct(), "blocks")
-    repeat = (F.col("id") != F.col("first.id")) | (F.col("at") >= F.col("first.at") + PASSAGE)
-    known = materialize(_first_places(whole, ["key", "g", "h"]), "known")
+    whole = freed(blocks(found.docs, wanted), "blocks")
+    repeat = (F.col("id") != F.col("first")) | (F.col("at") >= F.col("first_at") + PASSAGE)
+    known = freed(_first_places(whole), "known")
     # one block of each kind where a minimum stands in several kinds of blocks, and what overlaps it in its own text
-    several = materialize(whole.groupBy("key").agg(F.min(F.struct("g", "h")).alias("one"), F.max(F.struct("g", "h")).alias("other")).where("one <> other").select("key"), "several")
-    mixed = only(whole, several, "key").join(known.where(repeat).select("id", "at", "key").distinct(), ["id", "at", "key"], "left_anti")
+    several = whole.groupBy("key").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("g", "h")]).where("min_g <> max_g OR min_h <> max_h").select("key")
+    mixed = only(whole, materialize(several, "several"), "key").join(known.where(repeat).select("id", "at", "key").distinct(), ["id", "at", "key"], "left_anti")
     wanted = mixed.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "last")))).alias("ats"))
-    runs = freed(single_runs(found.docs, wanted).distinct(), "runs").withColumn("last", F.col("at"))
-    columns = ["id", "at", "last", "place", "start", "stop", "first"]
-    repeats = known.where(repeat).select(columns).unionByName(_first_places(runs, ["g", "h"]).where(repeat).select(columns))
-    mine = Window.partitionBy("id", "first.id").orderBy("at", "last")
+    runs = freed(single_runs(found.docs, wanted), "runs").withColumn("last", F.col("at"))
+    columns = ["id", "at", "last", "place", "start", "stop", "first", "first_place"]
+    repeats = known.where(repeat).select(columns).unionByName(_first_places(runs).where(repeat).select(columns))
+    mine = Window.partitionBy("id", "first").orderBy("at", "last")
     reached = F.max("last").over(mine.rowsBetween(Window.unboundedPreceding, -1))
     joined = repeats.withColumn("gap", F.coalesce((F.col("at") - reached > PASSAGE).cast("int"), F.lit(0))).withColumn("island", F.sum("gap").over(mine.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = joined.groupBy("id", F.col("first.id").alias("keeper_id"), "island").agg(
-        F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("last") - F.min("at") + PASSAGE).cast("int").alias("length"), F.min_by("first.place", "at").alias("keeper_place")
+    spans = joined.groupBy("id", F.col("first").alias("keeper_id"), "island").agg(
+        F.min("place").alias("place"), F.min("start").alias("start"), F.max("stop").alias("stop"), (F.max("last") - F.min("at") + PASSAGE).cast("int").alias("length"), F.min_by("first_place", "at").alias("keeper_place")
     )
     return spans.select("id", "place", "start", "stop", "length", "keeper_id", "keeper_place").unionByName(found.copies)
 
