@@ -75,6 +75,26 @@ def test_moved_line_touches_both_orders(spark):
     assert sorted(r.order_id for r in found.collect()) == [1, 2]
 
 
+def test_impacted_rows_of_every_dimension(spark):
+    """Feeds of one and of two columns, by changed keys and by facts; rows reached twice come once."""
+    schema = "table_name string, before_json string, after_json string, is_valid_event boolean"
+    changes = spark.createDataFrame([("categories", '{"category_id":1}', None, True), ("products", '{"product_id":5}', '{"product_id":6}', True), ("product_variants", None, '{"product_variant_id":51}', True), ("shops", None, '{"shop_id":7}', True)], schema)
+    facts = spark.createDataFrame([(20260101, 9), (None, 9)], "order_date_key int, payment_key long")
+    dimensions = {
+        "dim_category": ("source_category_id long, source_parent_category_id long", [(1, None), (2, 1), (3, 2), (4, None)], {1, 2}),
+        "dim_product": ("source_product_variant_id long, source_product_id long", [(50, 5), (51, 5), (60, 6), (70, 8)], {50, 51, 60}),
+        "dim_shop": ("source_shop_id long, name string", [(7, "a"), (8, "b")], {7}),
+        "dim_location": ("source_address_id long, city string", [(1, "a")], set()),
+        "dim_date": ("date_key int, y int", [(20260101, 1), (20260102, 1)], {20260101}),
+        "dim_payment": ("payment_key long, m string", [(9, "a"), (0, "b")], {9}),
+    }
+    for name, (columns, rows, expected) in dimensions.items():
+        found = impact.impacted_dimension(name, spark.createDataFrame(rows, columns), changes, facts)
+        assert found.columns == [c.split()[0] for c in columns.split(", ")]
+        keys = [r[0] for r in found.collect()]
+        assert sorted(keys) == sorted(expected), name
+
+
 def struct(**kinds):
     return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
