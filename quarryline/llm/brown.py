@@ -41,13 +41,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import IdFilter, arrow_kind, discard, freed, materialize, pick, prepare, release
+from .common import IdFilter, arrow_kind, discard, materialize, pick, prepare, release
 
 FREQUENT = 1024
 FORMS = 256  # a form's number is one byte
 CLASSES = 64  # a class's number is one byte
 FLOOR = 4
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 4 << 20
 WEIGHT = 0.97
 
 
@@ -82,18 +82,27 @@ def listed_places(words, forms: np.ndarray, items) -> np.ndarray:
     return np.where(found >= 0, found, len(items) + 1 + forms.astype(np.int64))
 
 
-def packed(codes: np.ndarray) -> bytes:
-    """Word numbers as compressed bytes, after their number."""
+#: Bytes of a piece of packed data: writers keep buffers of the size of what they are given.
+PIECE = 1 << 16
+
+
+def pieces(data: bytes) -> list[bytes]:
+    return [data[at : at + PIECE] for at in range(0, len(data), PIECE)]
+
+
+def packed(codes: np.ndarray) -> list[bytes]:
+    """Word numbers as compressed bytes, after their number, in pieces."""
     import pyarrow as pa
 
-    return len(codes).to_bytes(8, "little") + pa.compress(codes.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+    return pieces(len(codes).to_bytes(8, "little") + pa.compress(codes.astype("<i4").tobytes(), codec="zstd", asbytes=True))
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(held: list[bytes]) -> np.ndarray:
     import pyarrow as pa
 
+    data = b"".join(held)
     size = 4 * int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), "<i4").astype(np.int64)
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), "<i4")
 
 
 def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -116,7 +125,7 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([flags], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([packed(flat)], pa.binary()), pa.array([list(local)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
+                    pa.array([packed(flat)], pa.list_(pa.binary())), pa.array([list(local)], pa.list_(pa.binary())), pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
                     pa.array([bytes([zlib.crc32(w[-4:]) % FORMS for w in local])], pa.binary()),
                 ],
                 names=["chunk", "ids", "held", "sizes", "codes", "words", "counts", "forms"],
@@ -142,7 +151,7 @@ def chunked(docs: DataFrame, id: str, text: str, folds: int, held: int, chunk_by
     rows = pick(docs, id=id, text=text)
     name = rows.schema["id"].dataType.simpleString()
     out = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(folds)) == held, F.lit(False))
-    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{name}>, held array<boolean>, sizes array<int>, codes binary, words array<binary>, counts array<long>, forms binary")
+    return rows.withColumn("held", out).mapInArrow(run, f"chunk long, ids array<{name}>, held array<boolean>, sizes array<int>, codes array<binary>, words array<binary>, counts array<long>, forms binary")
 
 
 def padded(codes: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -258,9 +267,10 @@ def contexts(chunks: DataFrame, model: ClassModel) -> DataFrame:
                 local = len(places)
                 own = np.append(model.classes[places], model.classes[model.end])
                 seq, firsts = padded(unpacked(codes.as_py()), sizes, local)
-                kinds = own[seq]
-                before = np.concatenate([[0], kinds[:-1]])
+                kinds = own.astype(np.int32)[seq]
+                before = np.concatenate([kinds[:1], kinds[:-1]])
                 before[firsts] = own[-1]
+                # a chunk has few million words, so the products fit 32 bits
                 rare = np.append(places > model.end, False)
                 use = np.flatnonzero(rare[seq] & np.repeat(train, sizes + 1))
                 found, n = np.unique(np.concatenate([seq[use] * 2 * CLASSES + before[use], seq[use] * 2 * CLASSES + CLASSES + kinds[use + 1]]), return_counts=True)
@@ -382,7 +392,7 @@ def coded(chunks: DataFrame, local: DataFrame, words: DataFrame, model: ClassMod
         at = right["place"].to_numpy()
         known[at], kinds[at] = right["c"].to_numpy(), right["class"].to_numpy()
         known[-1] = model.end_count
-        return pa.Table.from_arrays([*(left.column(c).combine_chunks() for c in names[:4]), pa.array([known.astype("<i8").tobytes()], pa.binary()), pa.array([kinds.astype(np.uint8).tobytes()], pa.binary())], names=names)
+        return pa.Table.from_arrays([*(left.column(c).combine_chunks() for c in names[:4]), pa.array([pieces(known.astype("<i8").tobytes())], pa.list_(pa.binary())), pa.array([kinds.astype(np.uint8).tobytes()], pa.binary())], names=names)
 
     # a frequent word has a row in every chunk: its count and class are broadcast, a fixed number of rows
     frequent = words.join(F.broadcast(words.sparkSession.createDataFrame([(bytearray(w),) for w in model.items], "word binary")), "word")
@@ -391,19 +401,29 @@ def coded(chunks: DataFrame, local: DataFrame, words: DataFrame, model: ClassMod
     found = common.select(F.col("chunk").alias("at"), "place", "c", "class").unionByName(rest.select(F.col("chunk").alias("at"), "place", "c", "class"))
     kind = chunks.schema["ids"].dataType.simpleString()
     whole = chunks.select("chunk", "ids", "held", "sizes", "codes", "forms").groupBy("chunk").cogroup(found.groupBy("at"))
-    return whole.applyInArrow(run, f"ids {kind}, held array<boolean>, sizes array<int>, codes binary, known binary, kinds binary")
+    return whole.applyInArrow(run, f"ids {kind}, held array<boolean>, sizes array<int>, codes array<binary>, known array<binary>, kinds binary")
+
+
+#: Tokens that are looked at together, whole texts.
+TOKENS = 1 << 18
 
 
 def sequences(batch) -> Iterator[tuple]:
-    """(ids, held, sizes, first tokens, counts, classes, classes before) of each chunk's tokens, ends included."""
+    """(ids, held, sizes, first tokens, counts, classes, classes before) of some texts' tokens at a time, ends included."""
     for ids, held, sizes, codes, known, kinds in zip(*(batch.column(c) for c in range(6)), strict=True):
-        sizes = np.array(sizes.as_py(), np.int64)
-        known, kinds = np.frombuffer(known.as_py(), "<i8"), np.frombuffer(kinds.as_py(), np.uint8).astype(np.int64)
-        seq, firsts = padded(unpacked(codes.as_py()), sizes, len(known) - 1)
-        own = kinds[seq]
-        before = np.concatenate([[0], own[:-1]])
-        before[firsts] = kinds[-1]
-        yield ids, np.array(held.as_py(), bool), sizes, firsts, known[seq], own, before
+        sizes, held = np.array(sizes.as_py(), np.int64), np.array(held.as_py(), bool)
+        known, kinds = np.frombuffer(b"".join(known.as_py()), "<i8"), np.frombuffer(kinds.as_py(), np.uint8).astype(np.int64)
+        codes = unpacked(codes.as_py())
+        past = np.concatenate([[0], np.cumsum(sizes)])
+        start = 0
+        while start < len(sizes):
+            stop = max(start + 1, int(np.searchsorted(past, past[start] + TOKENS, side="right")) - 1)
+            seq, firsts = padded(codes[past[start] : past[stop]], sizes[start:stop], len(known) - 1)
+            own = kinds[seq]
+            before = np.concatenate([own[:1], own[:-1]])
+            before[firsts] = kinds[-1]
+            yield ids.values.slice(start, stop - start), held[start:stop], sizes[start:stop], firsts, known[seq], own, before
+            start = stop
 
 
 def class_counts(rows: DataFrame) -> np.ndarray:
@@ -443,9 +463,9 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     chunks = materialize(chunked(docs, id, text, folds, held), "chunks")
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     local = listed.select("chunk", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counts = freed(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    counts = materialize(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     model, words = train(chunks, counts, floor)
-    rows = freed(coded(chunks, local.drop("n"), words, model), "coded")
+    rows = materialize(coded(chunks, local.drop("n"), words, model), "coded")
     discard(chunks, counts)
     model = fitted(model, words, rows)
 
@@ -456,7 +476,7 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
                 base = np.log10((count + 1) / (model.train_tokens + model.vocabulary + 1))
                 score = np.log10(probabilities(model, before, own, count))
                 columns = [
-                    ids.values, pa.array(flags), pa.array(sizes + 1), pa.array(np.add.reduceat((count > 0).astype(np.int64), firsts)),
+                    ids, pa.array(flags), pa.array(sizes + 1), pa.array(np.add.reduceat((count > 0).astype(np.int64), firsts)),
                     pa.array(np.full(len(sizes), model.train_tokens, np.int64)), pa.array(np.add.reduceat(base, firsts)), pa.array(np.add.reduceat(score, firsts)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

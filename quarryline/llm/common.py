@@ -8,6 +8,7 @@ import gc
 import os
 import sys
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ BATCH_BYTES = 4 << 20
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package wherever the driver was started, and get batches of bounded bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # only some kinds of calls pass this setting on to their workers, so that each kind would keep workers of its own
+    spark.conf.set("spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled", "false")
     env = spark.sparkContext.environment
     # workers hand freed memory back: large blocks are mapped on their own, at a threshold that stays
     for name, value in {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}.items():
@@ -64,24 +67,30 @@ def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     (writer.partitionBy(by) if by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._quarryline_path = path
+    sweep(spark)
     return out
 
 
+#: Seconds between two sweeps, and when the last one was.
+SWEEP_SECONDS = 2.0
+_swept = 0.0
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that have run, which else wait for the driver to collect its garbage."""
+    global _swept
+    if time.monotonic() - _swept >= SWEEP_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _swept = time.monotonic()
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what :func:`materialize` wrote for frames that nothing reads any more."""
     for df in frames:
         delete_path(df.sparkSession, df._quarryline_path)
 
 
-def freed(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written and read back, after which Spark may drop the shuffle files of plans that are no longer held."""
-    out = materialize(df, label)
-    del df
-    gc.collect()
-    out.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -115,10 +124,6 @@ def integer_ids(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("long"))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def exclusive_prefix(df: DataFrame, order: str, sums: dict[str, str], span: int = 1024) -> DataFrame:
     """Add exclusive prefix sums along the integer column ``order`` (one row per value).
 
@@ -177,6 +182,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         small.write.parquet(after)
         delete_path(spark, path)
         path = after
+        sweep(spark)
     else:
         raise RuntimeError(f"components not contracted after {max_rounds} rounds")
     stars = spark.read.schema(schema).parquet(path)

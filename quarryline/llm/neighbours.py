@@ -3,8 +3,8 @@
 Used by every operator that finds similar rows by shared keys. Rows are
 (key, part, member, payload...); a group is the rows of one (key, part), and a
 comparison turns groups into links (key, a, b) between members. Small keys are one part.
-The rows of a hot key are dealt into parts of about ``block`` rows and linked
-there; then one representative of every component found so far is dealt anew,
+The rows of a hot key are dealt into parts of about ``block`` weight (a row's
+weight is its payload's bytes, or one) and linked there; then one representative of every component found so far is dealt anew,
 until a key's representatives fit one part or fall by less than half, when
 they are compared each with each, part by part. What is left are rows outside
 a key's largest component, which are compared with all rows of the key. So a key that a third of all rows share, most
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import components, discard, materialize, prepare, spread_join
 
-#: Rows of a part of a hot key.
-BLOCK = 512
+#: Bytes of payloads in a part of a hot key, and the least that a row counts.
+BLOCK = 4 << 20
+LEAST = 1 << 10
 #: Groups of at most so many rows are compared as pairs at growing distance, all groups of a batch at once.
 FEW = 16
 
@@ -168,10 +169,15 @@ def as_groups(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"part": F.lit(0).cast("long"), "stray": F.lit(True)})
 
 
+def _weights(rows: DataFrame) -> DataFrame:
+    """(key, n, rows): every key's weight and number of rows."""
+    return rows.groupBy("key").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("rows"))
+
+
 def _parted(rows: DataFrame, sizes: DataFrame, block: int, salt: int) -> DataFrame:
     """Rows of the keys in ``sizes`` (key, n), dealt into parts by a hash."""
     part = F.pmod(F.xxhash64("member", F.lit(salt)), F.ceil(F.col("n") / block))
-    return rows.join(sizes, "key").withColumns({"part": part, "stray": F.lit(True)}).drop("n")
+    return spread_join(rows, sizes.select("key", "n"), "key").withColumns({"part": part, "stray": F.lit(True)}).drop("n")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -182,8 +188,9 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:
     """Parts in which every stray of a key meets every row of the key; ``rows`` have a flag ``stray``."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).alias("all_parts"), F.ceil(F.count_if("stray") / block).alias("stray_parts")).where("stray_parts > 0")
-    sized = rows.join(sizes, "key")
+    strayed = F.sum(F.when(F.col("stray"), F.col("weight")).otherwise(0))
+    sizes = rows.groupBy("key").agg(F.ceil(F.sum("weight") / block).alias("all_parts"), F.ceil(strayed / block).alias("stray_parts")).where("stray_parts > 0")
+    sized = spread_join(rows, sizes, "key")
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     strays = sized.where("stray").withColumns({"i": upto("all_parts"), "j": F.pmod(F.xxhash64("member", F.lit(salt)), "stray_parts")})
     others = sized.withColumns({"i": F.pmod(F.xxhash64("member", F.lit(salt + 1)), "all_parts"), "j": upto("stray_parts"), "stray": F.lit(False)})
@@ -191,14 +198,13 @@ def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:
 
 
 def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: int = BLOCK) -> DataFrame:
-    """Links (key, a, b) that connect what pairwise comparison of every key's rows (key, member, payload) connects.
+    """Links (key, a, b) that connect what pairwise comparison of every key's rows (key, member, weight, payload) connects.
 
     ``compare`` gives stars around a tree's least member. As long as parts have
     no rows in common, a star's centre is the label of its rows.
     """
-    rows = materialize(rows.select("key", "member", *payload), "hot")
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    links = new = materialize(compare(_parted(rows, sizes, block, 0)), "hot-links")
+    rows = materialize(rows.select("key", "member", "weight", *payload), "hot")
+    links = new = materialize(compare(_parted(rows, _weights(rows), block, 0)), "hot-links")
     labels, salt, before, last = rows.withColumn("label", F.col("member")), 0, None, False
     while True:
         salt += 1
@@ -207,7 +213,7 @@ def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: i
         if last:
             break
         reps = labels.where("member = label").drop("label")
-        sizes = materialize(reps.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+        sizes = materialize(_weights(reps).where("rows > 1"), "sizes")
         most, left = sizes.agg(F.max("n"), F.sum("n")).first()
         if most is None:  # every key is one component
             discard(labels)
@@ -235,16 +241,17 @@ def hot_links(rows: DataFrame, payload: list[str], compare: Comparison, block: i
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """Distinct (key, member) rows of keys with two members or more, with ``n``, the key's number of members."""
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return spread_join(rows, sizes, "key")
+    """Distinct (key, member) rows of keys with two members or more."""
+    return spread_join(rows, rows.groupBy("key").count().where("count > 1").select("key"), "key")
 
 
 def key_links(rows: DataFrame, compare: Comparison, payloads: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Links of ``rows`` (key, member, n), a table, whose payloads come by a join on ``member``."""
-    cold = compare(as_groups(rows.where(F.col("n") <= block).join(payloads, "member")))
-    hot = rows.where(F.col("n") > block)
-    if hot.isEmpty():
-        return cold
-    return cold.unionByName(hot_links(hot.join(payloads, "member"), ["payload"], compare, block))
-
+    """Links of ``rows`` (key, member), a table, whose payloads (member, payload) come by a join."""
+    weight = F.greatest(F.octet_length("payload"), F.lit(LEAST)).cast("long")
+    heavy = _weights(rows.join(payloads.select("member", weight.alias("weight")), "member")).where(F.col("n") > block).select("key")
+    heavy = materialize(heavy, "hot-keys")
+    if heavy.isEmpty():
+        return compare(as_groups(rows.join(payloads, "member")))
+    cold = compare(as_groups(rows.join(heavy, "key", "left_anti").join(payloads, "member")))
+    hot = rows.join(heavy, "key", "left_semi").join(payloads.withColumn("weight", weight), "member")
+    return cold.unionByName(hot_links(hot, ["payload"], compare, block))

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import IdFilter, components, discard, freed, materialize, only, pick, plain, prepare, release, sliced, spread_join, without
+from .common import IdFilter, components, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join, without
 from .neighbours import counted, key_links, payload_comparison
 from .words import Words, mix
 
@@ -233,7 +233,7 @@ def jaccard(similarity: float):
 def shared(rows: DataFrame) -> DataFrame:
     """The rows (key, ...) whose key occurs twice or more."""
     # counts are map-side sums of two numbers a key; rows with a key of their own go before they are shuffled
-    twice = freed(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
+    twice = materialize(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
     return only(rows, twice, "key")
 
 
@@ -261,10 +261,10 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     node = F.struct("id", "place")
     own = without(found.lines.select("id", "place", "g", "keys"), found.copied, "id")
     met = materialize(shared(own.select(F.explode("keys").alias("key"), F.col("g").alias("member"))).distinct(), "met")
-    met = freed(counted(met), "met")
+    met = materialize(counted(met), "met")
     asked = only(own.select("id", "place", "g"), met.select(F.col("member").alias("g")).distinct(), "g").groupBy("g").agg(F.min(node).alias("first"))
     wanted = asked.groupBy("first.id").agg(F.collect_list("first.place").alias("places"), F.collect_list("g").alias("members"))
-    sets = freed(line_sets(found.docs, wanted), "line-sets")
+    sets = materialize(line_sets(found.docs, wanted), "line-sets")
     groups = materialize(components(key_links(met, payload_comparison(jaccard(similarity)), sets)), "line-groups")
     discard(met, sets)
     # lines that occur twice or are linked
@@ -375,14 +375,14 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
     listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
     wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
-    whole = freed(blocks(found.docs, wanted), "blocks")
+    whole = materialize(blocks(found.docs, wanted), "blocks")
     repeat = (F.col("id") != F.col("first")) | (F.col("at") >= F.col("first_at") + PASSAGE)
-    known = freed(_first_places(whole), "known")
+    known = materialize(_first_places(whole), "known")
     # one block of each kind where a minimum stands in several kinds of blocks, and what overlaps it in its own text
     several = whole.groupBy("key").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("g", "h")]).where("min_g <> max_g OR min_h <> max_h").select("key")
     mixed = only(whole, materialize(several, "several"), "key").join(known.where(repeat).select("id", "at", "key").distinct(), ["id", "at", "key"], "left_anti")
     wanted = mixed.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "last")))).alias("ats"))
-    runs = freed(single_runs(found.docs, wanted), "runs").withColumn("last", F.col("at"))
+    runs = materialize(single_runs(found.docs, wanted), "runs").withColumn("last", F.col("at"))
     columns = ["id", "at", "last", "place", "start", "stop", "first", "first_place"]
     repeats = known.where(repeat).select(columns).unionByName(_first_places(runs).where(repeat).select(columns))
     mine = Window.partitionBy("id", "first").orderBy("at", "last")
@@ -424,7 +424,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     seen = Found(spark, rows, own, body)
     found = removals(spark, rows, own, body, found=seen).select("id", span)
     if inside:
-        found = freed(found, "cut-lines")
+        found = materialize(found, "cut-lines")
         found = found.unionByName(passages(spark, rows, own, body, found=seen).select("id", span))
     gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("span").alias("spans"))
     gone = materialize(gone, "cuts")

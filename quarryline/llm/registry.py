@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import brown, chat, contamination, impact, keyed, packing, paragraphs, quality, simhash, tokenfiles
-from .common import freed, prepare, table
+from .common import materialize, prepare, table
 
 
 def op1_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All paragraphs and passages that repeat an earlier one, with their runs' words and the one that stays."""
     docs = table(spark, sf_dir, "documents")
     seen = paragraphs.Found(spark, docs)
-    lines = freed(paragraphs.removals(spark, docs, min_run=0, found=seen), "lines").withColumn("kind", F.lit("paragraph"))
+    lines = materialize(paragraphs.removals(spark, docs, min_run=0, found=seen), "lines").withColumn("kind", F.lit("paragraph"))
     inside = paragraphs.passages(spark, docs, found=seen).withColumn("kind", F.lit("passage"))
     found = lines.unionByName(inside)
     return found.withColumnsRenamed({"id": "doc_id", "keeper_id": "keeper_doc_id"})

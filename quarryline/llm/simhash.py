@@ -307,7 +307,8 @@ def sketch_links(distinct: DataFrame, plan: Plan, radius: int, words: int = 1, b
         return compare(as_groups(rows))
     maybe, sure = IdFilter(hot, "key").split(rows, "key")
     cold = sure.unionByName(maybe.join(hot, "key", "left_anti"))
-    found = hot_links(maybe.join(hot, "key", "left_semi"), sketch, sketch_comparison(sketch, radius, 1), block)
+    dense = maybe.join(hot, "key", "left_semi").withColumn("weight", F.lit(1).cast("long"))
+    found = hot_links(dense, sketch, sketch_comparison(sketch, radius, 1), block)
     return compare(as_groups(cold)).unionByName(found)
 
 
@@ -403,7 +404,7 @@ def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, shing
         near = components(sketch_links(distinct.select("fp", "member"), plan, SKETCH_RADIUS, SKETCH))
         groups = materialize(distinct.join(near, distinct.member == near.node).select("member", "c1", "id", "body", F.col("component").alias("key")), "groups")
         sets = materialize(text_shingles(rows, groups.select("id", "body", "member"), shingle), "sets")
-        links = key_links(materialize(counted(groups.select("key", "member")), "compared"), payload_comparison(jaccard(similarity)), sets, 128)
+        links = key_links(materialize(counted(groups.select("key", "member")), "compared"), payload_comparison(jaccard(similarity)), sets)
         found = components(links)
         linked = groups.join(found, groups.member == found.node).select("member", "c1", "component", place.alias("own"))
         roots = linked.groupBy("component").agg(F.min("own").alias("root"))

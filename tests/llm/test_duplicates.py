@@ -73,7 +73,7 @@ def dense(rng, n):
 @pytest.mark.parametrize("block", [100, 10_000])
 def test_hot_keys_are_split_and_exact(spark, block):
     prints = dense(np.random.default_rng(0), 300)
-    rows = spark.createDataFrame([(1, f, f) for f in prints] + [(2, 9999, 0)], "key long, member long, s0 long")
+    rows = spark.createDataFrame([(1, f, 1, f) for f in prints] + [(2, 9999, 1, 0)], "key long, member long, weight long, s0 long")
     links = neighbours.hot_links(rows, ["s0"], neighbours.sketch_comparison(["s0"], 2, 1), block)
     found = {r.node: r.component for r in common.components(links).collect()}
     expected = brute_classes([(f, f) for f in prints], 2)
@@ -85,7 +85,7 @@ def test_hot_key_has_bounded_groups(spark, monkeypatch):
     rng = np.random.default_rng(5)
     members = rng.choice(1 << 62, 30_000, replace=False)
     data = [(int(1 if i % 3 == 0 else 2 + i // 2), int(m), int(rng.integers(0, 3)) if i % 30 else int(m)) for i, m in enumerate(members)]
-    rows = spark.createDataFrame(data, "key long, member long, s0 long")
+    rows = spark.createDataFrame(data, "key long, member long, s0 long").selectExpr("*", "1L AS weight")
     real, sizes = neighbours.sketch_comparison(["s0"], 1, 1), []
 
     def watched(groups):
@@ -100,6 +100,25 @@ def test_hot_key_has_bounded_groups(spark, monkeypatch):
     assert len({found[m] for m in alike if m in found}) == 1 and alike <= set(found)
 
 
+def test_heavy_payloads_are_split(spark):
+    """Sets of a key beyond the part's bytes: the same components as all pairs."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 400)
+    sets = [np.unique(np.where(rng.random(400) < (0.02 if i % 5 else 0.5), rng.integers(0, 1 << 62, 400), base)).astype(np.uint64) for i in range(60)]
+    rows = spark.createDataFrame([(i % 2, i) for i in range(60)], "key long, member long")
+    payloads = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sets)], "member long, payload binary")
+    label = list(range(60))
+    for _ in range(3):
+        for i in range(60):
+            for j in range(i % 2, i, 2):
+                if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                    label[i] = label[j] = min(label[i], label[j])
+    compare = neighbours.payload_comparison(paragraphs.jaccard(0.8))
+    for block in (20_000, 1 << 30):
+        found = {r.node: r.component for r in common.components(neighbours.key_links(rows, compare, payloads, block)).collect()}
+        assert [found.get(i, i) for i in range(60)] == label and len(set(label)) < 40
+
+
 def test_frequent_keys_are_found(spark, monkeypatch):
     monkeypatch.setattr(simhash, "FREQUENT", 2)
     prints = dense(np.random.default_rng(1), 200)
