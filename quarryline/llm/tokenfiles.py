@@ -74,7 +74,7 @@ def write_flat(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer, width, True, ENTRIES // 2)
+        encode = encoder(tokenizer, width, True, ENTRIES // 4)
         last = np.array([end], encode.dtype).tobytes()
         number = TaskContext.get().partitionId() << SPAN_BITS
         held, size = [], 0
