@@ -47,7 +47,7 @@ FREQUENT = 1024
 FORMS = 256  # a form's number is one byte
 CLASSES = 64  # a class's number is one byte
 FLOOR = 4
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 WEIGHT = 0.97
 
 
@@ -254,7 +254,10 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = 12) -> np.
 
 
 def contexts(chunks: DataFrame, model: ClassModel) -> DataFrame:
-    """(word, at, n): of every local word that is not frequent, how often which classes stand before it (``at``) and after it (``CLASSES + at``) in training texts."""
+    """(word, near): of every local word that is not frequent, the classes before it (as they are) and after it (plus ``CLASSES``) in training texts.
+
+    ``near`` is pairs of bytes, a class and a count; a count above 255 takes several pairs.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,29 +277,34 @@ def contexts(chunks: DataFrame, model: ClassModel) -> DataFrame:
                 rare = np.append(places > model.end, False)
                 use = np.flatnonzero(rare[seq] & np.repeat(train, sizes + 1))
                 found, n = np.unique(np.concatenate([seq[use] * 2 * CLASSES + before[use], seq[use] * 2 * CLASSES + CLASSES + kinds[use + 1]]), return_counts=True)
+                several = -(-n // 255)
+                found, n = np.repeat(found, several), np.repeat(n, several)
+                last = np.cumsum(several) - 1
+                n[last] -= 255 * (several - 1)
+                full = np.ones(len(n), bool)
+                full[last] = False
+                n[full] = 255
                 word, at = np.divmod(found, 2 * CLASSES)
+                pairs = np.column_stack([at, n]).astype(np.uint8)
                 cuts = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
                 named = words.values.take(pa.array(word[cuts]))
                 ends = np.append(cuts, len(word))
                 for part in range(0, len(cuts), 8192):
                     stop = min(part + 8192, len(cuts))
-                    a, z = ends[part], ends[stop]
-                    offsets = (ends[part : stop + 1] - a).astype(np.int32)
-                    lists = [
-                        pa.Array.from_buffers(pa.binary(), stop - part, [None, pa.py_buffer((offsets * width).astype(np.int32).tobytes()), pa.py_buffer(data[a:z].astype(kind).tobytes())])
-                        for data, kind, width in ((at, np.uint8, 1), (n, "<u4", 4))
-                    ]
-                    yield pa.RecordBatch.from_arrays([named.slice(part, stop - part), *lists], names=["word", "at", "n"])
+                    offsets = (2 * (ends[part : stop + 1] - ends[part])).astype(np.int32)
+                    near = pa.Array.from_buffers(pa.binary(), stop - part, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs[ends[part] : ends[stop]].tobytes())])
+                    yield pa.RecordBatch.from_arrays([named.slice(part, stop - part), near], names=["word", "near"])
 
-    return chunks.select("held", "sizes", "codes", "words", "forms").mapInArrow(run, "word binary, at binary, n binary")
+    return chunks.select("held", "sizes", "codes", "words", "forms").mapInArrow(run, "word binary, near binary")
 
 
 def chosen(rows: DataFrame, model: ClassModel, share: np.ndarray) -> DataFrame:
-    """(word, class): the class under which each word's occurrences are likeliest, from the rows of :func:`contexts`.
+    """(name, class): the class under which each word's occurrences are likeliest, from (name, near) of :func:`contexts`.
 
     For class k that is the sum of log p(next class | k) and log p(k | class
     before) over the occurrences, less count * log(tokens of k); ``share`` are
-    the classes' tokens. Rows of a word are sums, added as they come.
+    the classes' tokens. Rows of a word are sums, added as they come. Words are
+    named by a hash of 64 bits, which only their class depends on.
     """
     import pyarrow as pa
 
@@ -304,33 +312,32 @@ def chosen(rows: DataFrame, model: ClassModel, share: np.ndarray) -> DataFrame:
     size = np.log(np.maximum(share, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def best(words: list, sums: np.ndarray) -> pa.RecordBatch:
+        def best(names: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
             score = sums[:, CLASSES:] @ logs.T + sums[:, :CLASSES] @ logs - sums[:, :CLASSES].sum(axis=1)[:, None] * size
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(score.argmax(axis=1).astype(np.int32))], names=["word", "class"])
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(score.argmax(axis=1).astype(np.int32))], names=["name", "class"])
 
-        word, total = None, np.zeros((1, 2 * CLASSES))
+        name, total = None, np.zeros((1, 2 * CLASSES))
         for whole in batches:
             for start in range(0, whole.num_rows, 4096):
                 b = whole.slice(start, 4096)
-                words = b.column(0).to_pylist()
-                cuts = [i for i in range(len(words)) if not i or words[i] != words[i - 1]]
-                group = np.repeat(np.arange(len(cuts)), np.diff([*cuts, len(words)]))
-                sizes = [len(x) for x in b.column(1).to_pylist()]
-                at = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).astype(np.int64)
-                n = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u4")
-                sums = np.bincount(np.repeat(group, sizes) * 2 * CLASSES + at, n, 2 * CLASSES * len(cuts)).reshape(-1, 2 * CLASSES)
-                names = [words[i] for i in cuts]
-                if names[0] == word:
+                names, near = b.column(0).to_numpy(), b.column(1).to_pylist()
+                cuts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+                group = np.repeat(np.arange(len(cuts)), np.diff(np.append(cuts, len(names))))
+                pairs = np.frombuffer(b"".join(near), np.uint8).reshape(-1, 2).astype(np.int64)
+                own = np.repeat(group, [len(x) // 2 for x in near])
+                sums = np.bincount(own * 2 * CLASSES + pairs[:, 0], pairs[:, 1], 2 * CLASSES * len(cuts)).reshape(-1, 2 * CLASSES)
+                names = names[cuts]
+                if name is not None and names[0] == name:
                     sums[0] += total[0]
-                elif word is not None:
-                    names, sums = [word, *names], np.vstack([total, sums])
+                elif name is not None:
+                    names, sums = np.append(name, names), np.vstack([total, sums])
                 if len(names) > 1:
                     yield best(names[:-1], sums[:-1])
-                word, total = names[-1], sums[-1:].copy()
-        if word is not None:
-            yield best([word], total)
+                name, total = names[-1], sums[-1:].copy()
+        if name is not None:
+            yield best(np.array([name]), total)
 
-    return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word binary, class int")
+    return rows.repartition("name").sortWithinPartitions("name").mapInArrow(run, "name long, class int")
 
 
 def smoothed(matrix: np.ndarray) -> np.ndarray:
@@ -357,13 +364,13 @@ def train(chunks: DataFrame, counts: DataFrame, floor: int = FLOOR) -> tuple[Cla
     frequent = counts.sparkSession.createDataFrame([(bytearray(w), i) for w, i in items.items()], "word binary, item int")
     # the frequent words are a fixed number of rows
     listed = counts.join(F.broadcast(frequent), "word", "left")
-    enough = listed.where((F.col("c") >= floor) & F.col("item").isNull()).select("word")
-    own = chosen(IdFilter(enough, "word").maybe(contexts(chunks, model), "word"), model, matrix.sum(axis=0))
-    own = materialize(own.join(enough, "word", "left_semi"), "classes")
+    enough = (F.col("c") >= floor) & F.col("item").isNull()
+    near = IdFilter(listed.where(enough).select("word"), "word").maybe(contexts(chunks, model), "word")
+    own = materialize(chosen(near.select(F.xxhash64("word").alias("name"), "near"), model, matrix.sum(axis=0)), "classes")
     found = F.array(*[F.lit(int(c)) for c in classes])
     form = F.pmod(F.crc32(F.substring("word", -4, 4)), F.lit(FORMS)).cast("int")
     place = F.coalesce(F.col("item"), form + len(items) + 1)
-    named = listed.join(own, "word", "left").withColumn("class", F.coalesce("class", F.get(found, place)))
+    named = listed.withColumn("name", F.when(enough, F.xxhash64("word"))).join(own, "name", "left").withColumn("class", F.coalesce("class", F.get(found, place)))
     return model, materialize(named.select("word", "c", "class"), "words")
 
 

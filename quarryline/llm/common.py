@@ -141,16 +141,17 @@ def exclusive_prefix(df: DataFrame, order: str, sums: dict[str, str], span: int
     return out.drop("_span", *[f"_b_{n}" for n in sums])
 
 
-def spread_join(rows: DataFrame, side: DataFrame, column: str, how: str = "inner") -> DataFrame:
-    """``rows`` joined with a ``side`` of one row a value of ``column``, also where a value has very many rows.
+def spread_join(rows: DataFrame, side: DataFrame, columns: str | list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with a ``side`` of one row a value of ``columns``, also where a value has very many rows.
 
-    A side that was aggregated by ``column`` would lend the join its
+    A side that was aggregated by the columns would lend the join its
     partitioning, and a hot value's rows would all be one task's. A key of its
     own makes both sides exchange for the join, whose skewed partitions Spark
     then splits.
     """
+    columns = [columns] if isinstance(columns, str) else columns
     key = "_quarryline_key"
-    return rows.withColumn(key, F.struct(column)).join(side.withColumn(key, F.struct(column)).drop(column), key, how).drop(key)
+    return rows.withColumn(key, F.struct(*columns)).join(side.withColumn(key, F.struct(*columns)).drop(*columns), key, how).drop(key)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

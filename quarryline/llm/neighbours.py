@@ -183,7 +183,7 @@ def _parted(rows: DataFrame, sizes: DataFrame, block: int, salt: int) -> DataFra
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` (key, label, ...) after stars (key, a, b) between labels: the star's centre instead of ``b``."""
     moved = links.select("key", F.col("b").alias("label"), F.col("a").alias("to")).distinct()
-    return labels.join(moved, ["key", "label"], "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+    return spread_join(labels, moved, ["key", "label"], "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
 def _crossed(rows: DataFrame, block: int, salt: int) -> DataFrame:

@@ -94,19 +94,40 @@ def test_words_choose_the_likeliest_class(spark):
     share = rng.integers(1, 900, k).astype(float)
     rows, sums = [], {}
     for w in range(300):
-        word = f"w{w}".encode()
         for _ in range(rng.integers(1, 5)):  # one row a chunk
-            at, n = rng.choice(2 * k, 6, replace=False), rng.integers(1, 400, 6)
-            rows.append((word, at.astype(np.uint8).tobytes(), n.astype("<u4").tobytes()))
-            np.add.at(sums.setdefault(word, np.zeros(2 * k)), at, n)
-    found = brown.chosen(spark.createDataFrame(rows, "word binary, at binary, n binary"), model, share).collect()
+            at, n = rng.choice(2 * k, 6, replace=False), rng.integers(1, 256, 6)
+            rows.append((w, np.column_stack([at, n]).astype(np.uint8).tobytes()))
+            np.add.at(sums.setdefault(w, np.zeros(2 * k)), at, n)
+    found = brown.chosen(spark.createDataFrame(rows, "name long, near binary"), model, share).collect()
     assert len(found) == 300
     for r in found:
-        s = sums[bytes(r.word)]
+        s = sums[r.name]
         scores = [sum(s[k + j] * math.log(model.transition[c, j]) + s[j] * (math.log(model.transition[j, c]) - math.log(share[c])) for j in range(k)) for c in range(k)]
         assert scores[r["class"]] >= max(scores) - 1e-6
 
 
+def test_counts_of_neighbours(spark):
+    """Neighbours' classes over a chunk, counts above 255 in several pairs."""
+    docs = frame(spark, [(3, "x " * 700 + "b c"), (10, "a rare x b"), (11, "")])
+    common.prepare(spark)
+    chunks = brown.chunked(docs, "doc_id", "text", 7, 10)
+    classes = np.arange(2 + 1 + brown.FORMS) % brown.CLASSES
+    model = brown.ClassModel({b"b": 0, b"a": 1}, classes, None, None, None, 0, 0, 0, 0)
+    found = Counter()
+    for r in brown.contexts(chunks, model).collect():
+        for at, n in zip(r.near[::2], r.near[1::2], strict=True):
+            found[bytes(r.word), at] += n
+    kind = lambda w: int(classes[{"b": 0, "a": 1, None: 2}.get(w, 3 + zlib.crc32((w or "").encode()[-4:]) % brown.FORMS)])
+    expected = Counter()
+    for text in ("x " * 700 + "b c", "a rare x b"):
+        words = [None, *text.split(), None]
+        for before, w, after in zip(words, words[1:], words[2:], strict=False):
+            if w not in ("a", "b", None):
+                expected[w.encode(), kind(before)] += 1
+                expected[w.encode(), brown.CLASSES + kind(after)] += 1
+    assert found == expected and max(found.values()) > 600
+
+
 def test_small_chunks_give_the_same(spark, edge_rows, monkeypatch):
     rows = frame(spark, edge_rows)
     whole = sorted((str(r.doc_id), r.n_tokens, round(r.score, 9)) for r in brown.scored_documents(spark, rows).collect())
