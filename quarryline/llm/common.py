@@ -164,30 +164,37 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     contracted after ``max_rounds`` is an error.
     """
     spark = edges.sparkSession
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    schema = pairs.schema
-    path = fresh_path(spark, "edges")
-    pairs.write.parquet(path)
-    for _ in range(max_rounds):
-        current = spark.read.schema(schema).parquet(path)
+
+    def stored(pairs: DataFrame) -> tuple[str, DataFrame]:
+        path = fresh_path(spark, "edges")
+        pairs.write.parquet(path)
+        sweep(spark)
+        return path, spark.read.schema(pairs.schema).parquet(path)
+
+    def small(pairs: DataFrame) -> DataFrame:
+        """Every smaller neighbour of a node linked to the least of them."""
+        least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+        return spread_join(pairs, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
+
+    def large(pairs: DataFrame) -> DataFrame:
+        """Every greater neighbour of a node linked to the least of its neighbours and itself."""
+        both = pairs.select(F.col("u").alias("x"), F.col("v").alias("y")).union(pairs.select(F.col("v").alias("x"), F.col("u").alias("y")))
+        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        return spread_join(both, low, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u <> v")
+
+    # a node has a link for many of the keys it shares: the first small star leaves it one
+    path, current = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    for number in range(max_rounds):
         # stars: nobody has two smaller neighbours, or a smaller and a greater one
         ends = current.select(F.col("u").alias("x"), F.lit(1).alias("low"), F.lit(0).alias("high")).union(current.select("v", F.lit(0), F.lit(1)))
         if ends.groupBy("x").agg(F.sum("low").alias("low"), F.max("high").alias("high")).where("low > 1 OR (low = 1 AND high = 1)").isEmpty():
             break
-        both = current.select(F.col("u").alias("x"), F.col("v").alias("y")).union(current.select(F.col("v").alias("x"), F.col("u").alias("y")))
-        low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = spread_join(both, low, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u <> v")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = spread_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
-        after = fresh_path(spark, "edges")
-        small.write.parquet(after)
-        delete_path(spark, path)
-        path = after
-        sweep(spark)
+        before = path
+        path, current = stored(small(large(current) if number else current))
+        delete_path(spark, before)
     else:
         raise RuntimeError(f"components not contracted after {max_rounds} rounds")
-    stars = spark.read.schema(schema).parquet(path)
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def plain(docs: DataFrame) -> tuple[DataFrame, list[str]]:
