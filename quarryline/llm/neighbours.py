@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, materialize, prepare, spread_join
+from .common import IdFilter, components, discard, materialize, prepare, spread_join
 
 #: Bytes of payloads in a part of a hot key, and the least that a row counts.
 BLOCK = 4 << 20
@@ -255,3 +255,15 @@ def key_links(rows: DataFrame, compare: Comparison, payloads: DataFrame, block:
     cold = compare(as_groups(rows.join(heavy, "key", "left_anti").join(payloads, "member")))
     hot = rows.join(heavy, "key", "left_semi").join(payloads.withColumn("weight", weight), "member")
     return cold.unionByName(hot_links(hot, ["payload"], compare, block))
+
+
+def payload_links(rows: DataFrame, compare: Comparison, block: int = BLOCK) -> DataFrame:
+    """Links of ``rows`` (key, member, payload), a table: payloads are shuffled once, to their groups. Rows may occur twice."""
+    sized = rows.withColumn("weight", F.greatest(F.octet_length("payload"), F.lit(LEAST)).cast("long"))
+    heavy = materialize(_weights(sized).where(F.col("n") > block).select("key"), "hot-keys")
+    if heavy.isEmpty():
+        return compare(as_groups(rows))
+    maybe, sure = IdFilter(heavy, "key").split(sized, "key")
+    cold = compare(as_groups(sure.unionByName(maybe.join(heavy, "key", "left_anti"))))
+    hot = maybe.join(heavy, "key", "left_semi").dropDuplicates(["key", "member"])
+    return cold.unionByName(hot_links(hot, ["payload"], compare, block))

@@ -45,8 +45,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import IdFilter, components, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join, without
-from .neighbours import counted, key_links, payload_comparison
+from .common import IdFilter, components, delete_path, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join, without
+from .neighbours import payload_comparison, payload_links
 from .words import Words, mix
 
 SHINGLE = 5
@@ -59,6 +59,9 @@ ANCHOR = 25
 #: Texts of a slice of a batch.
 SLICE = 128
 LINE, TEXT = 0, 1
+#: Bits of a key that are counted (chance leaves one key of a thousand in where 10^9 are counted), bits that name its bucket, and keys that a task sorts at a time.
+KEY_BITS, BUCKET_BITS = 40, 10
+SORTED_KEYS = 1 << 20
 
 
 def tune(permutations: int = PERMUTATIONS, similarity: float = SIMILARITY, recall: float = 0.995) -> tuple[int, int]:
@@ -187,7 +190,7 @@ def scan(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(member, payload): shingle sets of the lines that ``wanted`` (id, places, members) names."""
+    """(keys, member, payload): shingle sets of the lines that ``wanted`` (id, lines of place, member and keys) names, once for every row that holds one."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,15 +200,17 @@ def line_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             if not len(lines.text):
                 continue
             named = words.runs[0].ranges(lines.first, lines.last).view(np.int64)
-            asked = [set(zip(p, m, strict=True)) for p, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            here = np.array([(p, m) in asked[t] for t, p, m in zip(lines.text.tolist(), lines.place.tolist(), named.tolist(), strict=True)])
+            asked = [{(x["place"], x["member"]): x["keys"] for x in a} for a in b.column(1).to_pylist()]
+            keys = [asked[t].get((p, m)) for t, p, m in zip(lines.text.tolist(), lines.place.tolist(), named.tolist(), strict=True)]
+            here = np.array([k is not None for k in keys])
             sets = words.shingle_sets(lines.first[here], lines.last[here], SHINGLE)
-            yield pa.RecordBatch.from_arrays([pa.array(named[here]), pa.array([s.tobytes() for s in sets], pa.binary())], names=["member", "payload"])
+            keys = pa.array([k for k in keys if k is not None], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(named[here]), pa.array([s.tobytes() for s in sets], pa.binary())], names=["keys", "member", "payload"])
 
     wanted = materialize(wanted, "wanted")
     # only texts that may be asked for are shuffled
-    some = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("text", "places", "members")
-    return some.mapInArrow(run, "member long, payload binary").dropDuplicates(["member"])
+    some = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, "id").select("text", "lines")
+    return some.mapInArrow(run, "keys array<long>, member long, payload binary")
 
 
 def jaccard(similarity: float):
@@ -230,11 +235,88 @@ def jaccard(similarity: float):
     return relate
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """The rows (key, ...) whose key occurs twice or more."""
-    # counts are map-side sums of two numbers a key; rows with a key of their own go before they are shuffled
-    twice = materialize(rows.select("key").groupBy("key").count().where("count > 1").select("key"), "shared-keys")
-    return only(rows, twice, "key")
+def packed_keys(keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, data) of ascending keys of ``KEY_BITS``: every bucket's steps from key to key, byte by byte of equal worth."""
+    low = KEY_BITS - BUCKET_BITS
+    bucket = (keys >> np.uint64(low)).astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else np.zeros(0, np.int64)
+    for start, stop in zip(cuts, np.append(cuts[1:], len(keys)), strict=True):
+        steps = np.diff(keys[start:stop], prepend=np.uint64(bucket[start] << low))
+        # small steps leave the upper bytes zero, which shuffles compress to nothing
+        yield int(bucket[start]), steps.view(np.uint8).reshape(-1, 8)[:, : -(-low // 8)].T.tobytes()
+
+
+def unpacked_keys(bucket: int, data: bytes) -> np.ndarray:
+    low = KEY_BITS - BUCKET_BITS
+    planes = np.frombuffer(data, np.uint8).reshape(-(-low // 8), -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, : len(planes)] = planes.T
+    return np.cumsum(steps.view(np.uint64).ravel()) + np.uint64(bucket << low)
+
+
+def different(met: DataFrame) -> DataFrame:
+    """The distinct rows (key, member) of one key for every set of two members or more: sets that share many bands are compared once."""
+    digests = [F.bit_xor(F.xxhash64("member", F.lit(salt))).alias(f"d{salt}") for salt in (0, 1)]
+    sets = met.groupBy("key").agg(*digests, F.count(F.lit(1)).alias("n")).where("n > 1")
+    return spread_join(met, sets.groupBy("d0", "d1", "n").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def repeated(lists: DataFrame) -> DataFrame:
+    """(key): the keys, cut to ``KEY_BITS``, that occur twice or more in a column of lists of longs.
+
+    A task sends every key once, or twice where it met it more often, as the
+    step from the one before it in its bucket: about three bytes a key, while a
+    row with a count takes twelve. A bucket is looked at as a whole.
+    """
+    import pyarrow as pa
+
+    mask = np.uint64((1 << KEY_BITS) - 1)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def sent() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            bucket, data = zip(*packed_keys(np.repeat(keys, np.minimum(n, 2))), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                keys = b.column(0).slice(at, 4096).flatten().to_numpy(zero_copy_only=False).view(np.uint64) & mask
+                if len(keys):
+                    held.append(keys)
+                    size += len(keys)
+                if size >= SORTED_KEYS:
+                    yield sent()
+                    held, size = [], 0
+        if held:
+            yield sent()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def twice(bucket: int, held: list) -> pa.RecordBatch:
+            keys = np.sort(np.concatenate([unpacked_keys(bucket, x) for x in held]))
+            return pa.RecordBatch.from_arrays([pa.array(np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64))], names=["key"])
+
+        last, held = None, []
+        for b in batches:
+            for bucket, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if held and bucket != last:
+                    yield twice(last, held)
+                    held = []
+                last = bucket
+                held.append(data)
+        if held:
+            yield twice(last, held)
+
+    prepare(lists.sparkSession)
+    return lists.mapInArrow(send, "bucket int, data binary").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "key long")
+
+
+def shared(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """The rows (key, ...) whose key, cut to ``KEY_BITS``, occurs twice or more; ``lists`` holds the rows' keys as one column of lists."""
+    # rows with a key of their own go before they are shuffled
+    twice = materialize(repeated(lists), "shared-keys")
+    return only(rows.withColumn("key", F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))), twice, "key")
 
 
 class Found:
@@ -260,13 +342,17 @@ def removals(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     found = found or Found(spark, docs, id, text, similarity)
     node = F.struct("id", "place")
     own = without(found.lines.select("id", "place", "g", "keys"), found.copied, "id")
-    met = materialize(shared(own.select(F.explode("keys").alias("key"), F.col("g").alias("member"))).distinct(), "met")
-    met = materialize(counted(met), "met")
-    asked = only(own.select("id", "place", "g"), met.select(F.col("member").alias("g")).distinct(), "g").groupBy("g").agg(F.min(node).alias("first"))
-    wanted = asked.groupBy("first.id").agg(F.collect_list("first.place").alias("places"), F.collect_list("g").alias("members"))
+    met = materialize(shared(own.select(F.explode("keys").alias("key"), F.col("g").alias("member")), own.select("keys")).distinct(), "met")
+    # a line has few keys: one for every band
+    members = materialize(different(met).groupBy(F.col("member").alias("g")).agg(F.collect_list("key").alias("keys")), "members")
+    discard(met)
+    asked = only(own.select("id", "place", "g"), members.select("g"), "g").groupBy("g").agg(F.min(node).alias("first")).join(members, "g")
+    wanted = asked.groupBy("first.id").agg(F.collect_list(F.struct("first.place", F.col("g").alias("member"), "keys")).alias("lines"))
     sets = materialize(line_sets(found.docs, wanted), "line-sets")
-    groups = materialize(components(key_links(met, payload_comparison(jaccard(similarity)), sets)), "line-groups")
-    discard(met, sets)
+    discard(members)
+    links = payload_links(sets.select(F.explode("keys").alias("key"), "member", "payload"), payload_comparison(jaccard(similarity)))
+    groups = materialize(components(links), "line-groups")
+    discard(sets)
     # lines that occur twice or are linked
     twice = found.lines.groupBy("g").count().where("count > 1").select("g")
     touched = materialize(twice.union(groups.select("node")).distinct(), "touched")
@@ -374,7 +460,7 @@ def passages(spark: SparkSession, docs: DataFrame, id: str = "doc_id", text: str
     found = found or Found(spark, docs, id, text)
     own = without(found.texts.select("id", "keys", "ats"), found.copied, "id")
     listed = own.select("id", F.explode(F.arrays_zip("keys", "ats")).alias("a")).select(F.col("a.keys").alias("key"), "id", F.col("a.ats").alias("at"))
-    wanted = shared(listed).groupBy("id").agg(F.collect_set("at").alias("ats"))
+    wanted = shared(listed, own.select("keys")).groupBy("id").agg(F.collect_set("at").alias("ats"))
     whole = materialize(blocks(found.docs, wanted), "blocks")
     repeat = (F.col("id") != F.col("first")) | (F.col("at") >= F.col("first_at") + PASSAGE)
     known = materialize(_first_places(whole), "known")
@@ -425,6 +511,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     found = removals(spark, rows, own, body, found=seen).select("id", span)
     if inside:
         found = materialize(found, "cut-lines")
+        # passages are found by the texts' rows alone
+        delete_path(spark, f"{seen.rows._quarryline_path}/kind={LINE}")
         found = found.unionByName(passages(spark, rows, own, body, found=seen).select("id", span))
     gone = found.groupBy(F.col("id").alias("gone")).agg(F.collect_set("span").alias("spans"))
     gone = materialize(gone, "cuts")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import IdFilter, components, discard, materialize, only, pick, plain, prepare, release, sliced, spread_join
-from .neighbours import as_groups, counted, hot_links, key_links, payload_comparison, sketch_comparison
+from .neighbours import as_groups, hot_links, payload_comparison, payload_links, sketch_comparison
 from .paragraphs import jaccard
 from .words import Words
 
@@ -372,17 +372,17 @@ def text_prints(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
 
 
 def text_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(member, payload): shingle sets of the texts (id, body, text) that ``wanted`` (id, body, member) names."""
+    """(key, member, payload): shingle sets of the texts (id, body, text) that ``wanted`` (id, body, key, member) names, once for every row that holds one."""
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, 256):
             words = Words(b.column(0).to_pylist())
             sets = words.shingle_sets(words.firsts[:-1], words.firsts[1:], shingle)
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([s.tobytes() for s in sets], pa.binary())], names=["member", "payload"])
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "member", "payload"])
 
     some = IdFilter(wanted, "id").maybe(docs, "id").join(wanted, ["id", "body"])
-    return some.select("text", "member").mapInArrow(run, "member long, payload binary").dropDuplicates(["member"])
+    return some.select("text", "key", "member").mapInArrow(run, "key long, member long, payload binary")
 
 
 def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, shingle: int, bits: int, id: str, text: str) -> DataFrame:
@@ -403,9 +403,8 @@ def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, shing
         plan = planned(distinct, total, lambda sample, n: wide_plan(sample, n, similarity=similarity))
         near = components(sketch_links(distinct.select("fp", "member"), plan, SKETCH_RADIUS, SKETCH))
         groups = materialize(distinct.join(near, distinct.member == near.node).select("member", "c1", "id", "body", F.col("component").alias("key")), "groups")
-        sets = materialize(text_shingles(rows, groups.select("id", "body", "member"), shingle), "sets")
-        links = key_links(materialize(counted(groups.select("key", "member")), "compared"), payload_comparison(jaccard(similarity)), sets)
-        found = components(links)
+        sets = materialize(text_shingles(rows, groups.select("id", "body", "key", "member"), shingle), "sets")
+        found = components(payload_links(sets, payload_comparison(jaccard(similarity))))
         linked = groups.join(found, groups.member == found.node).select("member", "c1", "component", place.alias("own"))
         roots = linked.groupBy("component").agg(F.min("own").alias("root"))
         linked = materialize(spread_join(linked, roots, "component").select("member", "c1", "root"), "linked")
@@ -413,7 +412,9 @@ def similar_texts(spark: SparkSession, docs: DataFrame, similarity: float, shing
         discard(sets, groups)
     named = prints.select("id", "body", F.col("c0").alias("member"), "c1")
     classed = only(named, copied.select("member").distinct(), "member")
-    return classed.join(copied, ["member", "c1"]).select("id", "body", "root")
+    out = materialize(classed.join(copied, ["member", "c1"]).select("id", "body", "root"), "classed")
+    discard(prints, distinct)
+    return out
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:

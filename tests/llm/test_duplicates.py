@@ -402,3 +402,40 @@ def test_unfinished_components_are_an_error(spark):
     edges = spark.range(60).selectExpr("id AS a", "id + 1 AS b")
     with pytest.raises(RuntimeError, match="2 rounds"):
         common.components(edges, max_rounds=2)
+
+
+def test_keys_that_occur_twice():
+    rng = np.random.default_rng(8)
+    keys = np.sort(np.append(rng.integers(0, 1 << paragraphs.KEY_BITS, 5000, dtype=np.uint64), np.array([0, 0, (1 << paragraphs.KEY_BITS) - 1], np.uint64)))
+    packed = list(paragraphs.packed_keys(keys))
+    assert np.array_equal(np.concatenate([paragraphs.unpacked_keys(*x) for x in packed]), keys)
+
+
+def shuffled(spark, work):
+    """Bytes that the stages of ``work()`` wrote to shuffles."""
+    store, last = spark.sparkContext._jsc.sc().statusStore(), spark.range(1).count()
+    jvm = spark.sparkContext._jvm
+
+    def stages():
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        found = store.stageList(jvm.java.util.ArrayList(), False, False, none, jvm.java.util.ArrayList())
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before = max(stages())
+    work()
+    return sum(n for stage, n in stages().items() if stage > before + last - 1)
+
+
+def test_repeats_shuffle_little(spark):
+    """Keys and shingle sets of lines are most of what the searches move."""
+    rng = random.Random(21)
+    lines = [prose(9000 + i, 40, 5000) for i in range(1500)]
+    rows = []
+    for d in range(1500):
+        edited = lines[rng.randrange(300)].split()
+        edited[rng.randrange(40)] = "new"
+        rows.append((d, "\n".join([lines[d], " ".join(edited), *(prose(20_000 + 8 * d + i, 40, 5000) for i in range(6))])))
+    size = sum(len(t) for _, t in rows)
+    docs = frame(spark, rows)
+    moved = shuffled(spark, lambda: paragraphs.removals(spark, docs).count())
+    assert moved < 1.25 * size
