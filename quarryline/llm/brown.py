@@ -397,7 +397,7 @@ def coded(chunks: DataFrame, local: DataFrame, words: DataFrame, model: ClassMod
         known, places = np.zeros(len(forms) + 1, np.int64), np.append(model.end + 1 + forms, model.end)
         kinds = model.classes[places]
         at = right["place"].to_numpy()
-        known[at], kinds[at] = right["c"].to_numpy(), right["class"].to_numpy()
+        known[at], kinds[at] = np.divmod(right["known"].to_numpy(), CLASSES)
         known[-1] = model.end_count
         return pa.Table.from_arrays([*(left.column(c).combine_chunks() for c in names[:4]), pa.array([pieces(known.astype("<i8").tobytes())], pa.list_(pa.binary())), pa.array([kinds.astype(np.uint8).tobytes()], pa.binary())], names=names)
 
@@ -405,10 +405,14 @@ def coded(chunks: DataFrame, local: DataFrame, words: DataFrame, model: ClassMod
     frequent = words.join(F.broadcast(words.sparkSession.createDataFrame([(bytearray(w),) for w in model.items], "word binary")), "word")
     common = local.join(F.broadcast(frequent), "word")
     rest = local.join(F.broadcast(frequent.select("word")), "word", "left_anti").join(words, "word")
-    found = common.select(F.col("chunk").alias("at"), "place", "c", "class").unionByName(rest.select(F.col("chunk").alias("at"), "place", "c", "class"))
+    known = (F.col("c") * CLASSES + F.col("class")).alias("known")
+    # as a table, so that the shuffles of the join by word are gone before those by chunk begin
+    found = materialize(common.select(F.col("chunk").alias("at"), "place", known).unionByName(rest.select(F.col("chunk").alias("at"), "place", known)), "found")
     kind = chunks.schema["ids"].dataType.simpleString()
     whole = chunks.select("chunk", "ids", "held", "sizes", "codes", "forms").groupBy("chunk").cogroup(found.groupBy("at"))
-    return whole.applyInArrow(run, f"ids {kind}, held array<boolean>, sizes array<int>, codes array<binary>, known array<binary>, kinds binary")
+    out = materialize(whole.applyInArrow(run, f"ids {kind}, held array<boolean>, sizes array<int>, codes array<binary>, known array<binary>, kinds binary"), "coded")
+    discard(found)
+    return out
 
 
 #: Tokens that are looked at together, whole texts.
@@ -472,8 +476,9 @@ def language_scores(spark: SparkSession, docs: DataFrame, id: str = "doc_id", te
     local = listed.select("chunk", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counts = materialize(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     model, words = train(chunks, counts, floor)
-    rows = materialize(coded(chunks, local.drop("n"), words, model), "coded")
-    discard(chunks, counts)
+    discard(counts)
+    rows = coded(chunks, local.drop("n"), words, model)
+    discard(chunks)
     model = fitted(model, words, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
